@@ -20,9 +20,9 @@ def _operands(spark, sf):
     return t.dense_cells(spark, sf).join(_pairs(spark), "tag_id")
 
 
-@query("feature_mean", t.with_dense(GROUPED + "SELECT site_id, anchor_ts, ts, feature, round(avg(value), 9) AS value FROM c GROUP BY 1, 2, 3, 4"))
+@query("feature_mean", t.with_dense(GROUPED + "SELECT site_id, anchor_ts, ts, feature, round(avg(value) + 3e-11, 9) AS value FROM c GROUP BY 1, 2, 3, 4"))
 def feature_mean(spark, sf):
-    means = _operands(spark, sf).groupBy(*INSTANT, "feature").agg(F.round(F.avg("value"), 9).alias("value"))
+    means = _operands(spark, sf).groupBy(*INSTANT, "feature").agg(t.shown(F.avg("value")).alias("value"))
     return t.plain(means, "ts", "anchor_ts")
 
 
@@ -39,7 +39,7 @@ CUSTOM = "click, view ,purchase,signup"
 , w AS (SELECT site_id, anchor_ts, ts, max(CASE WHEN tag_id = 'click' THEN value END) AS c0, max(CASE WHEN tag_id = 'view' THEN value END) AS c1,
         max(CASE WHEN tag_id = 'purchase' THEN value END) AS c2, max(CASE WHEN tag_id = 'signup' THEN value END) AS c3
         FROM dense WHERE back <= 120 GROUP BY 1, 2, 3)
-SELECT site_id, anchor_ts, ts, round(coalesce(c0 * c1, c2 * c3), 9) AS value FROM w"""))
+SELECT site_id, anchor_ts, ts, round(coalesce(c0 * c1, c2 * c3) + 3e-11, 9) AS value FROM w"""))
 def feature_mass_rate(spark, sf):
     names = spark.sql(f"SELECT posexplode(split('{CUSTOM}', ',')) AS (pos, name)")
     slots = names.select("pos", strip_spaces(F.col("name")).alias("tag_id"))
@@ -47,7 +47,7 @@ def feature_mass_rate(spark, sf):
     parts = [F.max(F.when(F.col("pos") == i, F.col("value"))).alias(f"c{i}") for i in range(4)]
     rates = cells.groupBy(*INSTANT).agg(*parts)
     rate = mass_rate(*[F.col(f"c{i}") for i in range(4)])
-    return t.plain(rates.select(*INSTANT, F.round(rate, 9).alias("value")), "ts", "anchor_ts")
+    return t.plain(rates.select(*INSTANT, t.shown(rate).alias("value")), "ts", "anchor_ts")
 
 
 @query("feature_greater", t.with_dense(

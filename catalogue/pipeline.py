@@ -109,27 +109,27 @@ def _store(spark, sf):
 
 
 @query("feature_store", "WITH " + SQL_STORE + """
-SELECT site_id, anchor_ts, feature_id, round(current, 9) AS current, round(anticipated, 9) AS anticipated,
-       round(null_share, 9) AS null_share, too_many_nulls FROM feature_values""")
+SELECT site_id, anchor_ts, feature_id, round(current + 3e-11, 9) AS current, round(anticipated + 3e-11, 9) AS anticipated,
+       round(null_share + 3e-11, 9) AS null_share, too_many_nulls FROM feature_values""")
 def feature_store(spark, sf):
-    rounded = {c: F.round(c, 9) for c in ("current", "anticipated", "null_share")}
+    rounded = {c: t.shown(c) for c in ("current", "anticipated", "null_share")}
     return t.plain(_store(spark, sf).withColumns(rounded), "anchor_ts")
 
 
 @query("long_horizon_features", "WITH " + SQL_STORE + """
-SELECT site_id, anchor_ts, feature_id, round(current, 9) AS current, round(anticipated, 9) AS anticipated
+SELECT site_id, anchor_ts, feature_id, round(current + 3e-11, 9) AS current, round(anticipated + 3e-11, 9) AS anticipated
 FROM feature_values WHERE feature_id IN (9, 10)""")
 def long_horizon_features(spark, sf):
     cfg = t.CONFIG.subset(t.CONFIG.long_features)
     found = store.compute_features(t.events(spark, sf), t.anchors(spark, sf), cfg)
-    return t.plain(found.select("site_id", "anchor_ts", "feature_id", F.round("current", 9).alias("current"),
-                                F.round("anticipated", 9).alias("anticipated")), "anchor_ts")
+    return t.plain(found.select("site_id", "anchor_ts", "feature_id", t.shown("current").alias("current"),
+                                t.shown("anticipated").alias("anticipated")), "anchor_ts")
 
 
 @query("null_violations", "WITH " + SQL_STORE + """
-SELECT site_id, anchor_ts, feature_id, round(null_share, 9) AS null_share, 'error' AS severity FROM feature_values WHERE too_many_nulls""")
+SELECT site_id, anchor_ts, feature_id, round(null_share + 3e-11, 9) AS null_share, 'error' AS severity FROM feature_values WHERE too_many_nulls""")
 def null_violations(spark, sf):
-    return t.plain(quality.null_violations(_store(spark, sf)).withColumn("null_share", F.round("null_share", 9)), "anchor_ts")
+    return t.plain(quality.null_violations(_store(spark, sf)).withColumn("null_share", t.shown("null_share")), "anchor_ts")
 
 
 SQL_GATE = """,
@@ -164,7 +164,7 @@ def _run(spark, sf):
 one AS (
   SELECT f.*, flag FROM feature_values f JOIN gate g ON f.site_id = g.site_id AND f.anchor_ts = g.anchor_ts WHERE trigger = 1)
 SELECT site_id, strftime(anchor_ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp", flag, 'rtfsOutput' AS "eventType", part,
-       CAST(feature_id AS SMALLINT) AS id, round(value, 9) AS value FROM (
+       CAST(feature_id AS SMALLINT) AS id, round(value + 3e-11, 9) AS value FROM (
   SELECT *, 'current' AS part, current AS value FROM one WHERE NOT is_condition
   UNION ALL SELECT *, 'anticipated', anticipated FROM one WHERE NOT is_condition
   UNION ALL SELECT *, 'conditions', current FROM one WHERE is_condition)""")
@@ -174,7 +174,7 @@ def results_nested(spark, sf):
     parts = F.array(*[F.struct(F.lit(n).alias("part"), F.col(c).alias("records")) for n, c in names.items()])
     rows = nested.select("site_id", "timestamp", "flag", "eventType", F.explode(parts).alias("p"))
     rows = rows.select("site_id", "timestamp", "flag", "eventType", "p.part", F.explode("p.records").alias("r"))
-    return rows.select("site_id", "timestamp", "flag", "eventType", "part", "r.id", F.round("r.value", 9).alias("value"))
+    return rows.select("site_id", "timestamp", "flag", "eventType", "part", "r.id", t.shown("r.value").alias("value"))
 
 
 @query("results_json")

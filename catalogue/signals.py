@@ -17,12 +17,12 @@ SQL_MEDIAN_WINDOW = """WINDOW w AS (PARTITION BY site_id, anchor_ts, tag_id ORDE
 
 @query("low_pass", t.with_dense(f"""
 SELECT site_id, anchor_ts, ts, tag_id,
-       round(CASE WHEN tag_id IN ('click', 'purchase', 'view') THEN {SQL_MEDIAN} ELSE value END, 9) AS value
+       round(CASE WHEN tag_id IN ('click', 'purchase', 'view') THEN {SQL_MEDIAN} ELSE value END + 3e-11, 9) AS value
 FROM dense WHERE back <= 120 {SQL_MEDIAN_WINDOW}"""))
 def low_pass(spark, sf):
     cells = t.dense_cells(spark, sf)
     smooth = signals.low_pass(cells, SERIES, F.col("tag_id").isin(*t.SMOOTHED), GRID)
-    return t.plain(smooth.select("site_id", "anchor_ts", "ts", "tag_id", F.round("value", 9).alias("value")), "ts", "anchor_ts")
+    return t.plain(smooth.select("site_id", "anchor_ts", "ts", "tag_id", t.shown("value").alias("value")), "ts", "anchor_ts")
 
 
 LAGS = {"click": 30, "error": 61, "purchase": None, "signup": -10, "view": 100}
@@ -82,10 +82,10 @@ def _tail(spark, sf, **aggregates):
 
 
 @query("tail_mean", t.with_dense("""
-SELECT site_id, anchor_ts, tag_id, round(avg(value) FILTER (ts > anchor_ts - INTERVAL 60 HOUR), 9) AS value
+SELECT site_id, anchor_ts, tag_id, round(avg(value) FILTER (ts > anchor_ts - INTERVAL 60 HOUR) + 3e-11, 9) AS value
 FROM dense WHERE back <= 120 GROUP BY ALL"""))
 def tail_mean(spark, sf):
-    return _tail(spark, sf, value=F.round(F.avg(F.when(_recent(), F.col("value"))), 6))
+    return _tail(spark, sf, value=t.shown(F.avg(F.when(_recent(), F.col("value")))))
 
 
 @query("tail_last", t.with_dense("""
@@ -108,13 +108,13 @@ def tail_mean_greater(spark, sf):
   SELECT site_id, anchor_ts, tag_id, value, row_number() OVER (PARTITION BY site_id, anchor_ts, tag_id ORDER BY ts DESC) AS rn
   FROM dense WHERE back <= 120)
 SELECT site_id, anchor_ts, round(avg(value) FILTER (tag_id = 'click')
-       / nullif(avg(value) FILTER (tag_id = 'error'), 0), 9) AS ratio
+       / nullif(avg(value) FILTER (tag_id = 'error'), 0) + 3e-11, 9) AS ratio
 FROM newest WHERE rn <= 45 GROUP BY 1, 2"""))
 def ratio(spark, sf):
     newest = signals.last_rows(t.dense_cells(spark, sf), SERIES, "ts", 45)
     tag, value = F.col("tag_id"), F.col("value")
     quotient = ratio_or_null(F.avg(F.when(tag == "click", value)), F.avg(F.when(tag == "error", value)))
-    return t.plain(newest.groupBy("site_id", "anchor_ts").agg(F.round(quotient, 9).alias("ratio")), "anchor_ts")
+    return t.plain(newest.groupBy("site_id", "anchor_ts").agg(t.shown(quotient).alias("ratio")), "anchor_ts")
 
 
 @query("interpolate", t.with_dense("""
@@ -127,12 +127,12 @@ def ratio(spark, sf):
   WINDOW past AS (PARTITION BY site_id, anchor_ts, tag_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
          future AS (PARTITION BY site_id, anchor_ts, tag_id ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
 SELECT site_id, anchor_ts, ts, tag_id, round(CASE WHEN value IS NOT NULL THEN value WHEN lv IS NULL THEN NULL
-       WHEN rv IS NULL THEN lv ELSE lv + (rv - lv) * (lb - back) / (lb - rb) END, 9) AS value
+       WHEN rv IS NULL THEN lv ELSE lv + (rv - lv) * (lb - back) / (lb - rb) END + 3e-11, 9) AS value
 FROM sided"""))
 def interpolate(spark, sf):
     cells = t.dense_cells(spark, sf).withColumn("x", -F.col("back"))
     filled = signals.interpolate(cells, SERIES, "x", "value")
-    return t.plain(filled.select("site_id", "anchor_ts", "ts", "tag_id", F.round("value", 9).alias("value")), "ts", "anchor_ts")
+    return t.plain(filled.select("site_id", "anchor_ts", "ts", "tag_id", t.shown("value").alias("value")), "ts", "anchor_ts")
 
 
 @query("regular_means", f"""WITH {t.SQL_RAW},
@@ -178,6 +178,7 @@ points AS (SELECT site_id, anchor_ts, CAST(119 - back AS DOUBLE) AS x, v FROM me
 """ + TORQUE_TAIL.format(high=48, high_high=52) + "SELECT site_id, anchor_ts, level FROM levels"))
 def torque_level(spark, sf):
     cells = t.dense_cells(spark, sf, 119).where("tag_id <> 'error'")
-    means = cells.groupBy("site_id", "anchor_ts", (F.lit(119.0) - F.col("back")).alias("x")).agg(F.avg("value").alias("value"))
-    levels = trend.trend_level(means, ["site_id", "anchor_ts"], trend.TrendLimits(48.0, 52.0))
-    return t.plain(levels, "anchor_ts")
+    means = cells.groupBy("site_id", "anchor_ts", (F.lit(119) - F.col("back")).alias("x")).agg(F.avg("value").alias("value"))
+    points = means.groupBy("site_id", "anchor_ts").agg(trend.collect_points(F.col("x"), F.col("value")).alias("points"))
+    level = trend.trend_level(F.col("points"), trend.TrendLimits(48.0, 52.0))
+    return t.plain(points.select("site_id", "anchor_ts", level.alias("level")), "anchor_ts")

@@ -35,21 +35,21 @@ def _written(spark, stream, label):
 
 
 @query("stream_hourly", """
-SELECT site_id, date_trunc('hour', ts) AS start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS "end", n, round(mean, 9) AS mean, peak FROM (
+SELECT site_id, date_trunc('hour', ts) AS start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS "end", n, round(mean + 3e-11, 9) AS mean, peak FROM (
   SELECT CAST(user_id // 50 AS INTEGER) AS site_id, date_trunc('hour', ts) AS ts, count(*) AS n, avg(value) AS mean, max(value) AS peak FROM events GROUP BY 1, 2)
 WHERE ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events)""")
 def stream_hourly(spark, sf):
     rolled = st.tumbling_rollup(_stream(spark, sf), "0 seconds", "1 hour", ["site_id"])
-    return t.plain(_written(spark, rolled, "hourly").withColumn("mean", F.round("mean", 9)), "start", "end")
+    return t.plain(_written(spark, rolled, "hourly").withColumn("mean", t.shown("mean")), "start", "end")
 
 
 @query("stream_sliding", """
-SELECT site_id, start, count(*) AS n, round(avg(value), 9) AS mean FROM (
+SELECT site_id, start, count(*) AS n, round(avg(value) + 3e-11, 9) AS mean FROM (
   SELECT CAST(user_id // 50 AS INTEGER) AS site_id, value, unnest([time_bucket(INTERVAL 1 HOUR, ts), time_bucket(INTERVAL 1 HOUR, ts) - INTERVAL 1 HOUR]) AS start FROM events)
 WHERE start + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events) GROUP BY 1, 2""")
 def stream_sliding(spark, sf):
     rolled = st.sliding_rollup(_stream(spark, sf), "0 seconds", "2 hours", "1 hour", ["site_id"])
-    return t.plain(_written(spark, rolled, "sliding").withColumn("mean", F.round("mean", 9)), "start")
+    return t.plain(_written(spark, rolled, "sliding").withColumn("mean", t.shown("mean")), "start")
 
 
 @query("stream_dedup", "SELECT DISTINCT CAST(user_id // 50 AS INTEGER) AS site_id, event_type, date_trunc('hour', ts) AS ts FROM events")

@@ -6,7 +6,7 @@ The grid step is an hour; tags are event types. ``error`` is an on/off run tag (
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.config import Feature, StoreConfig
@@ -31,6 +31,11 @@ def plain(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
+def shown(value) -> Column:
+    """Nine digits for the comparison; the offset keeps exact ties from rounding by summation order."""
+    return F.round((F.col(value) if isinstance(value, str) else value) + 3e-11, 9)
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Single readings: ``event_id, site_id, ts, tag_id, value``."""
     return table(spark, sf_dir, "events").select(

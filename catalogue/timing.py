@@ -128,11 +128,11 @@ dups AS (
     SELECT site_id, date_trunc('hour', ts) AS h, tag_id, count(*) AS c FROM raw GROUP BY 1, 2, 3 HAVING count(*) > 1)
   GROUP BY 1)
 SELECT s.site_id, anchor_ts, coalesce(duplicate_rows, 0) AS duplicate_rows, missing_steps, held = 0 AS no_history,
-       missing_steps > 0 AND held > 0 AS has_gaps, round(up1, 9) AS up_last_hour, round(up2, 9) AS up_hour_before,
+       missing_steps > 0 AND held > 0 AS has_gaps, round(up1 + 3e-11, 9) AS up_last_hour, round(up2 + 3e-11, 9) AS up_hour_before,
        up1 <= 0.8 AS low_last_hour, up2 <= 0.8 AS low_hour_before
 FROM shares s LEFT JOIN dups d ON s.site_id = d.site_id"""))
 def history_warnings(spark, sf):
     raw = t.raw_events(spark, sf).withColumn("ts", F.date_trunc("hour", "ts"))
     copies = dedup.duplicate_counts(raw, ["site_id", "ts", "tag_id"])
     report = history.history_warnings(t.dense(spark, sf), copies, t.anchors(spark, sf), t.CONFIG.hour_steps, t.CONFIG.up_share)
-    return t.plain(report.withColumns({c: F.round(c, 9) for c in ("up_last_hour", "up_hour_before")}), "anchor_ts")
+    return t.plain(report.withColumns({c: t.shown(c) for c in ("up_last_hour", "up_hour_before")}), "anchor_ts")

@@ -18,14 +18,14 @@ from millrace.functions.scalar import at_least_flag, impute_when_up, mass_rate,
 from millrace.functions.times import Grid
 from millrace.operators.history import ANCHOR, PLANT_SERIES
 from millrace.operators.signals import centred_median
-from millrace.operators.trend import TREND_POINTS, TrendLimits, trend_level
+from millrace.operators.trend import TREND_POINTS, TrendLimits, collect_points, trend_level
 
 # Fixed names of feature functions and time aggregations in the configuration.
 MEAN, MAX, MASS_RATE = "mean", "max", "thickener_underflow_mass_rate"
 TARGET, GREATER, PASSTHROUGH = "moisture_target", "greater", "passthrough"
 LAST, TORQUE, RATIO, MEAN_GREATER = "last", "torque", "ratio", "mean_greater"
 
-#: Slot of the plant state in the exploded cells; it gives every feature a row at every instant.
+#: Slot of the plant state in the exploded cells; it gives features without tags a row at every instant.
 STATE_SLOT = 0
 FIRST_TAG_SLOT = 1 + len(PLANT_SERIES)
 ANTICIPATION_STEPS = 60
@@ -61,9 +61,9 @@ class Slots:
 
 
 def operand_table(spark: SparkSession, features: Sequence[Feature], slots: Slots) -> DataFrame:
-    """``(slot, feature_id, pos)``: one row per feature and operand, plus the plant state as position -1."""
-    rows = [(STATE_SLOT, f.id, -1) for f in features]
-    rows += [(slots.of(t), f.id, i) for f in features for i, t in enumerate(operands(f))]
+    """``(slot, feature_id, pos)``: one row per feature and operand; a feature without any reads the plant state."""
+    rows = [(slots.of(t), f.id, i) for f in features for i, t in enumerate(operands(f))]
+    rows += [(STATE_SLOT, f.id, -1) for f in features if not operands(f)]
     return local_table(
         spark,
         {
@@ -74,8 +74,8 @@ def operand_table(spark: SparkSession, features: Sequence[Feature], slots: Slots
     )
 
 
-def feature_table(spark: SparkSession, features: Sequence[Feature], cfg: StoreConfig) -> DataFrame:
-    """One row per feature with everything that steers its computation."""
+def function_table(spark: SparkSession, features: Sequence[Feature]) -> DataFrame:
+    """What decides a feature's value at one instant, and which ranks it is aggregated over."""
     def ahead(f: Feature) -> int:
         return f.lag - ANTICIPATION_STEPS if f.lag is not None and f.lag > ANTICIPATION_STEPS else 0
 
@@ -84,14 +84,26 @@ def feature_table(spark: SparkSession, features: Sequence[Feature], cfg: StoreCo
         {
             "feature_id": (pa.int32(), [f.id for f in features]),
             "function": (pa.string(), [f.function for f in features]),
+            "limit": (pa.int64(), [_threshold(f) for f in features]),
+            "impute": (pa.float64(), [f.null_impute for f in features]),
             "lag": (pa.int64(), [f.lag or 0 for f in features]),
             "lag_ahead": (pa.int64(), [ahead(f) for f in features]),
-            "impute": (pa.float64(), [f.null_impute for f in features]),
-            "null_limit": (pa.float64(), [f.null_threshold for f in features]),
             "steps": (pa.int64(), [f.steps for f in features]),
+            "trended": (pa.bool_(), [f.current == TORQUE for f in features]),
+        },
+    )
+
+
+def aggregation_table(spark: SparkSession, features: Sequence[Feature]) -> DataFrame:
+    """How a feature's candidate aggregates turn into its outputs."""
+    return local_table(
+        spark,
+        {
+            "feature_id": (pa.int32(), [f.id for f in features]),
             "current_agg": (pa.string(), [f.current for f in features]),
             "ahead_agg": (pa.string(), [f.anticipated for f in features]),
             "threshold": (pa.int64(), [_threshold(f) for f in features]),
+            "null_limit": (pa.float64(), [f.null_threshold for f in features]),
         },
     )
 
@@ -101,12 +113,12 @@ def _threshold(f: Feature) -> int | None:
 
 
 def cell_rows(frame: DataFrame, slots: Slots, wanted: Sequence[int]) -> DataFrame:
-    """A frame's arrays as rows ``(site, anchor, micros, rank, tail_rows, slot, value)``; absent cells are null."""
+    """A frame's arrays as rows, one per wanted slot; absent cells are null."""
     state = F.array(F.col("plant_up").cast("double"))
     constants = F.coalesce("constants", F.array_repeat(F.lit(None).cast("double"), len(PLANT_SERIES)))
     cells = F.coalesce("cells", F.array_repeat(F.lit(None).cast("double"), len(slots.tags)))
     every = F.concat(state, constants, cells)
-    rows = frame.select(*ANCHOR, "micros", "rank", "tail_rows", F.posexplode(every).alias("slot", "value"))
+    rows = frame.select(*ANCHOR, "micros", "rank", "tail_rows", "plant_up", F.posexplode(every).alias("slot", "value"))
     return rows.where(F.col("slot").isin(list(wanted)))
 
 
@@ -128,8 +140,10 @@ def feature_series(frame: DataFrame, cfg: StoreConfig, features: Sequence[Featur
     before imputation.
     """
     spark = frame.sparkSession
-    wanted = sorted({STATE_SLOT} | {slots.of(t) for f in features for t in operands(f)})
-    rows = smooth_cells(cell_rows(frame, slots, wanted), slots, cfg)
+    wanted = {slots.of(t) for f in features for t in operands(f)}
+    if not all(operands(f) for f in features):
+        wanted.add(STATE_SLOT)
+    rows = smooth_cells(cell_rows(frame, slots, sorted(wanted)), slots, cfg)
     joined = rows.join(operand_table(spark, features, slots), "slot")
     pos, value = F.col("pos"), F.col("value")
     used = {f.function for f in features}
@@ -137,7 +151,7 @@ def feature_series(frame: DataFrame, cfg: StoreConfig, features: Sequence[Featur
     def operand(i: int) -> Column:
         return F.max(F.when(pos == i, value))
 
-    measures = {"plant_state": F.max(F.when(pos == -1, value)), "p0": operand(0), "tail_rows": F.max("tail_rows")}
+    measures = {"plant_up": F.max("plant_up"), "p0": operand(0), "tail_rows": F.max("tail_rows")}
     if MEAN in used:
         measures["mean"] = F.avg(F.when(pos >= 0, value))
     if MAX in used:
@@ -148,7 +162,7 @@ def feature_series(frame: DataFrame, cfg: StoreConfig, features: Sequence[Featur
         measures |= {"p2": operand(2), "p3": operand(3)}
     grouped = joined.groupBy(*ANCHOR, "feature_id", "rank").agg(*[c.alias(n) for n, c in measures.items()])
 
-    rows = grouped.join(feature_table(spark, features, cfg), "feature_id")
+    rows = grouped.join(function_table(spark, features), "feature_id")
     function = F.col("function")
     result = F.when(function.isNull(), F.col("p0"))
     if MEAN in used:
@@ -160,7 +174,7 @@ def feature_series(frame: DataFrame, cfg: StoreConfig, features: Sequence[Featur
     if TARGET in used:
         result = result.when(function == TARGET, F.lit(cfg.moisture_target))
     if GREATER in used:
-        result = result.when(function == GREATER, at_least_flag(F.col("p0"), F.col("threshold")).cast("double"))
+        result = result.when(function == GREATER, at_least_flag(F.col("p0"), F.col("limit")).cast("double"))
     if PASSTHROUGH in used:
         result = result.when(function == PASSTHROUGH, F.col("p0"))
     second = F.when(function == PASSTHROUGH, F.col("p1")) if PASSTHROUGH in used else F.lit(None).cast("double")
@@ -168,13 +182,13 @@ def feature_series(frame: DataFrame, cfg: StoreConfig, features: Sequence[Featur
     is_list = F.coalesce(function == PASSTHROUGH, F.lit(False))
     rows = rows.withColumn("missing", F.when(is_list, 0).otherwise(F.col("value").isNull().cast("int")))
     if impute:
-        state, constant = F.col("plant_state"), F.col("impute")
+        state, constant = F.col("plant_up"), F.col("impute")
         second = F.when(is_list, impute_when_up(F.col("value2"), state, constant))
         rows = rows.withColumns({"value": impute_when_up(F.col("value"), state, constant), "value2": second})
-    return rows
+    return rows.select(*ANCHOR, "feature_id", "rank", "tail_rows", "value", "value2", "missing", "lag", "lag_ahead", "steps", "trended")
 
 
-def aggregate_features(series: DataFrame) -> DataFrame:
+def aggregate_features(series: DataFrame, features: Sequence[Feature], limits: TrendLimits) -> DataFrame:
     """Lag and aggregate each feature over its newest rows: one value now, one an hour ahead, one null share.
 
     Shifting by ``lag`` rows and taking the newest ``n`` reads the rows ranked ``lag+1 .. lag+n``, so no
@@ -186,26 +200,36 @@ def aggregate_features(series: DataFrame) -> DataFrame:
     in_ahead = rank.between(F.col("lag_ahead") + 1, F.col("lag_ahead") + span)
     in_rows = rank.between(F.col("lag") + 1, F.col("lag") + F.col("steps"))
     held = value.isNotNull()
-    steer = ["current_agg", "ahead_agg", "threshold", "null_limit"]
-    totals = series.groupBy(*ANCHOR, "feature_id").agg(
-        *[F.first(c).alias(c) for c in steer],
-        F.avg(F.when(in_now, value)).alias("now_mean"),
-        F.min_by("value", F.when(in_now & held, rank)).alias("now_last"),
-        F.avg(F.when(in_rows, value)).alias("first_mean"),
-        F.avg(F.when(in_rows, F.col("value2"))).alias("second_mean"),
-        F.avg(F.when(in_ahead, value)).alias("ahead_mean"),
-        F.min_by("value", F.when(in_ahead & held, rank)).alias("ahead_last"),
-        F.avg("missing").alias("null_share"),
-    )
+    used = {f.current for f in features} | {f.anticipated for f in features}
+    measures = {
+        "now_mean": F.avg(F.when(in_now, value)),
+        "ahead_mean": F.avg(F.when(in_ahead, value)),
+        "null_share": F.avg("missing"),
+    }
+    if LAST in used:
+        measures["now_last"] = F.min_by("value", F.when(in_now & held, rank))
+        measures["ahead_last"] = F.min_by("value", F.when(in_ahead & held, rank))
+    if RATIO in used:
+        measures["first_mean"] = F.avg(F.when(in_rows, value))
+        measures["second_mean"] = F.avg(F.when(in_rows, F.col("value2")))
+    if TORQUE in used:
+        x = (TREND_POINTS - 1) - (rank - 1 - F.col("lag"))
+        measures["points"] = collect_points(F.when(F.col("trended") & x.between(0, TREND_POINTS - 1), x), value)
+    totals = series.groupBy(*ANCHOR, "feature_id").agg(*[c.alias(n) for n, c in measures.items()])
+
     now, ahead = F.col("current_agg"), F.col("ahead_agg")
-    current = (
-        F.when(now == MEAN, F.col("now_mean"))
-        .when(now == LAST, F.col("now_last"))
-        .when(now == RATIO, ratio_or_null(F.col("first_mean"), F.col("second_mean")))
-        .when(now == MEAN_GREATER, at_least_flag(F.col("now_mean"), F.col("threshold")).cast("double"))
-    )
-    anticipated = F.when(ahead == MEAN, F.col("ahead_mean")).when(ahead == LAST, F.col("ahead_last"))
-    return totals.select(
+    current = F.when(now == MEAN, F.col("now_mean"))
+    anticipated = F.when(ahead == MEAN, F.col("ahead_mean"))
+    if LAST in used:
+        current = current.when(now == LAST, F.col("now_last"))
+        anticipated = anticipated.when(ahead == LAST, F.col("ahead_last"))
+    if RATIO in used:
+        current = current.when(now == RATIO, ratio_or_null(F.col("first_mean"), F.col("second_mean")))
+    if MEAN_GREATER in used:
+        current = current.when(now == MEAN_GREATER, at_least_flag(F.col("now_mean"), F.col("threshold")).cast("double"))
+    if TORQUE in used:
+        current = current.when(now == TORQUE, trend_level(F.col("points"), limits))
+    return totals.join(aggregation_table(series.sparkSession, features), "feature_id").select(
         *ANCHOR,
         "feature_id",
         current.alias("current"),
@@ -215,23 +239,7 @@ def aggregate_features(series: DataFrame) -> DataFrame:
     )
 
 
-def torque_levels(series: DataFrame, limits: TrendLimits) -> DataFrame:
-    """Trend level of each torque feature's newest 120 lagged rows."""
-    x = (TREND_POINTS - 1) - (F.col("rank") - 1 - F.col("lag"))
-    points = series.withColumn("x", x.cast("double")).where(F.col("x").between(0, TREND_POINTS - 1))
-    keys = [*ANCHOR, "feature_id"]
-    return trend_level(points.select(*keys, "x", "value"), keys, limits)
-
-
 def frame_features(frame: DataFrame, cfg: StoreConfig, features: Sequence[Feature], slots: Slots, impute: bool) -> DataFrame:
     """All features of one frame: ``(site_id, anchor_ts, feature_id, current, anticipated, null_share, ...)``."""
-    result = aggregate_features(feature_series(frame, cfg, features, slots, impute))
-    trended = [f for f in features if f.current == TORQUE]
-    if not trended:
-        return result
-    # reads the same shuffled frame again, but only the tags of the trend features
-    levels = torque_levels(
-        feature_series(frame, cfg, trended, slots, impute), TrendLimits(cfg.trend_high, cfg.trend_high_high)
-    )
-    joined = result.join(levels, [*ANCHOR, "feature_id"], "left")
-    return joined.withColumn("current", F.coalesce("current", "level")).drop("level")
+    series = feature_series(frame, cfg, features, slots, impute)
+    return aggregate_features(series, features, TrendLimits(cfg.trend_high, cfg.trend_high_high))

@@ -26,6 +26,16 @@ def compact_events(events: DataFrame, tags: Sequence[str]) -> DataFrame:
     return events.select("site_id", "ts", "plant_up", aligned_values(F.col("records"), tags).alias("cells"))
 
 
+def by_anchor(rows: DataFrame) -> DataFrame:
+    """Hash-partition by anchor into the session's number of shuffle partitions.
+
+    The number is given explicitly because a frame grows more than tenfold after this shuffle; partitions
+    merged by their size here would be too few and too large there.
+    """
+    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(count, *ANCHOR)
+
+
 def fill_gaps(rows: DataFrame, anchors: DataFrame, steps: int) -> DataFrame:
     """Exactly the steps 0..``steps`` before each anchor; steps without a row get nulls.
 
@@ -33,7 +43,7 @@ def fill_gaps(rows: DataFrame, anchors: DataFrame, steps: int) -> DataFrame:
     per anchor closes the far end. The grid is thus made after the shuffle and never shuffled itself.
     """
     marker = anchors.select(*ANCHOR, F.lit(steps + 1).cast("bigint").alias("back"))
-    merged = rows.unionByName(marker, allowMissingColumns=True).repartition(*ANCHOR)
+    merged = by_anchor(rows.unionByName(marker, allowMissingColumns=True))
     by_back = Window.partitionBy(*ANCHOR).orderBy("back")
     previous = F.coalesce(F.lag("back").over(by_back), F.lit(-1))
     carried = [c for c in rows.columns if c not in (*ANCHOR, "back")]
@@ -54,7 +64,7 @@ def on_grid(rows: DataFrame, grid: Grid) -> DataFrame:
 
 def dense_history(events: DataFrame, anchors: DataFrame, grid: Grid, steps: int) -> DataFrame:
     """The gap-free slice ``[anchor - steps, anchor]`` of compact events; a missing plant state counts as down."""
-    sliced = on_grid(anchor_slice(events, anchors, grid.span(steps)), grid)
+    sliced = on_grid(anchor_slice(events, anchors, grid.span(steps), width_micros=grid.span(steps)), grid)
     dense = fill_gaps(sliced, anchors, steps)
     return dense.withColumn("plant_up", F.coalesce("plant_up", F.lit(0)))
 
@@ -107,9 +117,10 @@ def long_frame(events: DataFrame, anchors: DataFrame, cfg) -> DataFrame:
     An anchor without any earlier row gets the empty short grid instead.
     """
     grid = Grid(cfg.step_seconds)
-    sliced = anchor_slice(events, anchors, grid.span(cfg.long_slice_steps))
+    # the short frame's bucket width, so that both frames share one shuffled copy of the events
+    sliced = anchor_slice(events, anchors, grid.span(cfg.long_slice_steps), width_micros=grid.span(cfg.switch_steps))
     marker = anchors.select(*ANCHOR, F.lit(True).alias("_marker"))
-    merged = sliced.unionByName(marker, allowMissingColumns=True).repartition(*ANCHOR)
+    merged = by_anchor(sliced.unionByName(marker, allowMissingColumns=True))
     whole = Window.partitionBy(*ANCHOR)
     earlier = F.count(F.when(F.col("ts") < F.col("anchor_ts"), 1)).over(whole)
     fallback = F.transform(

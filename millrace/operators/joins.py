@@ -18,14 +18,14 @@ def anchor_slice(
     anchors: DataFrame,
     span_micros: int,
     include_anchor: bool = True,
-    pieces: int = 4,
+    width_micros: int | None = None,
 ) -> DataFrame:
     """Rows of ``series(site_id, ts, ...)`` within ``[anchor_ts - span, anchor_ts]``, once per anchor.
 
-    ``include_anchor=False`` gives the half-open slice. Buckets are a quarter of the span, which keeps
-    candidate rows within a quarter of the true matches.
+    ``include_anchor=False`` gives the half-open slice. Buckets are a quarter of the span unless a width is
+    given, which keeps candidate rows within a quarter of the true matches.
     """
-    width = max(span_micros // pieces, 1)
+    width = max(width_micros or span_micros // 4, 1)
     anchor_micros = F.unix_micros("anchor_ts")
     covered = F.sequence(whole_div(anchor_micros - F.lit(span_micros), width), whole_div(anchor_micros, width))
     spread = anchors.select("site_id", "anchor_ts", F.explode(covered).alias("_bucket"))

@@ -1,17 +1,16 @@
-"""Trend level of a signal: where its next hour lies against its past, from closed-form regression.
+"""Trend level of a signal: where its next hour lies against its past, from a closed-form line fit.
 
-No fitting library and no Python: the sums of a straight-line fit come from the ``regr_*`` aggregates.
+A series is a short sorted list of points, so its level is one column expression: no fitting library, no
+Python, no second pass over the data.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.operators.signals import interpolate
-
 # The series is two hours of minutes, the prediction one hour past its end, and the
 # two-sided 95% quantile of Student's t has 118 degrees of freedom.
 TREND_POINTS = 120
@@ -19,6 +18,10 @@ TREND_TARGET = 180
 T_QUANTILE = 1.9802722
 MAX_MISSING_SHARE = 0.2
 
+CENTRE = (TREND_POINTS - 1) / 2
+SXX = TREND_POINTS * (TREND_POINTS**2 - 1) / 12
+SPREAD = 1 + 1 / TREND_POINTS + (TREND_TARGET - CENTRE) ** 2 / SXX
+
 
 @dataclass(frozen=True)
 class TrendLimits:
@@ -26,49 +29,72 @@ class TrendLimits:
     high_high: float = 20.0
 
 
-def prediction_spread(points: int = TREND_POINTS, target: float = TREND_TARGET) -> float:
-    """Variance factor of one new observation at ``target`` for x = 0..points-1."""
-    centre = (points - 1) / 2
-    sxx = points * (points * points - 1) / 12
-    return 1 + 1 / points + (target - centre) ** 2 / sxx
+def collect_points(x: Column, value: Column) -> Column:
+    """Aggregate to the sorted list of a series' present points; rows where either is null add nothing."""
+    point = F.when(x.isNotNull() & value.isNotNull(), F.struct(x.cast("int").alias("x"), value.alias("v")))
+    return F.array_sort(F.collect_list(point))
+
+
+def filled_values(points: Column, last_x: int = TREND_POINTS - 1) -> Column:
+    """Values from the first present point to ``last_x``: gaps linear, the end kept at the last value."""
+    count = F.size(points)
+    first, last = F.get(points, F.lit(0)), F.element_at(points, -1)
 
+    def segment(i: Column) -> Column:
+        a, b = F.get(points, i - 1), F.get(points, i)
+        steps = b["x"] - a["x"]
+        rise = (b["v"] - a["v"]) / steps
+        return F.transform(F.sequence(F.lit(1), steps), lambda j: F.when(j == steps, b["v"]).otherwise(a["v"] + rise * j))
 
-def trend_level(points: DataFrame, keys: list[str], limits: TrendLimits, x: str = "x", y: str = "value") -> DataFrame:
-    """``level`` per series of at most 120 points at x = 0..119; missing values are null, leading rows may be absent.
+    empty = F.array().cast("array<double>")
+    inner = F.when(count > 1, F.flatten(F.transform(F.sequence(F.lit(1), count - 1), segment))).otherwise(empty)
+    return F.concat(F.array(first["v"]), inner, F.array_repeat(last["v"], F.lit(last_x) - last["x"]))
+
+
+def trend_level(points: Column, limits: TrendLimits) -> Column:
+    """Level of a series given its present points at x = 0..119.
 
     More than a fifth missing gives null. Below ``high`` the level is 0. Between the limits it is 1 when
     the whole prediction interval lies above the mean, else 0. From ``high_high`` on it is 2, or 1 when
-    the interval lies below the mean.
+    the interval lies below the mean. A series with a leading gap has no trend.
     """
-    filled = interpolate(points.withColumn("_seen", F.col(y).isNotNull().cast("int")), keys, x, y)
-    yc, xc = F.col(y), F.col(x)
-    sums = filled.groupBy(*keys).agg(
-        F.sum("_seen").alias("seen"),
-        F.count(yc).alias("n"),
-        F.avg(yc).alias("mean"),
-        F.regr_intercept(yc, xc).alias("a"),
-        F.regr_slope(yc, xc).alias("b"),
-        F.regr_sxx(yc, xc).alias("sxx"),
-        F.regr_syy(yc, xc).alias("syy"),
-        F.regr_sxy(yc, xc).alias("sxy"),
-    )
-    return sums.select(*keys, level_expression(limits).cast("double").alias("level"))
-
-
-def level_expression(limits: TrendLimits) -> Column:
-    """Level from the columns ``seen, n, mean, a, b, sxx, syy, sxy``."""
-    mean = F.col("mean")
-    predicted = F.col("a") + TREND_TARGET * F.col("b")
-    # rounding may push an exact fit's residual below zero
-    residual = F.greatest(F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx"), F.lit(0.0)) / (TREND_POINTS - 2)
-    half = T_QUANTILE * F.sqrt(residual * prediction_spread())
-    complete = F.col("n") == TREND_POINTS
-    rising = F.coalesce(complete & (predicted - half >= mean), F.lit(False))
-    falling = F.coalesce(complete & ~rising & (predicted + half <= mean), F.lit(False))
-    too_few = F.col("seen") < TREND_POINTS * (1 - MAX_MISSING_SHARE)
-    return (
-        F.when(too_few | mean.isNull(), None)
-        .when(mean < limits.high, 0)
-        .when(mean < limits.high_high, F.when(rising, 1).otherwise(0))
-        .otherwise(F.when(falling, 1).otherwise(2))
-    )
+    enough = F.size(points) >= TREND_POINTS * (1 - MAX_MISSING_SHARE)
+    zero = F.lit(0.0)
+
+    def total(values: Column, term) -> Column:
+        return F.aggregate(values, zero, lambda acc, v: acc + term(v))
+
+    def level(values: Column) -> Column:
+        n = F.size(values)
+        mean = total(values, lambda v: v) / n
+        indexed = F.transform(values, lambda v, i: F.struct((i - CENTRE).alias("x"), v.alias("y")))
+
+        def judge(moments: Column) -> Column:
+            m, syy, sxy = moments["m"], moments["syy"], moments["sxy"]
+            predicted = m + (TREND_TARGET - CENTRE) * sxy / SXX
+            residual = F.greatest(syy - sxy * sxy / SXX, zero) / (TREND_POINTS - 2)
+            half = T_QUANTILE * F.sqrt(residual * SPREAD)
+            rising = moments["complete"] & (predicted - half >= m)
+            falling = moments["complete"] & (predicted + half <= m) & ~rising
+            return (
+                F.when(m < limits.high, 0)
+                .when(m < limits.high_high, F.when(rising, 1).otherwise(0))
+                .otherwise(F.when(falling, 1).otherwise(2))
+            )
+
+        def with_mean(m: Column) -> Column:
+            return F.struct(
+                m.alias("m"),
+                (n == TREND_POINTS).alias("complete"),
+                total(values, lambda v: (v - m) * (v - m)).alias("syy"),
+                total(indexed, lambda p: p["x"] * (p["y"] - m)).alias("sxy"),
+            )
+
+        return _let(_let(mean, with_mean), judge)
+
+    return F.when(enough, _let(filled_values(points), level)).cast("double")
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -17,6 +17,10 @@ def build_session(app: str = "millrace", cores: str = "*", shuffle_partitions: i
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("MILLRACE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
+        # naming the call site of every column expression doubles the time to build a plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # the feature plan alone generates more classes than the default cache of 100 holds
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )
