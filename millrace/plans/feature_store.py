@@ -15,6 +15,7 @@ from millrace.operators.history import ANCHOR, compact_events, long_frame, short
 from millrace.operators.joins import latest_before
 from millrace.operators.optimal import mask_stopped_equipment, optimal_state
 from millrace.operators.results import nested_results
+from millrace.plans.configs import require_rows
 from millrace.session import cut_lineage
 
 
@@ -63,6 +64,13 @@ def gate_anchors(events: DataFrame, changes: DataFrame, anchors: DataFrame, cfg:
     return trigger_gate(gate_inputs(features, ids), last, rules)
 
 
+def check_inputs(trigger: DataFrame, features_config: DataFrame, tags_config: DataFrame) -> None:
+    """Reject a run without a trigger event or with an empty configuration."""
+    require_rows(trigger, "Event input is empty")
+    require_rows(features_config, "Features config is empty")
+    require_rows(tags_config, "ETL configuration (tags config) is empty")
+
+
 @dataclass
 class RunOutput:
     gate: DataFrame
