@@ -7,7 +7,7 @@ measured size allows and otherwise shuffles, splitting skewed partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.times import whole_div
@@ -40,37 +40,31 @@ def latest_before(
 ) -> DataFrame:
     """For each anchor the newest ``value`` at or before it, with its instant; null when there is none.
 
-    Two steps bound the work: every time bucket is first reduced to its newest row, and the newest
-    earlier *bucket* is then carried forward over the far smaller bucket table.
+    No pairs of rows and anchors are made. A row meets one list, the anchors of its own time bucket, and
+    is credited to the first of them not before it (or to the bucket's end). Per credited anchor only the
+    newest row survives, partly before the shuffle; what remains is at most one row per anchor and
+    bucket, along which the newest row is carried forward.
     """
     packed = F.struct(F.col("ts").alias("ts"), value.alias("v"))
-    bucketed = series.select("site_id", "ts", packed.alias("_row"), whole_div(F.unix_micros("ts"), width_micros).alias("_bucket"))
-    marked = anchors.select("site_id", "anchor_ts", whole_div(F.unix_micros("anchor_ts"), width_micros).alias("_bucket"))
-
-    same_bucket = (
-        marked.join(bucketed, ["site_id", "_bucket"])
-        .where(F.col("ts") <= F.col("anchor_ts"))
-        .groupBy("site_id", "anchor_ts")
-        .agg(F.max_by("_row", "ts").alias("_near"))
+    rows = series.select(
+        "site_id", "ts", packed.alias("_row"), whole_div(F.unix_micros("ts"), width_micros).alias("_bucket")
     )
-    bucket_rows = bucketed.groupBy("site_id", "_bucket").agg(F.max_by("_row", "ts").alias("_last"))
-    earlier = _carry_forward(bucket_rows, marked.select("site_id", "_bucket").distinct())
-    found = F.coalesce("_near", "_far")
-    return (
-        marked.join(earlier, ["site_id", "_bucket"], "left")
-        .join(same_bucket, ["site_id", "anchor_ts"], "left")
-        .select("site_id", "anchor_ts", found["ts"].alias("found_ts"), found["v"].alias(value_name))
+    marked = anchors.select(
+        "site_id", "anchor_ts", whole_div(F.unix_micros("anchor_ts"), width_micros).alias("_bucket")
+    ).distinct()
+    lists = marked.groupBy("site_id", "_bucket").agg(F.array_sort(F.collect_list("anchor_ts")).alias("_anchors"))
+    next_anchor = F.try_element_at(F.filter("_anchors", lambda a: a >= F.col("ts")), F.lit(1))
+    credited = (
+        rows.join(lists, ["site_id", "_bucket"], "left")
+        .groupBy("site_id", "_bucket", next_anchor.alias("anchor_ts"))
+        .agg(F.max_by("_row", "ts").alias("_row"))
     )
-
-
-def _carry_forward(bucket_rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Newest row of any strictly earlier bucket, for every wanted (site, bucket)."""
-    from pyspark.sql import Window
-
-    both = bucket_rows.unionByName(wanted, allowMissingColumns=True).groupBy("site_id", "_bucket").agg(
-        F.first("_last", ignorenulls=True).alias("_last")
+    steps = credited.unionByName(marked, allowMissingColumns=True).groupBy("site_id", "_bucket", "anchor_ts").agg(
+        F.first("_row", ignorenulls=True).alias("_row")
     )
-    before = (
-        Window.partitionBy("site_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    in_time = Window.partitionBy("site_id").orderBy("_bucket", F.col("anchor_ts").asc_nulls_last())
+    found = F.last("_row", ignorenulls=True).over(in_time.rowsBetween(Window.unboundedPreceding, 0))
+    carried = steps.withColumn("_found", found).where(F.col("anchor_ts").isNotNull())
+    return carried.select(
+        "site_id", "anchor_ts", F.col("_found.ts").alias("found_ts"), F.col("_found.v").alias(value_name)
     )
-    return both.select("site_id", "_bucket", F.last("_last", ignorenulls=True).over(before).alias("_far"))

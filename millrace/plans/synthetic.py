@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,6 +134,47 @@ def number_events(events: DataFrame, sites_before: Column, per_site: int, index_
     return events.withColumn("sequenceID", sequence_id(sites_before * F.lit(per_site) + index_in_site))
 
 
+def spec_from_config(config: Mapping) -> EventSpec:
+    """One event type's configuration: ``schema`` with a nested record list, ``ids``, limits and choices."""
+    schema = config["schema"]
+    nested = [field for value in schema.values() if isinstance(value, list) for field in value]
+    value_type = next((kinds["value"] for kinds in nested if "value" in kinds), "float")
+    defaults = EventSpec({})
+
+    def limits(kind: str, fallback: tuple) -> tuple:
+        low, high = config.get(f"{kind}_min_value"), config.get(f"{kind}_max_value")
+        return (fallback[0] if low is None else low, fallback[1] if high is None else high)
+
+    return EventSpec(
+        fields={name: kind for name, kind in schema.items() if not isinstance(kind, list)},
+        ids=tuple(str(i) for i in config.get("ids") or defaults.ids),
+        value_type=value_type,
+        allowed={str(k): v for k, v in (config.get("allowed_values") or {}).items()},
+        nullable=tuple(config.get("columns_with_none") or ()),
+        float_range=limits("f", defaults.float_range),
+        int_range=limits("i", defaults.int_range),
+        seed=config.get("seed", defaults.seed),
+    )
+
+
+def generate(sites: DataFrame, config: Mapping, path: str) -> None:
+    """Write the events of every configured type for every site, one JSON text per line.
+
+    ``config["event_types"]`` maps a type to its configuration with ``start_time``, ``end_time`` (both
+    included) and ``interval_seconds``.
+    """
+    for name, one in config["event_types"].items():
+        first, last = (datetime.fromisoformat(one[k]) for k in ("start_time", "end_time"))
+        start, end = (F.lit(one[k]).cast("timestamp") for k in ("start_time", "end_time"))
+        step = int(one["interval_seconds"])
+        count = int((last - first).total_seconds()) // step + 1
+        grid = time_grid(sites, start, end, step)
+        events = synthetic_events(grid, spec_from_config(one))
+        index = (F.unix_seconds("ts") - F.unix_seconds(start)) / step
+        numbered = number_events(events, F.col("site_id").cast("bigint"), count, index.cast("bigint"))
+        write_events(numbered.withColumn("eventtype", F.lit(name)).drop("ts"), path)
+
+
 def write_events(events: DataFrame, path: str) -> None:
     """Newline-delimited JSON, nulls kept."""
     events.write.mode("append").option("ignoreNullFields", "false").json(path)

@@ -27,6 +27,11 @@ def read_plant_config(spark: SparkSession, path: str) -> dict:
     return rows[0].asDict()
 
 
+def read_table(spark: SparkSession, name: str, folder: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """A laboratory table, from the catalog or from a folder of tables."""
+    return spark.read.table(name) if folder is None else spark.read.format(fmt).load(f"{folder}/{name}")
+
+
 def read_json_events(spark: SparkSession, path: str, schema: T.StructType = EVENT) -> DataFrame:
     """Newline-delimited JSON events; an empty folder gives an empty frame."""
     return typed_events(spark.read.schema(schema).json(path))
@@ -52,8 +57,13 @@ def append_events(events: DataFrame, path: str) -> None:
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partitions: tuple[str, ...] = ()) -> None:
-    """Write one micro-batch to its own folder. A replayed batch overwrites itself, so nothing is doubled."""
-    df.write.mode("overwrite").partitionBy(*partitions).parquet(f"{path}/batch_id={batch_id}")
+    """Write one micro-batch to its own folders. A replayed batch overwrites itself, so nothing is doubled.
+
+    The batch is the innermost folder: readers prune by the outer columns first.
+    """
+    marked = df.withColumn("batch_id", F.lit(batch_id))
+    writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions, "batch_id").parquet(path)
 
 
 def append_event_batch(events: DataFrame, path: str, batch_id: int) -> None:

@@ -28,7 +28,7 @@ def test_entry_points():
 
 
 def test_result_text_has_six_attributes_and_keeps_nulls(spark):
-    rows = QUERIES["results_json"](spark, SMALL).collect()
+    rows = QUERIES["results_json"](spark, "/root/testdata/sf0.01").collect()
     assert rows
     for row in rows:
         event = json.loads(row["value"])

@@ -150,3 +150,30 @@ def test_written_synthetic_events_read_back(spark):
     synthetic.write_events(made, path)
     back = src.read_json_events(spark, path).first()
     assert back["ts"].replace(tzinfo=None) == T0.replace(tzinfo=None) and len(back["records"]) == 2
+
+
+def test_configured_run_writes_every_event_type(spark):
+    one = {
+        "schema": {"timestamp": "Timestamp", "p_Up": "int", "records": [{"id": "int", "value": "Float"}]},
+        "start_time": "2024-10-05 08:00:00", "end_time": "2024-10-05 10:00:00", "ids": list(range(1, 16)), "interval_seconds": 60,
+        "allowed_values": {**{str(i): [0, 1] for i in range(1, 11)}, "p_Up": [0, 1]}, "f_min_value": 10.0, "f_max_value": 100.0,
+    }
+    path = scratch_path(spark, "generated")
+    sites = spark.range(3).select(F.col("id").cast("int").alias("site_id"))
+    synthetic.generate(sites, {"event_types": {"input": one, "other": {**one, "ids": None}}}, path)
+    made = spark.read.json(path)
+    assert {r["eventtype"]: r["count"] for r in made.groupBy("eventtype").count().collect()} == {"input": 363, "other": 363}
+    first = made.where("eventtype = 'input'")
+    assert first.select("sequenceID").distinct().count() == 363
+    assert first.where("size(records) = 15 and p_Up in (0, 1)").count() == 363
+    values = first.select(F.explode("records").alias("r")).where("cast(r.id as int) > 10").agg(F.min("r.value"), F.max("r.value")).first()
+    assert 10 <= values[0] < values[1] <= 100
+    assert made.where("eventtype = 'other'").select("records").first()[0][0]["id"] == "#NA"
+
+
+def test_tables_come_from_a_folder_or_the_catalog(spark):
+    folder = scratch_path(spark, "tables")
+    spark.range(3).write.parquet(f"{folder}/sample")
+    assert src.read_table(spark, "sample", folder).count() == 3
+    spark.range(2).createOrReplaceTempView("goal_view")
+    assert src.read_table(spark, "goal_view").count() == 2
