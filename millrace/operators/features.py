@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from millrace.config import Feature, StoreConfig, local_table
 from millrace.functions.scalar import at_least_flag, impute_when_up, mass_rate, ratio_or_null
 from millrace.functions.times import Grid
-from millrace.operators.history import ANCHOR, PLANT_SERIES
+from millrace.operators.history import ANCHOR, GROUP, PLANT_SERIES
 from millrace.operators.signals import centred_median
 from millrace.operators.trend import TREND_POINTS, TrendLimits, collect_points, trend_level
 
@@ -118,7 +118,7 @@ def cell_rows(frame: DataFrame, slots: Slots, wanted: Sequence[int]) -> DataFram
     constants = F.coalesce("constants", F.array_repeat(F.lit(None).cast("double"), len(PLANT_SERIES)))
     cells = F.coalesce("cells", F.array_repeat(F.lit(None).cast("double"), len(slots.tags)))
     every = F.concat(state, constants, cells)
-    rows = frame.select(*ANCHOR, "micros", "rank", "tail_rows", "plant_up", F.posexplode(every).alias("slot", "value"))
+    rows = frame.select(*GROUP, "micros", "rank", "tail_rows", "plant_up", F.posexplode(every).alias("slot", "value"))
     return rows.where(F.col("slot").isin(list(wanted)))
 
 
@@ -129,7 +129,7 @@ def smooth_cells(rows: DataFrame, slots: Slots, cfg: StoreConfig) -> DataFrame:
         return rows
     is_smoothed = F.col("slot").isin(smoothed)
     width = Grid(cfg.step_seconds).span(cfg.smooth_steps)
-    median = centred_median(F.when(is_smoothed, F.col("value")), [*ANCHOR, "slot"], "micros", width, cfg.smooth_min)
+    median = centred_median(F.when(is_smoothed, F.col("value")), [*GROUP, "slot"], "micros", width, cfg.smooth_min)
     return rows.withColumn("value", F.when(is_smoothed, median).otherwise(F.col("value")))
 
 
@@ -160,7 +160,7 @@ def feature_series(frame: DataFrame, cfg: StoreConfig, features: Sequence[Featur
         measures["p1"] = operand(1)
     if MASS_RATE in used:
         measures |= {"p2": operand(2), "p3": operand(3)}
-    grouped = joined.groupBy(*ANCHOR, "feature_id", "rank").agg(*[c.alias(n) for n, c in measures.items()])
+    grouped = joined.groupBy(*GROUP, "feature_id", "rank").agg(*[c.alias(n) for n, c in measures.items()])
 
     rows = grouped.join(function_table(spark, features), "feature_id")
     function = F.col("function")
@@ -185,7 +185,7 @@ def feature_series(frame: DataFrame, cfg: StoreConfig, features: Sequence[Featur
         state, constant = F.col("plant_up"), F.col("impute")
         second = F.when(is_list, impute_when_up(F.col("value2"), state, constant))
         rows = rows.withColumns({"value": impute_when_up(F.col("value"), state, constant), "value2": second})
-    return rows.select(*ANCHOR, "feature_id", "rank", "tail_rows", "value", "value2", "missing", "lag", "lag_ahead", "steps", "trended")
+    return rows.select(*GROUP, "feature_id", "rank", "tail_rows", "value", "value2", "missing", "lag", "lag_ahead", "steps", "trended")
 
 
 def aggregate_features(series: DataFrame, features: Sequence[Feature], limits: TrendLimits) -> DataFrame:
@@ -215,7 +215,7 @@ def aggregate_features(series: DataFrame, features: Sequence[Feature], limits: T
     if TORQUE in used:
         x = (TREND_POINTS - 1) - (rank - 1 - F.col("lag"))
         measures["points"] = collect_points(F.when(F.col("trended") & x.between(0, TREND_POINTS - 1), x), value)
-    totals = series.groupBy(*ANCHOR, "feature_id").agg(*[c.alias(n) for n, c in measures.items()])
+    totals = series.groupBy(*GROUP, "feature_id").agg(*[c.alias(n) for n, c in measures.items()])
 
     now, ahead = F.col("current_agg"), F.col("ahead_agg")
     current = F.when(now == MEAN, F.col("now_mean"))
