@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.reshape import stack_rows
+
 
 def survivor_per_key(df: DataFrame, keys: Sequence[str], prefer: Column) -> DataFrame:
     """One row per key, the one with the greatest ``prefer`` (make it unique for a fixed result)."""
@@ -41,4 +43,4 @@ def newest_and_rest(events: DataFrame, site: str = "site_id", ts: str = "ts") ->
 
 def live_and_historical(live: DataFrame, historical: DataFrame, drop: Sequence[str] = ()) -> DataFrame:
     """Union by name, without surrogate ids, each distinct row once."""
-    return live.unionByName(historical, allowMissingColumns=True).drop(*drop).distinct()
+    return stack_rows(live, historical, missing=True).drop(*drop).distinct()

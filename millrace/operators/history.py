@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.times import Grid, whole_div
-from millrace.operators.reshape import aligned_values
+from millrace.operators.reshape import aligned_values, stack_rows
 
 ANCHOR = ["site_id", "anchor_ts"]
 #: Grouping of frames: an anchor together with the block it belongs to. Sorts compare the first column
@@ -46,7 +46,7 @@ def sliced_rows(events: DataFrame, anchors: DataFrame, span_micros: int, width_m
     # horizons from sharing one shuffled copy of the events
     copies = events.withColumn("_block", F.explode_outer(seen_by)).join(keys, ["site_id", "_block"], "left_semi")
     count = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    merged = copies.unionByName(keys, allowMissingColumns=True).repartition(count, "site_id", "_block")
+    merged = stack_rows(copies, keys, missing=True).repartition(count, "site_id", "_block")
     ts = F.col("ts")
 
     def sees(anchor: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.times import whole_div
+from millrace.operators.reshape import stack_rows
 
 
 def anchor_slice(
@@ -59,7 +60,7 @@ def latest_before(
         .groupBy("site_id", "_bucket", next_anchor.alias("anchor_ts"))
         .agg(F.max_by("_row", "ts").alias("_row"))
     )
-    steps = credited.unionByName(marked, allowMissingColumns=True).groupBy("site_id", "_bucket", "anchor_ts").agg(
+    steps = stack_rows(credited, marked, missing=True).groupBy("site_id", "_bucket", "anchor_ts").agg(
         F.first("_row", ignorenulls=True).alias("_row")
     )
     in_time = Window.partitionBy("site_id").orderBy("_bucket", F.col("anchor_ts").asc_nulls_last())

@@ -49,16 +49,22 @@ def keep_present(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
     return df.select(*[c for c in wanted if c in df.columns])
 
 
-def stack_rows(*frames: DataFrame) -> DataFrame:
-    """Vertical concatenation by column name."""
+def stack_rows(*frames: DataFrame, missing: bool = False) -> DataFrame:
+    """Vertical concatenation by column name; ``missing`` fills absent columns with null.
+
+    Spark 4.1 may take a union of equally partitioned inputs for partitioned itself although adaptive
+    execution has changed an input, and then fails or skips a needed shuffle. That reading is switched
+    off for the session, so joins and groupings above a union always shuffle when they have to.
+    """
     first, *rest = frames
+    first.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
     for other in rest:
-        first = first.unionByName(other)
+        first = first.unionByName(other, allowMissingColumns=missing)
     return first
 
 
 def aligned_values(records: Column, tags: Sequence[str]) -> Column:
     """Readings of the listed tags, in list order, as a compact array; tags without a reading are null."""
     lookup = F.map_from_entries(F.filter(records, lambda r: r["id"].isNotNull()))
-    wanted = F.array(*[F.lit(t) for t in tags])
-    return F.transform(wanted, lambda t: F.try_element_at(lookup, t))
+    # one lookup per tag: inside a lambda the column would be invisible to the optimizer's constraints
+    return F.array(*[F.try_element_at(lookup, F.lit(t)) for t in tags]).cast("array<double>")

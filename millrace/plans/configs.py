@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.config import Feature, StoreConfig, bounded_rows
 from millrace.functions.scalar import normalise_text, split_list
-from millrace.operators.reshape import explode_structs
+from millrace.operators.reshape import explode_structs, stack_rows
 from millrace.schemas import MATCH_KEYS
 
 #: Text columns of the features configuration that are compared in lower case.
@@ -95,12 +95,12 @@ def scope_for(chosen: DataFrame, features: DataFrame, pairs: DataFrame, tags: Da
 
 def scope_columns(scope: Scope) -> DataFrame:
     """Every tag, run tag and feature id (as text) the scope reads."""
-    return (
-        scope.feature_tags.select("tag_id").dropna()
-        .union(scope.run_tags.select("run_tag"))
-        .union(scope.feature_tags.select(F.col("id").cast("string")))
-        .distinct()
+    names = (
+        scope.feature_tags.select(F.col("tag_id").alias("name")).dropna(),
+        scope.run_tags.select(F.col("run_tag").alias("name")),
+        scope.feature_tags.select(F.col("id").cast("string").alias("name")),
     )
+    return stack_rows(*names).distinct()
 
 
 def split_horizon(pairs: DataFrame, long_minutes: int) -> tuple[DataFrame, DataFrame]:

@@ -14,6 +14,7 @@ from millrace.operators.gate import GateFeatures, GateRules, gate_inputs, passed
 from millrace.operators.history import ANCHOR, compact_events, long_frame, short_frame
 from millrace.operators.joins import latest_before
 from millrace.operators.optimal import mask_stopped_equipment, optimal_state
+from millrace.operators.reshape import stack_rows
 from millrace.operators.results import nested_results
 from millrace.plans.configs import require_rows
 from millrace.session import cut_lineage
@@ -49,10 +50,7 @@ def compute_features(events: DataFrame, anchors: DataFrame, cfg: StoreConfig) ->
         frame = long_frame(compact_events(corrected, slots.tags), anchors, cfg)
         # long frames carry no plant state, so nothing is imputed there
         parts.append(frame_features(frame, cfg, cfg.long_features, slots, impute=False))
-    result = parts[0]
-    for other in parts[1:]:
-        result = result.unionByName(other)
-    return result
+    return stack_rows(*parts)
 
 
 def gate_anchors(events: DataFrame, changes: DataFrame, anchors: DataFrame, cfg: StoreConfig, ids: GateFeatures, rules: GateRules) -> DataFrame:
