@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from millrace.llm import exact_dedup, line_dedup, sharding
+from millrace.llm import bpe, exact_dedup, line_dedup, planes, sharding
 
 QUERIES = {
+    "op2_bpe_round_trip": bpe.op2_bpe_round_trip,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_byte_shards": sharding.op4_byte_shards,
     "op6_line_dedup": line_dedup.op6_line_dedup,
+    "op7_id_planes": planes.op7_id_planes,
 }
 
 ORACLES = {
