@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from millrace.llm import bpe, exact_dedup, line_dedup, planes, sharding
+from millrace.llm import bpe, exact_dedup, language, line_dedup, planes, sharding
 
 QUERIES = {
+    "op1_language_id": language.op1_language_id,
     "op2_bpe_round_trip": bpe.op2_bpe_round_trip,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_byte_shards": sharding.op4_byte_shards,
