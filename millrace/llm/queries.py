@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import bpe, exact_dedup, language, line_dedup, planes, sharding
+from millrace.llm import bpe, chat, exact_dedup, language, line_dedup, planes, sharding, toxicity
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
@@ -11,6 +11,8 @@ QUERIES = {
     "op4_byte_shards": sharding.op4_byte_shards,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_id_planes": planes.op7_id_planes,
+    "op9_chat_examples": chat.op9_chat_examples,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLES = {
