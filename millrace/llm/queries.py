@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from millrace.llm import bpe, chat, exact_dedup, language, line_dedup, planes, sharding, toxicity
+from millrace.llm import bpe, chat, decontaminate, exact_dedup, language, line_dedup, planes, sharding, toxicity
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
     "op2_bpe_round_trip": bpe.op2_bpe_round_trip,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_byte_shards": sharding.op4_byte_shards,
+    "op5_decontamination": decontaminate.op5_decontamination,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_id_planes": planes.op7_id_planes,
     "op9_chat_examples": chat.op9_chat_examples,
@@ -17,5 +18,6 @@ QUERIES = {
 
 ORACLES = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
+    "op5_decontamination": decontaminate.OP5_SQL,
     "op6_line_dedup": line_dedup.OP6_SQL,
 }
