@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import bpe, chat, decontaminate, exact_dedup, language, line_dedup, planes, sharding, toxicity
+from millrace.llm import bpe, chat, decontaminate, exact_dedup, language, line_dedup, minhash, planes, sharding, toxicity
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_decontamination": decontaminate.op5_decontamination,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_id_planes": planes.op7_id_planes,
+    "op8_minhash": minhash.op8_minhash,
     "op9_chat_examples": chat.op9_chat_examples,
     "op10_toxicity": toxicity.op10_toxicity,
 }
