@@ -3,18 +3,59 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm.common import materialise, table
+from millrace.llm.bpe import default_vocabulary, round_trip
+from millrace.llm.common import materialise, packed, table, unpacked
+from millrace.llm.decontaminate import remove_contaminated
 from millrace.llm.line_dedup import drop_emptied, remove_repeated_lines
+from millrace.llm.minhash import near_duplicates
+from millrace.llm.toxicity import learn_field, score_toxicity
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id is in ``rejected``; rows without an id stay."""
+    rows = docs.select(packed(docs).alias("doc"), docs["doc_id"].alias("_id"))
+    return unpacked(rows.join(rejected, rows["_id"] == rejected["rejected_id"], "left_anti"), "doc", docs.columns)
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go. The model is learned from labelled documents of this stage's input."""
+    model = learn_field(docs, table(spark, sf_dir, "labels"))
+    scored = score_toxicity(docs, model)
+    return _without(docs, scored.filter("predicted = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("rejected_id")).distinct())
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages go; documents of which nothing is left go with them."""
+    """Lines of repeated passages go from all but their first place, and documents of which nothing is left with them."""
     return drop_emptied(remove_repeated_lines(docs))
 
 
-STAGES = [("line_dedup", line_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays."""
+    decided = near_duplicates(docs)
+    return _without(docs, decided.filter("NOT kept").select(F.col("doc_id").alias("rejected_id")).distinct())
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of ten words of the benchmark go."""
+    return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every remaining text is encoded and decoded again: number of tokens and digests of both."""
+    return round_trip(docs, default_vocabulary())
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("line_dedup", line_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("bpe_round_trip", encoding_stage),
+]
 
+#: The trained field, the BPE encoder and components of near duplicates are beyond SQL; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 
