@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from millrace.llm.language import held_out
 
 #: Bounds of the labelled sample: toxic and clean documents, and the longest document in it.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_DOC_BYTES = 2000, 6000, 1 << 15
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_DOC_BYTES = 1500, 4500, 1 << 14
 #: Documents of each kind whose tokens the field is fitted to, and rounds of fitting.
 FIT_DOCS, FIT_ROUNDS = 400, 40
 #: Momentum, and the pull of all weights to zero.
@@ -139,31 +139,38 @@ def marginals(emissions, first, model: Field):
     return np.ascontiguousarray(out.T).reshape(-1)[:n], pairs
 
 
-def telling_features(documents: list[tuple[set[str], bool]]) -> tuple[dict[str, float], Counter]:
-    """Features that label tokens of toxic documents, with their log ratio, and in how many documents each feature occurs.
+#: Fewer toxic documents than this tell nothing about a feature.
+LEAST_TOXIC = 3
+
+
+def telling_features(split: list[tuple[list[str], bool]]) -> tuple[set[str], Counter]:
+    """Features that label tokens of toxic documents, and in how many documents each feature of toxic documents occurs.
 
     A feature tells when its share is ``exp(LOG_RATIO)`` times as large among toxic documents and the likelihood ratio against
-    chance exceeds the log of the number of features.
+    chance exceeds the log of the number of features. Features of clean documents are counted only where they matter.
     """
-    toxic, clean = Counter(), Counter()
-    for found, is_toxic in documents:
-        (toxic if is_toxic else clean).update(found)
-    n_toxic = sum(is_toxic for _, is_toxic in documents)
-    n_clean = len(documents) - n_toxic
-    everywhere = toxic + clean
+    toxic = Counter()
+    for tokens, is_toxic in split:
+        if is_toxic:
+            toxic.update({f for t in set(tokens) for f in features(t)})
+    n_features = len(toxic) + 2
+    toxic = Counter({f: n for f, n in toxic.items() if n >= LEAST_TOXIC})
+    clean = Counter()
+    for tokens, is_toxic in split:
+        if not is_toxic:
+            clean.update({f for t in set(tokens) for f in features(t) if f in toxic})
+    n_toxic = sum(is_toxic for _, is_toxic in split)
+    n_clean = len(split) - n_toxic
     if not n_toxic or not n_clean:
-        return {}, everywhere
-    least, base, telling = math.log(len(everywhere) + 2), n_toxic / (n_toxic + n_clean), {}
+        return set(), toxic
+    least, base, telling = math.log(n_features), n_toxic / (n_toxic + n_clean), set()
     for f, a in toxic.items():
         c = clean[f]
         ratio = math.log((a + 0.5) / (n_toxic + 1)) - math.log((c + 0.5) / (n_clean + 1))
-        if ratio < LOG_RATIO:
-            continue
         share = a / (a + c)
-        surprise = a * math.log(share / base) + (c * math.log((1 - share) / (1 - base)) if c else 0.0)
-        if surprise > least:
-            telling[f] = ratio
-    return telling, everywhere
+        if ratio >= LOG_RATIO and a * math.log(share / base) + (c * math.log((1 - share) / (1 - base)) if c else 0.0) > least:
+            telling.add(f)
+    return telling, toxic + clean
 
 
 def without_copies(split: list[tuple[list[str], bool]], marks: int = 24, shared: int = 6) -> list[tuple[list[str], bool]]:
@@ -187,8 +194,9 @@ def fit_field(texts: list[tuple[str, bool]], fit_docs: int = FIT_DOCS, rounds: i
     """A field and document score from labelled texts; without toxic or without clean ones, one that finds nothing."""
     import numpy as np
 
-    split = without_copies([(re.findall(TOKENS, text), toxic) for text, toxic in texts])
-    telling, counts = telling_features([({f for t in set(tokens) for f in features(t)}, toxic) for tokens, toxic in split])
+    one: dict[str, str] = {}
+    split = without_copies([([one.setdefault(t, t) for t in re.findall(TOKENS, text)], toxic) for text, toxic in texts])
+    telling, counts = telling_features(split)
     if not telling:
         return Field()
     named = dict.fromkeys(telling)
