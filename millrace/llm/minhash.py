@@ -182,7 +182,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     stars = members.filter("node <> centre.node").select(F.col("node").alias("a"), F.col("centre.node").alias("b"), "n", F.col("centre.n").alias("n_b"))
     pairs = materialise(stars.filter(_fits("n", "n_b")).select("a", "b").distinct(), "pairs")
-    links = materialise(confirmed(pairs, sets), "links")
+    links = materialise(confirmed(pairs, sets).unionByName(_same_ids(known, classes, keys)), "links")
     components, compared = connected_components(links), pairs
 
     waiting, n_centres = members.filter("node <> centre.node").select("bucket", "node", "n"), GROWTH
@@ -211,6 +211,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def _same_ids(known: DataFrame, classes: DataFrame, keys: list[str]) -> DataFrame:
+    """Links ``a, b`` between the classes of ids that occur with different sets."""
+    one, other = (f(F.struct(*keys)).alias(name) for f, name in ((F.min, "one"), (F.max, "other")))
+    several = known.groupBy("doc_id").agg(one, other).filter("one <> other").select("doc_id")
+    nodes = known.join(several, "doc_id").join(classes.select(*keys, "node"), keys).select("doc_id", "node").distinct()
+    least = nodes.groupBy("doc_id").agg(F.min("node").alias("b"))
+    return nodes.join(least, "doc_id").filter("node <> b").select(F.col("node").alias("a"), "b")
+
+
 def _open_members(members: DataFrame, components: DataFrame) -> DataFrame:
     """Members of buckets in which more than one component waits, with their own and their bucket's ``largest`` component."""
     own = components.select("node", "component")
