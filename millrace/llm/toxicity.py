@@ -47,7 +47,7 @@ class Field:
     """Weights in favour of state 1 (toxic); ``moves[i][j]`` is the weight of state j after i, ``start`` that of a first token."""
 
     weights: dict[str, float] = field(default_factory=dict)
-    bias: float = 0.0
+    bias: float = -10.0
     moves: tuple = ((0.0, 0.0), (0.0, 0.0))
     start: tuple = (0.0, 0.0)
     #: Of the document score: constant, largest marginal, log of the expected number of toxic tokens.
