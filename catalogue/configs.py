@@ -34,12 +34,12 @@ def features_config(spark, sf):
 
 
 def tags_config(spark, sf):
-    """Suppliers nested by nation within region as a tags configuration."""
+    """Suppliers nested by nation as a tags configuration: nations by region, suppliers from the last to the first."""
     key = F.col("s_suppkey")
     tag = F.struct(
         key.cast("string").alias("enterpriseId"),
         F.when(key % 3 == 0, "discrete").otherwise("numeric").alias("tagType"),
-        F.when(key % 10 == 0, "Critical Run Status").otherwise("Normal").alias("criticality"),
+        F.when(key % 5 == 0, "Critical Run Status").otherwise("Normal").alias("criticality"),
         F.concat(F.lit("UNIT"), F.expr("cast(s_suppkey div 10 as string)")).alias("equipment"),
         F.concat(F.lit("AREA"), (key % 2).cast("string"), F.lit(" ")).alias("area"),
         F.concat(F.lit("Line"), (key % 5).cast("string")).alias("line"),
@@ -47,8 +47,10 @@ def tags_config(spark, sf):
         F.concat(F.lit(" p"), (key % 2).cast("string")).alias("position"),
     )
     suppliers = t.table(spark, sf, "supplier").join(t.table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    nations = suppliers.groupBy("n_regionkey", "n_nationkey").agg(F.collect_list(tag).alias("tags"))
-    return nations.groupBy("n_regionkey").agg(F.collect_list(F.struct("tags")).alias("sites")).select("sites")
+    ordered = F.array_sort(F.collect_list(F.struct((-key).alias("place"), tag.alias("tag"))))
+    nations = suppliers.groupBy("n_regionkey", "n_nationkey").agg(F.transform(ordered, lambda x: x["tag"]).alias("tags"))
+    sites = F.array_sort(F.collect_list(F.struct("n_regionkey", "n_nationkey", F.struct("tags").alias("site"))))
+    return nations.agg(F.transform(sites, lambda x: x["site"]).alias("sites"))
 
 
 def present_tags(spark, sf):
@@ -79,7 +81,7 @@ features AS (
   FROM part, unnest(['unit' || (p_partkey // 200), 'unit' || (p_partkey // 200 + 1)]) u(equipment)),
 tags AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS "enterpriseId", CASE WHEN s_suppkey % 3 = 0 THEN 'discrete' ELSE 'numeric' END AS "tagType",
-    CASE WHEN s_suppkey % 10 = 0 THEN 'Critical Run Status' ELSE 'Normal' END AS criticality, 'unit' || (s_suppkey // 10) AS equipment,
+    CASE WHEN s_suppkey % 5 = 0 THEN 'Critical Run Status' ELSE 'Normal' END AS criticality, 'unit' || (s_suppkey // 10) AS equipment,
     'area' || (s_suppkey % 2) AS area, 'line' || (s_suppkey % 5) AS line, 'flow' AS measure, 'p' || (s_suppkey % 2) AS position
   FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_discount >= 0.05)),
 runs AS (
@@ -94,7 +96,7 @@ pairs AS (
 
 @query("config_normalise", "WITH " + SQL_CONFIG + "SELECT * FROM features")
 def config_normalise(spark, sf):
-    return configs.normalise_features(features_config(spark, sf))
+    return configs.normalise_features(features_config(spark, sf)).drop("equipment_place")
 
 
 @query("plant_condition_ids", "WITH " + SQL_CONFIG + """SELECT DISTINCT id FROM features WHERE "plantCondition" = 'true'""")
@@ -104,7 +106,7 @@ def plant_condition_ids(spark, sf):
 
 @query("tag_config", "WITH " + SQL_CONFIG + "SELECT * FROM tags")
 def tag_config(spark, sf):
-    return configs.normalise_tags(tags_config(spark, sf), present_tags(spark, sf))
+    return configs.normalise_tags(tags_config(spark, sf), present_tags(spark, sf)).drop("place")
 
 
 @query("run_tag_config", "WITH " + SQL_CONFIG + "SELECT * FROM runs")
@@ -118,8 +120,9 @@ def _shown(pairs):
 
 @query("feature_tag_config", "WITH " + SQL_CONFIG + """
 SELECT id, function, lag, "nullImpute", "nullThreshold", "currentTimeAggregation", "anticipatedTimeAggregation",
-       "timeAggregationMinutes", replace("customInput", ',', '|') AS "customInput", coalesce(string_agg(tag_id, '|' ORDER BY tag_id), '') AS tags
-FROM pairs GROUP BY ALL""")
+       "timeAggregationMinutes", replace("customInput", ',', '|') AS "customInput",
+       coalesce(string_agg(tag_id, '|' ORDER BY s_suppkey // 10 - id // 200, n_regionkey, n_nationkey, s_suppkey DESC), '') AS tags
+FROM pairs LEFT JOIN supplier ON tag_id = CAST(s_suppkey AS VARCHAR) LEFT JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL""")
 def feature_tag_config(spark, sf):
     features, tags, _ = _parts(spark, sf)
     lists = configs.feature_tag_lists(configs.feature_tags(features, tags))

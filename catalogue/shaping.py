@@ -160,7 +160,7 @@ FROM telemetry e LEFT JOIN telemetry r ON e.site_id = r.site_id AND e.ts = r.ts
 
 @query("run_status_mask", RUN_MASK)
 def run_status_mask(spark, sf):
-    masked = optimal.mask_stopped_equipment(t.events(spark, sf), t.RUN_TAG_OF)
+    masked = optimal.mask_stopped_equipment(t.events(spark, sf), t.RUN_TAGS_OF)
     return t.plain(optimal.records_to_long(masked, ["site_id", "ts"]), "ts")
 
 

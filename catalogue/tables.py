@@ -15,8 +15,7 @@ from millrace.operators.optimal import long_to_events
 
 STEP = 3600
 TAGS = ["click", "error", "purchase", "signup", "view"]
-FIRST_ANCHOR = "2024-01-08"
-RUN_TAG_OF = {"purchase": "error", "signup": "error"}
+RUN_TAGS_OF = {"purchase": ("error",), "signup": ("error",)}
 SMOOTHED = ("click", "purchase", "view")
 CHANGE_VALUE = 200.0
 DIGITS = 6
@@ -67,10 +66,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every midnight from the eighth day on at which a site reported."""
+    """Every midnight at which a site reported; the first ones have little or no history."""
     ts = F.date_trunc("hour", "ts")
-    midnight = (ts == F.date_trunc("day", "ts")) & (ts >= F.lit(FIRST_ANCHOR).cast("timestamp"))
-    return raw_events(spark, sf_dir).where(midnight).select("site_id", ts.alias("anchor_ts")).distinct()
+    return raw_events(spark, sf_dir).where(ts == F.date_trunc("day", "ts")).select("site_id", ts.alias("anchor_ts")).distinct()
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +101,7 @@ FEATURES = (
 CONFIG = StoreConfig(
     features=FEATURES,
     smoothed_tags=SMOOTHED,
-    run_tag_of=RUN_TAG_OF,
+    run_tags_of=RUN_TAGS_OF,
     critical_tags=("error",),
     optimal_tag="view",
     optimal_threshold=8.0,
@@ -143,7 +141,7 @@ plant AS (
 SQL_ANCHORS = """
 anchors AS (
   SELECT DISTINCT site_id, ts AS anchor_ts FROM telemetry
-  WHERE ts = date_trunc('day', ts) AND ts >= TIMESTAMP '2024-01-08'
+  WHERE ts = date_trunc('day', ts)
 )"""
 SQL_BASE = SQL_TELEMETRY + "," + SQL_PLANT + "," + SQL_ANCHORS
 SQL_TAGS = "(VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view')) AS t(tag_id)"

@@ -35,7 +35,8 @@ class StoreConfig:
 
     features: tuple[Feature, ...]
     smoothed_tags: tuple[str, ...] = ()
-    run_tag_of: dict = field(default_factory=dict)
+    #: run tags by dependent tag
+    run_tags_of: dict = field(default_factory=dict)
     critical_tags: tuple[str, ...] = ()
     optimal_tag: str | None = None
     optimal_threshold: float = 600.0

@@ -15,9 +15,13 @@ from millrace.operators.reshape import stack_rows
 
 
 def survivor_per_key(df: DataFrame, keys: Sequence[str], prefer: Column) -> DataFrame:
-    """One row per key, the one with the greatest ``prefer`` (make it unique for a fixed result)."""
+    """One row per key, the one with the greatest ``prefer``.
+
+    A null ``prefer`` is below every other, so a key whose rows all lack it keeps one of them; rows with equal ``prefer`` are told
+    apart by a hash of their other columns, so the result does not depend on their order.
+    """
     rest = [c for c in df.columns if c not in keys]
-    packed = F.max_by(F.struct(*rest), prefer).alias("_row")
+    packed = F.max_by(F.struct(*rest), F.struct(prefer.alias("prefer"), F.xxhash64(*rest).alias("tie"))).alias("_row")
     return df.groupBy(*keys).agg(packed).select(*keys, "_row.*")
 
 

@@ -25,6 +25,9 @@ MEAN, MAX, MASS_RATE = "mean", "max", "thickener_underflow_mass_rate"
 TARGET, GREATER, PASSTHROUGH = "moisture_target", "greater", "passthrough"
 LAST, TORQUE, RATIO, MEAN_GREATER = "last", "torque", "ratio", "mean_greater"
 
+FUNCTIONS = frozenset({MEAN, MAX, MASS_RATE, TARGET, GREATER, PASSTHROUGH})
+AGGREGATIONS = frozenset({MEAN, LAST, TORQUE, RATIO, MEAN_GREATER})
+
 #: Slot of the plant state in the exploded cells; it gives features without tags a row at every instant.
 STATE_SLOT = 0
 FIRST_TAG_SLOT = 1 + len(PLANT_SERIES)
@@ -40,6 +43,13 @@ def operands(feature: Feature) -> tuple[str, ...]:
     return feature.tags
 
 
+def require_pairs(features: Sequence[Feature]) -> None:
+    """A ratio is of exactly two readings: raise for a feature that would take it of fewer or of more."""
+    wrong = [f.id for f in features if RATIO in (f.current, f.anticipated) and len(operands(f)) != 2]
+    if wrong:
+        raise ValueError(f"a ratio needs two tags: features {', '.join(map(str, wrong))}")
+
+
 def needed_tags(features: Sequence[Feature], cfg: StoreConfig) -> list[str]:
     """Tags the features read; everything else is dropped before the first shuffle."""
     return sorted({t for f in features for t in operands(f)} - set(PLANT_SERIES))
@@ -194,6 +204,7 @@ def aggregate_features(series: DataFrame, features: Sequence[Feature], limits: T
     Shifting by ``lag`` rows and taking the newest ``n`` reads the rows ranked ``lag+1 .. lag+n``, so no
     shifted series is ever built.
     """
+    require_pairs(features)
     rank, value = F.col("rank"), F.col("value")
     span = F.coalesce("tail_rows", "steps")
     in_now = rank.between(F.col("lag") + 1, F.col("lag") + span)

@@ -38,39 +38,44 @@ def optimal_state(events: DataFrame, optimal_tag: str, threshold: float, critica
     )
 
 
-def mask_stopped_equipment(events: DataFrame, run_tag_of: Mapping[str, str]) -> DataFrame:
-    """Keep a tag's reading only where its run tag reads 1; tags without a run tag are untouched.
+def _all_on(run_tags: Column, running: Column) -> Column:
+    return F.size(F.array_except(run_tags, running)) == 0
 
-    ``run_tag_of`` maps dependent tags to their run tag. A missing or null run reading masks too.
+
+def mask_stopped_equipment(events: DataFrame, run_tags_of: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Keep a tag's reading only where all its run tags read 1; tags without a run tag are untouched.
+
+    ``run_tags_of`` maps dependent tags to their run tags. A missing or null run reading masks too.
     """
-    if not run_tag_of:
+    if not run_tags_of:
         return events
-    owner = F.create_map(*[F.lit(x) for pair in sorted(run_tag_of.items()) for x in pair])
+    owner = F.create_map(*[x for tag, runs in sorted(run_tags_of.items()) for x in (F.lit(tag), _literal_set(sorted(runs)))])
     running = F.transform(F.filter("records", lambda r: r["value"] == 1.0), lambda r: r["id"])
 
     def masked(r: Column) -> Column:
-        run_tag = F.try_element_at(owner, r["id"])
-        keep = run_tag.isNull() | F.array_contains(F.col("_running"), run_tag)
+        run_tags = F.try_element_at(owner, r["id"])
+        keep = run_tags.isNull() | _all_on(run_tags, F.col("_running"))
         return F.struct(r["id"].alias("id"), F.when(keep, r["value"]).alias("value"))
 
     return events.withColumn("_running", running).withColumn("records", F.transform("records", masked)).drop("_running")
 
 
-def mask_stopped_equipment_long(telemetry: DataFrame, run_tag_of: DataFrame, keys: Sequence[str] = ("site_id", "ts")) -> DataFrame:
-    """The same for long telemetry, with the mapping ``(tag_id, run_tag)`` as a table of any size.
+def mask_stopped_equipment_long(telemetry: DataFrame, run_tags: DataFrame, keys: Sequence[str] = ("site_id", "ts")) -> DataFrame:
+    """The same for long telemetry, with the mapping ``(tag_id, run_tag)``, a row for each pair, as a table of any size.
 
     Each instant's readings of run tags travel to its other rows in one nested row, so rows without a run
     tag never meet on a shared null key.
     """
-    mapped = telemetry.join(run_tag_of.select("tag_id", "run_tag"), "tag_id", "left")
-    item = F.struct(F.col("tag_id").alias("id"), F.col("value"), F.col("run_tag"))
+    owned = run_tags.groupBy("tag_id").agg(F.collect_set("run_tag").alias("run_tags"))
+    mapped = telemetry.join(owned, "tag_id", "left")
+    item = F.struct(F.col("tag_id").alias("id"), F.col("value"), F.col("run_tags"))
     rows = mapped.groupBy(*keys).agg(F.collect_list(item).alias("records"))
     running = F.transform(F.filter("records", lambda r: r["value"] == 1.0), lambda r: r["id"])
     masked = F.transform(
         "records",
         lambda r: F.struct(
             r["id"].alias("tag_id"),
-            F.when(r["run_tag"].isNull() | F.array_contains(F.col("_running"), r["run_tag"]), r["value"]).alias("value"),
+            F.when(r["run_tags"].isNull() | _all_on(r["run_tags"], F.col("_running")), r["value"]).alias("value"),
         ),
     )
     return explode_structs(rows.withColumn("_running", running).select(*keys, masked.alias("records")), "records")

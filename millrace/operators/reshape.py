@@ -14,6 +14,13 @@ def explode_structs(df: DataFrame, list_column: str) -> DataFrame:
     return df.select(*kept, F.explode_outer(list_column).alias("_item")).select(*kept, "_item.*")
 
 
+def explode_structs_in_order(df: DataFrame, list_column: str, position: str) -> DataFrame:
+    """The same, with the element's place in its list (from 0; null for a row kept without one)."""
+    kept = [c for c in df.columns if c != list_column]
+    rows = df.select(*kept, F.posexplode_outer(list_column).alias(position, "_item"))
+    return rows.select(*kept, position, "_item.*")
+
+
 def nest_records(df: DataFrame, keys: Sequence[str], ident: str = "tag_id", value: str = "value") -> DataFrame:
     """One row per key with its readings as a list of ``{id, value}`` in id order."""
     record = F.struct(F.col(ident).alias("id"), F.col(value).alias("value"))
@@ -52,19 +59,30 @@ def keep_present(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
 def stack_rows(*frames: DataFrame, missing: bool = False) -> DataFrame:
     """Vertical concatenation by column name; ``missing`` fills absent columns with null.
 
-    Spark 4.1 may take a union of equally partitioned inputs for partitioned itself although adaptive
-    execution has changed an input, and then fails or skips a needed shuffle. That reading is switched
-    off for the session, so joins and groupings above a union always shuffle when they have to.
+    Spark 4.1 may take a union of equally partitioned inputs for partitioned itself although adaptive execution has changed an
+    input, and then fails or skips a needed shuffle. ``session.use_utc`` and ``session.build_session`` switch that reading off;
+    a session set up otherwise needs ``spark.sql.unionOutputPartitioning`` to be false.
     """
     first, *rest = frames
-    first.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
     for other in rest:
         first = first.unionByName(other, allowMissingColumns=missing)
     return first
 
 
 def aligned_values(records: Column, tags: Sequence[str]) -> Column:
-    """Readings of the listed tags, in list order, as a compact array; tags without a reading are null."""
-    lookup = F.map_from_entries(F.filter(records, lambda r: r["id"].isNotNull()))
+    """Readings of the listed tags, in list order, as a compact array; tags without a reading are null.
+
+    Of several readings of one tag the last counts (``repeated_readings`` reports them).
+    """
+    named = F.filter(records, lambda r: r["id"].isNotNull())
+    ids = F.transform(named, lambda r: r["id"])
+    last_only = F.filter(named, lambda r, i: ~F.exists(F.slice(named, i + 2, F.size(named)), lambda later: later["id"] == r["id"]))
+    lookup = F.map_from_entries(F.when(F.size(F.array_distinct(ids)) < F.size(ids), last_only).otherwise(named))
     # one lookup per tag: inside a lambda the column would be invisible to the optimizer's constraints
     return F.array(*[F.try_element_at(lookup, F.lit(t)) for t in tags]).cast("array<double>")
+
+
+def repeated_readings(events: DataFrame, keys: Sequence[str] = ("site_id", "ts")) -> DataFrame:
+    """Tags that one event holds more than once: ``(keys..., tag_id, surplus)``."""
+    long = events.select(*keys, F.explode("records").alias("_item")).select(*keys, F.col("_item.id").alias("tag_id"))
+    return long.groupBy(*keys, "tag_id").agg((F.count("*") - 1).alias("surplus")).where("surplus > 0")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from millrace.config import Feature, StoreConfig, bounded_rows
 from millrace.functions.scalar import normalise_text, split_list
-from millrace.operators.reshape import explode_structs, stack_rows
+from millrace.operators.features import AGGREGATIONS, FUNCTIONS
+from millrace.operators.reshape import explode_structs, explode_structs_in_order, stack_rows
 from millrace.schemas import MATCH_KEYS
 
 #: Text columns of the features configuration that are compared in lower case.
@@ -31,7 +32,8 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
 def normalise_features(config: DataFrame, list_column: str = "features") -> DataFrame:
     """One row per feature and equipment, compared texts in lower case without outer spaces."""
     rows = explode_structs(config, list_column)
-    per_equipment = rows.withColumn("equipment", F.explode_outer(split_list(F.col("equipment"))))
+    others = [c for c in rows.columns if c != "equipment"]
+    per_equipment = rows.select(*others, F.posexplode_outer(split_list(F.col("equipment"))).alias("equipment_place", "equipment"))
     return per_equipment.withColumns({c: normalise_text(F.col(c)) for c in FEATURE_TEXTS})
 
 
@@ -41,8 +43,12 @@ def condition_features(features: DataFrame, is_condition: str) -> DataFrame:
 
 
 def normalise_tags(config: DataFrame, present: DataFrame | None = None) -> DataFrame:
-    """One row per tag of the doubly nested configuration, only tags that occur in the input."""
-    tags = explode_structs(explode_structs(config, "sites"), "tags")
+    """One row per tag of the doubly nested configuration, only tags that occur in the input.
+
+    ``place`` orders the tags as the configuration lists them, within sites and sites among each other.
+    """
+    sites = explode_structs_in_order(config, "sites", "_site")
+    tags = explode_structs_in_order(sites, "tags", "_tag").withColumn("place", F.struct("_site", "_tag")).drop("_site", "_tag")
     tags = tags.withColumns({c: normalise_text(F.col(c)) for c in MATCH_KEYS})
     if present is None:
         return tags
@@ -57,16 +63,21 @@ def run_tag_pairs(tags: DataFrame, is_run_tag: Column, on: str = "equipment") ->
 
 
 def feature_tags(features: DataFrame, tags: DataFrame, match: list[str] | None = None) -> DataFrame:
-    """One row per feature and tag, with the tag's position among the feature's tags; ``tag_id`` is null for none."""
+    """One row per feature and tag; ``place`` orders a feature's tags by its equipment, then as the tags are configured.
+
+    ``tag_id`` is null for a feature without tags.
+    """
     match = match or MATCH_KEYS
-    named = tags.select(*match, F.col("enterpriseId").alias("tag_id"))
-    joined = features.join(named, match, "left").select(*FEATURE_KEYS, "tag_id")
+    named = tags.select(*match, F.col("enterpriseId").alias("tag_id"), F.col("place").alias("_place"))
+    place = F.struct("equipment_place", "_place").alias("place")
+    joined = features.join(named, match, "left").select(*FEATURE_KEYS, "tag_id", place)
     return joined.withColumn("customInput", split_list(F.col("customInput")))
 
 
 def feature_tag_lists(pairs: DataFrame) -> DataFrame:
-    """One row per feature with its tags as a sorted list (empty when it has none)."""
-    return pairs.groupBy(*FEATURE_KEYS).agg(F.array_sort(F.collect_list("tag_id")).alias("tags"))
+    """One row per feature with its tags as a list in configuration order (empty when it has none)."""
+    listed = F.collect_list(F.when(F.col("tag_id").isNotNull(), F.struct("place", "tag_id")))
+    return pairs.groupBy(*FEATURE_KEYS).agg(F.transform(F.array_sort(listed), lambda x: x["tag_id"]).alias("tags"))
 
 
 @dataclass
@@ -109,6 +120,14 @@ def split_horizon(pairs: DataFrame, long_minutes: int) -> tuple[DataFrame, DataF
     return pairs.where(is_long), pairs.where(~F.coalesce(is_long, F.lit(False)))
 
 
+def _require_known(features: DataFrame, column: str, known: frozenset) -> None:
+    """Raise for a name that no function or aggregation has; nulls and empty texts mean none."""
+    unknown = features.where(F.col(column).isNotNull() & (F.col(column) != "") & ~F.col(column).isin(*known))
+    names = sorted(r[0] for r in unknown.select(column).distinct().limit(10).collect())
+    if names:
+        raise ValueError(f"unknown {column}: {', '.join(names)}")
+
+
 def resolve(
     features: DataFrame,
     tags: DataFrame,
@@ -119,6 +138,11 @@ def resolve(
     **grid,
 ) -> StoreConfig:
     """Build a :class:`StoreConfig` from the configuration tables (``plant`` is the one-row plant config)."""
+    if plant.get("optimal_tag") is not None and plant.get("optimal_threshold") is None:
+        raise ValueError("the plant configuration names an optimal tag but no threshold for it")
+    _require_known(features, "function", FUNCTIONS)
+    for column in ("currentTimeAggregation", "anticipatedTimeAggregation"):
+        _require_known(features, column, AGGREGATIONS)
     conditions = {r["id"] for r in bounded_rows(condition_features(features, "true"))}
     resolved = []
     for r in bounded_rows(feature_tag_lists(feature_tags(features, tags)).orderBy("id")):
@@ -138,13 +162,14 @@ def resolve(
     resolved = [
         replace(f, tags=(slots[f.id],)) if f.id in slots else f for f in resolved
     ]
+    grouped_runs = runs.groupBy("tag_id").agg(F.array_sort(F.collect_set("run_tag")).alias("run_tags"))
     return StoreConfig(
         features=tuple(resolved),
         smoothed_tags=tuple(sorted(r[0] for r in tag_rows if r[1] == numeric_type and r[0] not in skip)),
-        run_tag_of={r["tag_id"]: r["run_tag"] for r in bounded_rows(runs)},
+        run_tags_of={r["tag_id"]: tuple(r["run_tags"]) for r in bounded_rows(grouped_runs)},
         critical_tags=tuple(sorted(r[0] for r in tag_rows if r[2] == critical)),
         optimal_tag=plant.get("optimal_tag"),
-        optimal_threshold=plant.get("optimal_threshold", 600.0),
+        optimal_threshold=plant.get("optimal_threshold"),
         moisture_target=plant.get("moisture_target"),
         trigger_features=tuple(plant.get("trigger_features") or ()),
         **grid,

@@ -25,7 +25,7 @@ def corrected_events(events: DataFrame, cfg: StoreConfig) -> DataFrame:
     once per anchor that reads it."""
     if cfg.optimal_tag is not None:
         events = optimal_state(events, cfg.optimal_tag, cfg.optimal_threshold, cfg.critical_tags)
-    return mask_stopped_equipment(events, cfg.run_tag_of)
+    return mask_stopped_equipment(events, cfg.run_tags_of)
 
 
 def unique_events(events: DataFrame, order: str = "sequenceID") -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from millrace.operators.dedup import live_and_historical
-from millrace.operators.reshape import prefix_columns, rename
+from millrace.operators.reshape import prefix_columns, rename, stack_rows
 
 
 @dataclass(frozen=True)
@@ -68,4 +68,7 @@ def lab_dataset(sample: DataFrame, test: DataFrame, result: DataFrame, analysis:
     the samples.
     """
     joined = join_chain(sample.distinct(), test, result, analysis, keys)
-    return joined.join(goal, list(keys.goal), "outer")
+    shared = list(keys.goal)
+    # a full outer join can neither split a hot key nor broadcast the goals; a left join and the goals left over can
+    unmet = goal.join(joined.select(*shared).distinct(), shared, "left_anti")
+    return stack_rows(joined.join(goal, shared, "left"), unmet, missing=True)

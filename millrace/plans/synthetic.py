@@ -33,8 +33,10 @@ class EventSpec:
 
 
 def sequence_id(index: Column, base: int = 10**15) -> Column:
-    """Consecutive 16-digit identifiers with leading zeros."""
-    return F.lpad((index + F.lit(base)).cast("string"), 16, "0")
+    """Consecutive 16-digit identifiers with leading zeros; numbers that need more digits are an error, never cut."""
+    number = index + F.lit(base)
+    too_long = F.raise_error(F.concat(F.lit("sequence id beyond 16 digits: "), number.cast("string")))
+    return F.when(number < F.lit(10**16), F.lpad(number.cast("string"), 16, "0")).otherwise(too_long)
 
 
 def unit_value(*parts: Column, seed: int) -> Column:
@@ -54,26 +56,35 @@ def random_text(*parts: Column, seed: int, length: int = 10) -> Column:
     )
 
 
+@dataclass(frozen=True)
+class Span:
+    """Numbers from ``low`` to ``high``: rounded to ``digits``, or whole ones with both ends where that is None."""
+
+    low: float
+    high: float
+    digits: int | None = None
+
+    def at(self, u: Column) -> Column:
+        if self.digits is None:
+            return F.floor(F.lit(self.low) + u * (self.high - self.low + 1)).cast("int")
+        return F.round(F.lit(self.low) + u * (self.high - self.low), self.digits)
+
+
+# Fixed names and limits of number types; those of "float" and "int" are configured.
+SPANS = {"decimal": Span(-400.0, 1000.0, 6), "discrete": Span(0.0, 100.0, 6), "number": Span(0, 1), "bool": Span(0, 1)}
+
+
 def typed_value(kind: str, u: Column, spec: EventSpec, ts: Column, text: Column) -> Column:
     """A value of the configured type from a unit number; an unknown type gives empty text."""
-    low, high = spec.float_range
-    ilow, ihigh = spec.int_range
-
-    def span(a: float, b: float) -> Column:
-        return F.round(F.lit(a) + u * (b - a), 6)
-
-    kinds = {
-        "string": lambda: text,
-        "float": lambda: span(low, high),
-        "decimal": lambda: span(-400.0, 1000.0),
-        "int": lambda: F.floor(F.lit(ilow) + u * (ihigh - ilow + 1)).cast("int"),
-        "number": lambda: F.floor(u * 2).cast("int"),
-        "bool": lambda: F.floor(u * 2).cast("int"),
-        "fbool": lambda: F.lit(False),
-        "timestamp": lambda: F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"),
-        "discrete": lambda: span(0.0, 100.0),
-    }
-    return kinds.get(kind.lower(), lambda: F.lit(""))()
+    wanted = kind.lower()
+    spans = SPANS | {"float": Span(*spec.float_range, 6), "int": Span(*spec.int_range)}
+    if wanted in spans:
+        return spans[wanted].at(u)
+    if wanted == "timestamp":
+        return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    if wanted == "string":
+        return text
+    return F.lit(False) if wanted == "fbool" else F.lit("")
 
 
 def _choice(values: Sequence[float], u: Column) -> Column:
@@ -161,8 +172,10 @@ def generate(sites: DataFrame, config: Mapping, path: str) -> None:
     """Write the events of every configured type for every site, one JSON text per line.
 
     ``config["event_types"]`` maps a type to its configuration with ``start_time``, ``end_time`` (both
-    included) and ``interval_seconds``.
+    included) and ``interval_seconds``. Each type's sequence ids go on where those of the types before it end.
     """
+    sites_numbered = sites.agg(F.max("site_id")).first()[0]
+    offset = 0
     for name, one in config["event_types"].items():
         first, last = (datetime.fromisoformat(one[k]) for k in ("start_time", "end_time"))
         start, end = (F.lit(one[k]).cast("timestamp") for k in ("start_time", "end_time"))
@@ -170,8 +183,9 @@ def generate(sites: DataFrame, config: Mapping, path: str) -> None:
         count = int((last - first).total_seconds()) // step + 1
         grid = time_grid(sites, start, end, step)
         events = synthetic_events(grid, spec_from_config(one))
-        index = (F.unix_seconds("ts") - F.unix_seconds(start)) / step
+        index = (F.unix_seconds("ts") - F.unix_seconds(start)) / step + F.lit(offset)
         numbered = number_events(events, F.col("site_id").cast("bigint"), count, index.cast("bigint"))
+        offset += (int(sites_numbered or 0) + 1) * count
         write_events(numbered.withColumn("eventtype", F.lit(name)).drop("ts"), path)
 
 

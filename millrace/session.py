@@ -23,6 +23,7 @@ def build_session(app: str = "millrace", cores: str = "*", shuffle_partitions: i
         .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.unionOutputPartitioning", "false")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -30,8 +31,9 @@ def build_session(app: str = "millrace", cores: str = "*", shuffle_partitions: i
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Timestamps are instants; every plan reads and prints them in UTC."""
+    """The session settings that plans need: instants in UTC, and unions that claim no partitioning (see ``stack_rows``)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     return spark
 
 

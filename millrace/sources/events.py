@@ -56,18 +56,27 @@ def append_events(events: DataFrame, path: str) -> None:
     _log_rows(events).write.mode("append").partitionBy("eventtype", "event_date").parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partitions: tuple[str, ...] = ()) -> None:
+def running_stream(spark: SparkSession) -> str | None:
+    """Inside a batch handler, the id of the stream; it is kept with the checkpoint, so restarts have the same one."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, partitions: tuple[str, ...] = (), stream: str | None = None) -> None:
     """Write one micro-batch to its own folders. A replayed batch overwrites itself, so nothing is doubled.
 
-    The batch is the innermost folder: readers prune by the outer columns first.
+    Streams count their batches from 0, so a batch is named by its stream too: ``stream``, or else the running one. Stream and
+    batch are the innermost folders: readers prune by the outer columns first.
     """
-    marked = df.withColumn("batch_id", F.lit(batch_id))
+    name = stream or running_stream(df.sparkSession)
+    if not name:
+        raise ValueError("outside a stream, name the stream that the batch belongs to")
+    marked = df.withColumns({"stream": F.lit(name), "batch_id": F.lit(batch_id)})
     writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partitions, "batch_id").parquet(path)
+    writer.partitionBy(*partitions, "stream", "batch_id").parquet(path)
 
 
-def append_event_batch(events: DataFrame, path: str, batch_id: int) -> None:
-    write_batch(_log_rows(events), path, batch_id, ("eventtype", "event_date"))
+def append_event_batch(events: DataFrame, path: str, batch_id: int, stream: str | None = None) -> None:
+    write_batch(_log_rows(events), path, batch_id, ("eventtype", "event_date"), stream)
 
 
 def _log_rows(events: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_result_text(results: DataFrame, path: str, mode: str = "append") -> None:
@@ -17,17 +18,14 @@ def publish_results(results: DataFrame, fmt: str = "text", **options: str) -> No
 
 
 def overwrite_dates(df: DataFrame, path: str, partition: str = "field_date") -> None:
-    """Replace only the date folders present in ``df``."""
+    """Replace only the date folders present in ``df``.
+
+    Rows are gathered by date, and only dates of more than a partition's size are written by several tasks.
+    """
     (
-        df.repartition(partition, *_spread(df, partition))
+        df.hint("rebalance", F.col(partition))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
-
-
-def _spread(df: DataFrame, partition: str) -> list[str]:
-    """A second key, so one large date is written by many tasks."""
-    others = [c for c in df.columns if c != partition]
-    return others[:1]

@@ -10,14 +10,19 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.config import StoreConfig
+from millrace.operators.dedup import survivor_per_key
 from millrace.operators.gate import GateFeatures, GateRules
 from millrace.operators.results import result_json
 from millrace.plans.feature_store import run, unique_events
 from millrace.sources.events import append_event_batch, between_days, newest_anchor, read_log, write_batch
 
 
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", pattern: str | None = None) -> DataFrame:
+def file_stream(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", pattern: str | None = None, files_per_batch: int | None = None
+) -> DataFrame:
     reader = spark.readStream.format(fmt).schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     return reader.load(path)
@@ -29,7 +34,10 @@ def unique_stream(events: DataFrame, keys: list[str], delay: str, ts: str = "ts"
 
 
 def tumbling_rollup(events: DataFrame, delay: str, length: str, keys: list[str]) -> DataFrame:
-    """Count, mean and maximum per key and fixed window."""
+    """Count, mean and maximum per key and fixed window.
+
+    ``delay`` must cover the disorder of the source: an event later than that is not counted.
+    """
     return (
         events.withWatermark("ts", delay)
         .groupBy(F.window("ts", length), *keys)
@@ -39,7 +47,7 @@ def tumbling_rollup(events: DataFrame, delay: str, length: str, keys: list[str])
 
 
 def sliding_rollup(events: DataFrame, delay: str, length: str, slide: str, keys: list[str]) -> DataFrame:
-    """Mean per key over overlapping windows."""
+    """Mean per key over overlapping windows; ``delay`` as for ``tumbling_rollup``."""
     return (
         events.withWatermark("ts", delay)
         .groupBy(F.window("ts", length, slide), *keys)
@@ -56,6 +64,20 @@ def drain(stream: DataFrame, checkpoint: str, write_to: str | None = None, each:
     return query
 
 
+def version_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """Batch handler for rollups in update mode: every batch's changed rows, in folders of that batch."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, path, batch_id)
+
+    return write
+
+
+def newest_versions(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """Of every row that ``version_writer`` wrote the newest version, open windows included."""
+    versions = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
+    return survivor_per_key(versions.select(*schema.fieldNames(), "batch_id"), keys, F.col("batch_id")).select(*schema.fieldNames())
+
+
 def log_writer(path: str) -> Callable[[DataFrame, int], None]:
     """Batch handler that appends events to the log, safe to replay."""
     def append(batch: DataFrame, batch_id: int) -> None:
@@ -104,6 +126,6 @@ def live_features(
 
 
 __all__ = [
-    "between_days", "drain", "file_stream", "live_features", "log_writer", "newest_anchor",
-    "sliding_rollup", "tumbling_rollup", "unique_stream",
+    "between_days", "drain", "file_stream", "live_features", "log_writer", "newest_anchor", "newest_versions",
+    "sliding_rollup", "tumbling_rollup", "unique_stream", "version_writer",
 ]

@@ -182,7 +182,7 @@ def test_stopped_equipment_is_masked(make_events):
         (1, 1, {"run": 1.0, "x": 5.0, "z": 7.0}),
         (2, 1, {"x": 5.0, "z": 7.0}),
     ])
-    masked = optimal.mask_stopped_equipment(events, {"x": "run", "y": "run"})
+    masked = optimal.mask_stopped_equipment(events, {"x": ("run",), "y": ("run",)})
     got = {r["ts"]: {x["id"]: x["value"] for x in r["records"]} for r in masked.collect()}
     by_age = [got[t] for t in sorted(got, reverse=True)]
     assert by_age == [{"run": 0.0, "x": None, "y": None, "z": 7.0}, {"run": 1.0, "x": 5.0, "z": 7.0}, {"x": None, "z": 7.0}]

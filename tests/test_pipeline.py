@@ -74,7 +74,7 @@ def test_configuration_files_resolve(cfg):
     assert by_id[2].steps == 2880 and [f.id for f in cfg.long_features] == [2]
     assert by_id[11].tags == ("plantup_time",) and by_id[11].condition
     assert by_id[4].tags == ()
-    assert cfg.run_tag_of == {"x1": "run"}  # the absent tag is dropped, the pump has no run tag
+    assert cfg.run_tags_of == {"x1": ("run",)}  # the absent tag is dropped, the pump has no run tag
     assert cfg.smoothed_tags == ("feed", "x1")  # x2 is on the skip list, the run tag is discrete
     assert cfg.critical_tags == ("feed", "run")
     assert [f.id for f in cfg.gate_features] == [1, 4, 11, 12]

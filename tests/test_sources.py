@@ -118,7 +118,7 @@ def test_replayed_batch_is_written_once(spark, make_events):
     log = scratch_path(spark, "log")
     events = make_events([(k, 1, {"a": 1.0}) for k in range(4)]).withColumn("eventtype", F.lit("one"))
     for batch in (0, 1, 1):
-        src.append_event_batch(events, log, batch)
+        src.append_event_batch(events, log, batch, "plant")
     assert src.read_log(spark, log, events.schema, "one").count() == 8
 
 
