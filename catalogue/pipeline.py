@@ -43,11 +43,17 @@ grid AS (
   LEFT JOIN state s ON s.site_id = a.site_id AND s.ts = a.anchor_ts - to_hours(CAST(k AS INTEGER))),
 {UPTIME_SQL.format(source="grid")},
 short_rows AS (SELECT site_id, anchor_ts, ts, back + 1 AS rank, plant_up, CAST(NULL AS BIGINT) AS tail_rows, 'short' AS horizon FROM grid WHERE back <= 120),
+long_seen AS (
+  SELECT a.site_id, a.anchor_ts, s.ts FROM anchors a JOIN state s ON s.site_id = a.site_id AND s.ts BETWEEN a.anchor_ts - INTERVAL 330 HOUR AND a.anchor_ts),
+long_in AS (  -- an anchor without any earlier row has the empty short grid before it
+  SELECT * FROM long_seen UNION ALL
+  SELECT a.site_id, a.anchor_ts, a.anchor_ts - to_hours(CAST(k AS INTEGER)) AS ts FROM anchors a CROSS JOIN range(1, 121) r(k)
+  WHERE NOT EXISTS (SELECT 1 FROM long_seen s WHERE s.site_id = a.site_id AND s.anchor_ts = a.anchor_ts AND s.ts < a.anchor_ts)),
 long_rows AS (
-  SELECT a.site_id, a.anchor_ts, s.ts, row_number() OVER (PARTITION BY a.site_id, a.anchor_ts ORDER BY s.ts DESC) AS rank,
-         CAST(NULL AS INTEGER) AS plant_up, count(*) FILTER (s.ts > a.anchor_ts - INTERVAL 288 HOUR) OVER (PARTITION BY a.site_id, a.anchor_ts) AS tail_rows,
+  SELECT site_id, anchor_ts, ts, row_number() OVER (PARTITION BY site_id, anchor_ts ORDER BY ts DESC) AS rank,
+         CAST(NULL AS INTEGER) AS plant_up, count(*) FILTER (ts > anchor_ts - INTERVAL 288 HOUR) OVER (PARTITION BY site_id, anchor_ts) AS tail_rows,
          'long' AS horizon
-  FROM anchors a JOIN state s ON s.site_id = a.site_id AND s.ts BETWEEN a.anchor_ts - INTERVAL 330 HOUR AND a.anchor_ts),
+  FROM long_in),
 instants AS (SELECT * FROM short_rows UNION ALL SELECT * FROM long_rows),
 series AS (
   SELECT i.site_id, i.anchor_ts, i.ts, i.rank, i.horizon, t.tag_id, m.value

@@ -132,7 +132,7 @@ SPEC = synthetic.EventSpec(
 def synthetic_table(spark, sf):
     """For every site of the input, an event per hour of its reporting span."""
     spans = t.telemetry(spark, sf).groupBy("site_id").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
-    grid = spans.select("site_id", "lo", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("ts"))
+    grid = synthetic.time_grid(spans, F.col("lo"), F.col("hi"), 3600)
     made = synthetic.synthetic_events(grid, SPEC)
     index = (F.unix_seconds("ts") - F.unix_seconds(F.lit("2024-01-01").cast("timestamp"))).cast("bigint")
     return synthetic.number_events(made, F.col("site_id").cast("bigint"), 10_000_000, index)

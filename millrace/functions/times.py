@@ -32,6 +32,11 @@ def whole_div(col: Column, divisor: int) -> Column:
     return F.call_function("div", col, F.lit(divisor))
 
 
+def floor_div(col: Column, divisor: int) -> Column:
+    """Integer division downwards, also below zero (instants before 1970)."""
+    return whole_div(col - F.pmod(col, F.lit(divisor)), divisor)
+
+
 @dataclass(frozen=True)
 class Grid:
     """A regular time grid; one step is a minute in production and any length in tests."""

@@ -138,7 +138,8 @@ def long_frame(events: DataFrame, anchors: DataFrame, cfg) -> DataFrame:
     An anchor without any earlier row gets the empty short grid instead.
     """
     grid = Grid(cfg.step_seconds)
-    span, width = grid.span(cfg.long_slice_steps), grid.span(cfg.switch_steps)
+    # blocks as wide as the slice: an event is seen by two of them
+    span = width = grid.span(cfg.long_slice_steps)
     merged = sliced_rows(events, anchors, span, width)
     whole = Window.partitionBy(*GROUP)
     earlier = F.count(F.when(F.col("ts") < F.col("anchor_ts"), 1)).over(whole)

@@ -14,6 +14,10 @@ from millrace.functions.times import whole_div
 from millrace.operators.reshape import stack_rows
 
 
+#: Buckets that one task orders at once when rows are carried forward.
+RUN_BUCKETS = 256
+
+
 def anchor_slice(
     series: DataFrame,
     anchors: DataFrame,
@@ -44,7 +48,8 @@ def latest_before(
     No pairs of rows and anchors are made. A row meets one list, the anchors of its own time bucket, and
     is credited to the first of them not before it (or to the bucket's end). Per credited anchor only the
     newest row survives, partly before the shuffle; what remains is at most one row per anchor and
-    bucket, along which the newest row is carried forward.
+    bucket, along which the newest row is carried forward. A site's time is cut into runs of buckets, so
+    its anchors spread over tasks; only one row per run passes a window of the whole site.
     """
     packed = F.struct(F.col("ts").alias("ts"), value.alias("v"))
     rows = series.select(
@@ -63,9 +68,15 @@ def latest_before(
     steps = stack_rows(credited, marked, missing=True).groupBy("site_id", "_bucket", "anchor_ts").agg(
         F.first("_row", ignorenulls=True).alias("_row")
     )
-    in_time = Window.partitionBy("site_id").orderBy("_bucket", F.col("anchor_ts").asc_nulls_last())
-    found = F.last("_row", ignorenulls=True).over(in_time.rowsBetween(Window.unboundedPreceding, 0))
-    carried = steps.withColumn("_found", found).where(F.col("anchor_ts").isNotNull())
+    # carried forward within runs of buckets, and from run to run by one row for each of them
+    steps = steps.withColumn("_run", whole_div(F.col("_bucket"), RUN_BUCKETS))
+    in_run = Window.partitionBy("site_id", "_run").orderBy("_bucket", F.col("anchor_ts").asc_nulls_last())
+    own = F.last("_row", ignorenulls=True).over(in_run.rowsBetween(Window.unboundedPreceding, 0))
+    newest = steps.groupBy("site_id", "_run").agg(F.max("_row").alias("_newest"))
+    runs_before = Window.partitionBy("site_id").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    before = newest.select("site_id", "_run", F.last("_newest", ignorenulls=True).over(runs_before).alias("_before"))
+    carried = steps.withColumn("_own", own).where(F.col("anchor_ts").isNotNull()).join(before, ["site_id", "_run"])
+    carried = carried.withColumn("_found", F.coalesce("_own", "_before"))
     return carried.select(
         "site_id", "anchor_ts", F.col("_found.ts").alias("found_ts"), F.col("_found.v").alias(value_name)
     )

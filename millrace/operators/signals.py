@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.times import Grid
+from millrace.functions.times import Grid, floor_div
+from millrace.operators.reshape import stack_rows
 
 
 def centred_median(value: Column, keys: Sequence[str], micros: str, width_micros: int, minimum: int) -> Column:
@@ -53,18 +54,31 @@ def interpolate(series: DataFrame, keys: Sequence[str], x: str, y: str) -> DataF
     return sided.withColumn(y, filled).drop("_l", "_r")
 
 
+#: Grid steps of one block when a series is put on the grid.
+BLOCK_STEPS = 1440
+
+
 def regularise(series: DataFrame, keys: Sequence[str], grid: Grid) -> DataFrame:
     """Mean per grid step, every step between a series' first and last one present.
 
-    Steps are means first (partial sums before the shuffle); empty steps are emitted by the row after them.
+    Steps are means first (partial sums before the shuffle). A series is cut into blocks of steps: a block knows from the blocks
+    around it where it begins and ends, and gaps between blocks become blocks of their own. So neither a long series nor a
+    long gap is ever in one task or in one row; only one row per block passes a window of the whole series.
     """
-    means = series.groupBy(*keys, grid.floor(F.col("ts")).alias("ts")).agg(F.avg("value").alias("value"))
-    previous = F.lag("ts").over(Window.partitionBy(*keys).orderBy("ts"))
-    step = F.expr(f"INTERVAL {grid.step_seconds} SECONDS")
-    spread = F.sequence(F.coalesce(F.col("_previous") + step, F.col("ts")), F.col("ts"), step)
-    return means.withColumn("_previous", previous).withColumn("_at", F.explode(spread)).select(
-        *keys, F.col("_at").alias("ts"), F.when(F.col("_at") == F.col("ts"), F.col("value")).alias("value")
+    step = F.lit(grid.step_micros)
+    means = series.groupBy(*keys, floor_div(F.unix_micros("ts"), grid.step_micros).alias("_step")).agg(F.avg("value").alias("value"))
+    blocks = means.groupBy(*keys, floor_div(F.col("_step"), BLOCK_STEPS).alias("_block")).agg(F.min("_step").alias("_low"), F.max("_step").alias("_high"))
+    in_order = Window.partitionBy(*keys).orderBy("_block")
+    placed = blocks.withColumns({"_before": F.lag("_block").over(in_order), "_after": F.lead("_block").over(in_order)})
+    start, end = F.col("_block") * BLOCK_STEPS, F.col("_block") * BLOCK_STEPS + (BLOCK_STEPS - 1)
+    own = placed.select(
+        *keys, "_block", F.when(F.col("_before").isNull(), F.col("_low")).otherwise(start).alias("_from"),
+        F.when(F.col("_after").isNull(), F.col("_high")).otherwise(end).alias("_to"),
     )
+    gaps = placed.where(F.col("_before") < F.col("_block") - 1).select(*keys, F.explode(F.sequence(F.col("_before") + 1, F.col("_block") - 1)).alias("_block"))
+    every = stack_rows(own, gaps.select(*keys, "_block", start.alias("_from"), end.alias("_to"))).repartition(*keys, "_block")
+    steps = every.select(*keys, F.explode(F.sequence("_from", "_to")).alias("_step"))
+    return steps.join(means, [*keys, "_step"], "left").select(*keys, F.timestamp_micros(F.col("_step") * step).alias("ts"), "value")
 
 
 def shift_rows(series: DataFrame, keys: Sequence[str], order: str, lag: Column, lags: Sequence[int]) -> DataFrame:

@@ -139,3 +139,34 @@ def test_dates_are_written_to_few_files(spark):
     days = spark.range(2000).selectExpr("id", "date_add(date'2024-01-01', cast(id % 20 AS int)) AS field_date").repartition(16)
     sinks.overwrite_dates(days, path)
     assert len(spark.read.parquet(path).inputFiles()) <= 20 * 2 and spark.read.parquet(path).count() == 2000
+
+
+def test_a_gap_of_years_is_filled_without_one_long_row(spark):
+    from millrace.functions.times import Grid
+    from millrace.operators.signals import regularise
+
+    rows = [(1, "1969-12-31 23:00:30", 1.0), (1, "1969-12-31 23:00:10", 3.0), (1, "1974-06-01 00:01:00", 5.0), (2, "2024-01-01 00:00:00", 7.0)]
+    df = spark.createDataFrame(rows, "site_id int, ts string, value double").withColumn("ts", F.col("ts").cast("timestamp"))
+    found = regularise(df, ["site_id"], Grid(60))
+    steps = found.groupBy("site_id").agg(F.count("*").alias("n"), F.count("value").alias("held"), F.count_distinct("ts").alias("times")).collect()
+    span = spark.sql("SELECT (unix_seconds(timestamp'1974-06-01 00:01:00') - unix_seconds(timestamp'1969-12-31 23:00:00')) div 60 + 1 AS n").first().n
+    assert {(r.site_id, r.n, r.held, r.times) for r in steps} == {(1, span, 2, span), (2, 1, 1, 1)}
+    assert found.agg(F.max("value"), F.sum("value")).first() == (7.0, 14.0)
+
+
+def test_newest_row_is_carried_over_many_runs_of_buckets(spark):
+    from millrace.operators.joins import latest_before
+
+    day = 86_400_000_000
+    series = spark.sql("SELECT 1 AS site_id, timestamp_micros(id * 40 * 86400000000L) AS ts, id AS v FROM range(1, 30)")
+    anchors = spark.sql("SELECT 1 AS site_id, timestamp_micros(id * 86400000000L) AS anchor_ts FROM range(0, 1300)")
+    got = {r.day: r.v for r in latest_before(series, anchors, F.col("v"), "v", day // 24).selectExpr("unix_micros(anchor_ts) div 86400000000 AS day", "v").collect()}
+    assert got == {d: min(d // 40, 29) if d >= 40 else None for d in range(1300)}
+
+
+def test_a_grid_of_one_site_is_dealt_out(spark):
+    sites = spark.sql("SELECT 5 AS site_id")
+    start, end = F.lit("2024-01-01").cast("timestamp"), F.lit("2024-02-01").cast("timestamp")
+    grid = synthetic.time_grid(sites, start, end, 60)
+    assert grid.count() == grid.distinct().count() == 31 * 1440 + 1
+    assert grid.agg(F.min("ts") == start, F.max("ts") == end).first() == (True, True)
