@@ -101,13 +101,46 @@ def stream_log(spark, sf):
     return t.plain(optimal.records_to_long(src.read_log(spark, log, stream.schema)), "ts")
 
 
+#: Of the messages of a site, those of every seventh hour are broken: cut short, without a type, or with no time.
+BROKEN_SQL = """
+SELECT site_id, ts, CASE (epoch(ts)::BIGINT // 25200) % 3 WHEN 0 THEN 'unreadable' WHEN 1 THEN 'missing eventtype' ELSE 'unreadable timestamp' END AS reason
+FROM plant WHERE (epoch(ts)::BIGINT // 3600) % 7 = 0"""
+
+
+def _raw_messages(spark, sf, changes_until="9999-01-01"):
+    """Messages as text, some of them broken, with the hour they belong to; from a day on none is a change event."""
+    hours = F.expr("unix_seconds(to_timestamp(timestamp)) div 3600")
+    kind = F.when(hours % 7 == 0, F.expr("(unix_seconds(to_timestamp(timestamp)) div 25200) % 3"))
+    rows = as_messages(spark, sf).withColumns({"kind": kind, "ts": F.to_timestamp("timestamp")})
+    late = F.col("ts") >= F.lit(changes_until).cast("timestamp")
+    rows = rows.withColumn("eventtype", F.when(late, "eventtype1").otherwise(F.col("eventtype")))
+    fields = ["site_id", "timestamp", "eventtype", "plant_up", "sequenceID", "records"]
+    rows = rows.withColumns({"eventtype": F.when(F.col("kind") == 1, None).otherwise(F.col("eventtype")),
+                             "timestamp": F.when(F.col("kind") == 2, "yesterday").otherwise(F.col("timestamp"))})
+    text = F.to_json(F.struct(*fields))
+    return rows.select("site_id", "ts", F.when(F.col("kind") == 0, F.substring(text, 1, 40)).otherwise(text).alias("value"))
+
+
+@query("stream_checked_log", t.with_base(
+    "SELECT site_id, ts, CAST(NULL AS VARCHAR) AS reason FROM plant WHERE (epoch(ts)::BIGINT // 3600) % 7 <> 0 UNION ALL " + BROKEN_SQL))
+def stream_checked_log(spark, sf):
+    """Raw messages streamed: valid ones are in the log, broken ones in a folder of their own with the reason."""
+    inbox, log, bad = (scratch_path(spark, x) for x in ("inbox", "log", "rejected"))
+    messages = _raw_messages(spark, sf)
+    messages.select("value").write.text(inbox)
+    stream = st.file_stream(spark, inbox, T.StructType([T.StructField("value", T.StringType())]), "text")
+    st.drain(stream, scratch_path(spark, "checked-checkpoint"), each=st.checked_log_writer(log, bad))
+    valid = src.read_log(spark, log, src.typed_events(spark.createDataFrame([], src.EVENT)).schema).select("site_id", "ts", F.lit(None).cast("string").alias("reason"))
+    rejected = spark.read.schema("value string, reason string").parquet(bad).join(messages, "value").select("site_id", "ts", "reason")
+    return t.plain(valid.unionByName(rejected), "ts")
+
+
 @query("stream_features")
 def stream_features(spark, sf):
-    """The live run: messages in, log appended, each site's newest event gated and answered."""
-    inbox, log, out = (scratch_path(spark, x) for x in ("inbox", "log", "out"))
-    messages = as_messages(spark, sf)
-    messages.withColumn("eventtype", F.lit("eventtype1")).write.json(inbox)
-    stream = src.typed_events(st.file_stream(spark, inbox, src.EVENT, "json"))
-    handler = st.live_features(log, out, t.CONFIG, t.GATE_FEATURES, t.GATE_RULES)
+    """The live run: raw messages in, broken ones set aside, log appended, each site's newest event gated and answered."""
+    inbox, log, out, bad = (scratch_path(spark, x) for x in ("inbox", "log", "out", "rejected"))
+    _raw_messages(spark, sf, "2024-01-20").select("value").write.text(inbox)
+    stream = st.file_stream(spark, inbox, T.StructType([T.StructField("value", T.StringType())]), "text")
+    handler = st.live_features(log, out, t.CONFIG, t.GATE_FEATURES, t.GATE_RULES, rejected_path=bad)
     st.drain(stream, scratch_path(spark, "features-checkpoint"), each=handler)
     return t.plain(spark.read.schema("site_id int, anchor_ts timestamp, value string").parquet(out).select("site_id", "anchor_ts", "value"), "anchor_ts")

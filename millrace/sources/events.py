@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.scalar import null_if_nan
 from millrace.functions.times import parse_event_time
+from millrace.operators.quality import parse_with_reason, quarantine
 from millrace.schemas import EVENT, FEATURES_CONFIG, PLANT_CONFIG, TAGS_CONFIG
 
 
@@ -43,6 +44,26 @@ def events_from_text(df: DataFrame, column: str = "value", schema: T.StructType
     return typed_events(parsed.select("_event.*"))
 
 
+#: Fields without which a message is no event.
+REQUIRED = ("site_id", "timestamp", "eventtype")
+
+
+def checked_messages(raw: DataFrame, column: str = "value", schema: T.StructType = EVENT) -> tuple[DataFrame, DataFrame]:
+    """Events of the messages that are valid, and the others as ``(column, reason)``.
+
+    A message is rejected when it is not readable as the schema, lacks a required field or has a time that is none.
+    """
+    text = raw.withColumn(column, F.col(column).cast("string"))
+    checks = {"unreadable timestamp": parse_event_time(F.col("parsed.timestamp")).isNotNull()}
+    valid, rejected = quarantine(parse_with_reason(text, column, schema, REQUIRED, checks))
+    return typed_events(valid.select("parsed.*")), rejected.select(column, "reason")
+
+
+def read_checked_events(spark: SparkSession, path: str, schema: T.StructType = EVENT) -> tuple[DataFrame, DataFrame]:
+    """Valid and rejected lines of newline-delimited JSON; broken lines are reported, never read as empty events."""
+    return checked_messages(spark.read.text(path), "value", schema)
+
+
 def typed_events(raw: DataFrame) -> DataFrame:
     """Event text times to instants; readings that are not a number become null."""
     clean = F.transform(

@@ -14,7 +14,7 @@ from millrace.operators.dedup import survivor_per_key
 from millrace.operators.gate import GateFeatures, GateRules
 from millrace.operators.results import result_json
 from millrace.plans.feature_store import run, unique_events
-from millrace.sources.events import append_event_batch, between_days, newest_anchor, read_log, write_batch
+from millrace.sources.events import append_event_batch, between_days, checked_messages, newest_anchor, read_log, write_batch
 
 
 def file_stream(
@@ -86,6 +86,16 @@ def log_writer(path: str) -> Callable[[DataFrame, int], None]:
     return append
 
 
+def checked_log_writer(path: str, rejected_path: str, column: str = "value") -> Callable[[DataFrame, int], None]:
+    """Batch handler for raw messages: valid ones reach the log as events, the others their own folder with the reason."""
+    def append(batch: DataFrame, batch_id: int) -> None:
+        valid, rejected = checked_messages(batch, column)
+        write_batch(rejected, rejected_path, batch_id)
+        append_event_batch(valid, path, batch_id)
+
+    return append
+
+
 def live_features(
     log_path: str,
     out_path: str,
@@ -94,16 +104,21 @@ def live_features(
     rules: GateRules = GateRules(),
     telemetry: str = "eventtype1",
     change: str = "eventtype2",
+    rejected_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Batch handler for the live run.
 
     Appends the batch to the log, takes each site's newest event as its anchor and computes features from
-    the days the longest slice can reach. Sites without any history are skipped.
+    the days the longest slice can reach. Sites without any history are skipped. With ``rejected_path`` the batch is raw
+    messages (``value``): invalid ones go there with their reason and never reach the log.
     """
     reach = max(cfg.long_slice_steps, cfg.switch_steps) * cfg.step_seconds
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if rejected_path is not None:
+            batch, rejected = checked_messages(batch)
+            write_batch(rejected, rejected_path, batch_id)
         append_event_batch(batch, log_path, batch_id)
         touched = batch.where(F.col("eventtype") == telemetry)
         bounds = touched.agg(F.min("ts"), F.max("ts")).first()
@@ -126,6 +141,6 @@ def live_features(
 
 
 __all__ = [
-    "between_days", "drain", "file_stream", "live_features", "log_writer", "newest_anchor", "newest_versions",
+    "between_days", "checked_log_writer", "drain", "file_stream", "live_features", "log_writer", "newest_anchor", "newest_versions",
     "sliding_rollup", "tumbling_rollup", "unique_stream", "version_writer",
 ]
