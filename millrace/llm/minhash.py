@@ -17,6 +17,8 @@ BANDS, ROWS = 32, 4
 GROWTH = 4
 REMEMBERED = 300_000
 SEED = 20240229
+#: Bits of the odd sketch, which rules out pairs without looking at their sets.
+ODD_BITS = 4096
 
 
 class Shingler:
@@ -75,6 +77,17 @@ class Shingler:
         other = self.mix(shingles + self.factors[20])
         return int(shingles.sum(dtype=np.uint64).view(np.int64)), int(other.sum(dtype=np.uint64).view(np.int64))
 
+    def odd_sketch(self, shingles):
+        """A bit for each remainder, set where an odd number of shingles has it.
+
+        Two sketches differ in no more bits than their sets differ in elements, so too many different bits prove that the sets
+        are not similar; the other way round nothing is claimed.
+        """
+        import numpy as np
+
+        counts = np.bincount((shingles & np.uint64(ODD_BITS - 1)).view(np.int64), minlength=ODD_BITS)
+        return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
     def buckets(self, shingles):
         """One number for each band of the signature; the number says which band it is."""
         import numpy as np
@@ -119,7 +132,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """``node, n, shingles`` of the rows whose ``mark`` is in ``wanted``."""
+    """``node, n, shingles, odd`` (the odd sketch) of the rows whose ``mark`` is in ``wanted``."""
 
     def run(batches):
         import numpy as np
@@ -127,13 +140,13 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame)
 
         shingler = Shingler()
         for batch in batches:
-            sets = [shingler.shingles(raw.as_py() or b"").view(np.int64) for raw in batch.column(2)]
-            columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "shingles"])
+            sets = [shingler.shingles(raw.as_py() or b"") for raw in batch.column(2)]
+            lists = [pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(list(map(shingler.odd_sketch, sets)), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(len, sets)), pa.int64()), *lists], names=["node", "n", "shingles", "odd"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = _marked(docs, id_col, text_col).join(wanted.select("mark"), "mark", "left_semi").select("doc_id", "mark", "raw")
-    return rows.mapInArrow(run, f"node {kind}, n long, shingles array<long>").dropDuplicates(["node", "n"])
+    return rows.mapInArrow(run, f"node {kind}, n long, shingles array<long>, odd array<long>").dropDuplicates(["node", "n"])
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -146,6 +159,12 @@ def _fits(a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})"
 
 
+def _differ_little(a: str, b: str) -> str:
+    """Not ruled out: at similarity s, sets of sizes n and m differ in (n + m) (1 - s) / (1 + s) elements."""
+    bits = f"aggregate(zip_with({a}.odd, {b}.odd, (x, y) -> bit_count(x ^ y)), 0, (sum, d) -> sum + d)"
+    return f"{100 + PERCENT} * {bits} <= {100 - PERCENT} * ({a}.n + {b}.n)"
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of the pairs ``a, b`` those whose full sets are similar enough. A node that is in very many pairs should be ``b``."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("set_a"))
@@ -167,7 +186,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest id is the centre of a star, so a bucket of any size gives one pair for each member. Every pair is checked on full
     sets. A bucket whose members are then in one component is done. In the others, members outside the largest component
     become centres in their turn, in growing numbers, until each has been compared with all other components: no link between
-    classes of a bucket is lost, and buckets that are alike throughout never cost more than their size.
+    classes of a bucket is lost, and buckets that are alike throughout never cost more than their size. Odd sketches rule out
+    most of these later pairs, never a similar one, before they become rows.
     """
     found = materialise(sketches(docs, id_col, text_col), "sketch")
     keys = ["n", "key1", "key2"]
@@ -193,8 +213,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         order = Window.partitionBy("bucket").orderBy("node")
         turn = waiting.filter("component <> largest").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= n_centres)
         turn = materialise(turn.select("bucket", "node", "n", "component"), "centres")
-        one, two = waiting.alias("m"), turn.alias("c")
-        met = one.join(two, F.expr(f"m.bucket = c.bucket AND m.component <> c.component AND {_fits('m.n', 'c.n')}"))
+        odd = sets.select("node", "n", "odd")
+        one, two = (side.join(odd, ["node", "n"]).alias(name) for side, name in ((waiting, "m"), (turn, "c")))
+        met = one.join(two, F.expr(f"m.bucket = c.bucket AND m.component <> c.component AND {_fits('m.n', 'c.n')} AND {_differ_little('m', 'c')}"))
         pairs = met.select(F.greatest("m.node", "c.node").alias("a"), F.least("m.node", "c.node").alias("b")).distinct()
         pairs = materialise(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
         new = materialise(confirmed(pairs, sets), "links")
