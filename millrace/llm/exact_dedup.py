@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import lower_ascii, materialise
+from millrace.llm.common import lower_ascii, materialise, table
 
 #: Bytes that the second refinement hashes.
 PREFIX_BYTES = 256
@@ -71,8 +71,6 @@ def exact_duplicates(
 
 
 def op3_exact_dedup(spark, sf_dir: str) -> DataFrame:
-    from millrace.llm.common import table
-
     return exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import packed, text_tie, unpacked
+from millrace.llm.common import packed, table, text_tie
 
 WINDOW = 3
 
@@ -67,8 +67,6 @@ def drop_emptied(deduped: DataFrame, text_col: str = "text") -> DataFrame:
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
     """All documents with what is left of their texts."""
-    from millrace.llm.common import table
-
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeated_lines(docs).withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})
 

@@ -11,14 +11,15 @@ of planes (u8), length of each compressed plane (u32 each), then the planes.
 from __future__ import annotations
 
 import functools
+import re
 import struct
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.bpe import default_vocabulary
-from millrace.llm.common import offsets_before, text_tie
+from millrace.llm.bpe import PIECES, SETTLED, Transducer, default_vocabulary
+from millrace.llm.common import offsets_before, table, text_tie
 from millrace.session import scratch_path
 
 BLOCK_IDS = 1 << 16
@@ -71,7 +72,6 @@ def unpack(payload: bytes):
     return np.ascontiguousarray(columns).view("<u4").ravel()
 
 
-@functools.lru_cache(4096)
 def _zeros_matrix(length: int) -> tuple[int, ...]:
     """What appending ``length`` zero bytes does to a CRC-32 register, as the images of its 32 bits."""
     times = lambda m, v: functools.reduce(lambda s, k: s ^ m[k] if v >> k & 1 else s, range(32), 0)
@@ -87,9 +87,12 @@ def _zeros_matrix(length: int) -> tuple[int, ...]:
     return out
 
 
-def join_crc32(first: int, second: int, second_bytes: int) -> int:
-    """CRC-32 of two byte strings in a row, from the CRC-32 of each."""
-    matrix, out = _zeros_matrix(second_bytes), second
+def join_crc32(first: int, second: int, second_bytes: int, known: dict[int, tuple[int, ...]] | None = None) -> int:
+    """CRC-32 of two byte strings in a row, from the CRC-32 of each. ``known`` keeps what depends on the length only."""
+    known = {} if known is None else known
+    if second_bytes not in known:
+        known[second_bytes] = _zeros_matrix(second_bytes)
+    matrix, out = known[second_bytes], second
     for k in range(32):
         if first >> k & 1:
             out ^= matrix[k]
@@ -104,13 +107,9 @@ class Ids:
     """
 
     def __init__(self, vocabulary: str):
-        import re
-
         import tiktoken
         from tokenizers import Tokenizer
 
-        from millrace.llm.bpe import PIECES, SETTLED, Transducer
-
         coder = Transducer(vocabulary)
         special = {token: coder.bytes_of.index(token.encode()) for token in coder.added}
         ranks = {raw: i for i, raw in enumerate(coder.bytes_of) if raw and i not in special.values()}
@@ -227,12 +226,15 @@ def document_digests(spark: SparkSession, path: str) -> DataFrame:
     def joined(batches):
         import pyarrow as pa
 
+        known = {}
         for batch in batches:
             crcs = []
+            if len(known) > 4096:
+                known.clear()
             for pieces in batch.column(batch.schema.get_field_index("pieces")).to_pylist():
                 crc = pieces[0]["crc"]
                 for piece in pieces[1:]:
-                    crc = join_crc32(crc, piece["crc"], 4 * piece["n"])
+                    crc = join_crc32(crc, piece["crc"], 4 * piece["n"], known)
                 crcs.append(crc)
             rest = [batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "start", "n_tokens")]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
@@ -250,8 +252,6 @@ def document_digests(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op7_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from millrace.llm.common import table
-
     path = scratch_path(spark, "ids")
     write_ids(table(spark, sf_dir, "documents"), default_vocabulary(), path)
     return document_digests(spark, path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialise, offsets_before
+from millrace.llm.common import materialise, offsets_before, table
 
 
 def byte_shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -50,6 +50,4 @@ def byte_shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", tex
 
 
 def op4_byte_shards(spark, sf_dir: str) -> DataFrame:
-    from millrace.llm.common import table
-
     return byte_shards(table(spark, sf_dir, "documents"))
