@@ -9,6 +9,7 @@ from catalogue.timing import UPTIME_SQL
 from millrace.operators import quality, results
 from millrace.operators.features import operands
 from millrace.plans import feature_store as store
+from millrace.session import scratch_path
 
 # Operands and steering values of the demonstration configuration, as SQL rows.
 OPS = ", ".join(f"({f.id}, {i}, '{x}')" for f in t.FEATURES for i, x in enumerate(operands(f)))
@@ -166,16 +167,18 @@ def _run(spark, sf):
     )
 
 
-@query("results_nested", "WITH " + SQL_STORE + SQL_GATE + """,
+RESULTS_SQL = "WITH " + SQL_STORE + SQL_GATE + """,
 one AS (
   SELECT f.*, flag FROM feature_values f JOIN gate g ON f.site_id = g.site_id AND f.anchor_ts = g.anchor_ts WHERE trigger = 1)
 SELECT site_id, strftime(anchor_ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp", flag, 'rtfsOutput' AS "eventType", part,
        CAST(feature_id AS SMALLINT) AS id, round(value + 3e-11, 9) AS value FROM (
   SELECT *, 'current' AS part, current AS value FROM one WHERE NOT is_condition
   UNION ALL SELECT *, 'anticipated', anticipated FROM one WHERE NOT is_condition
-  UNION ALL SELECT *, 'conditions', current FROM one WHERE is_condition)""")
-def results_nested(spark, sf):
-    nested = _run(spark, sf).results
+  UNION ALL SELECT *, 'conditions', current FROM one WHERE is_condition)"""
+
+
+def _record_rows(nested):
+    """One row per record of an output event."""
     names = {"current": "currentFeatureRecords", "anticipated": "anticipatedFeatureRecords", "conditions": "plantConditions"}
     parts = F.array(*[F.struct(F.lit(n).alias("part"), F.col(c).alias("records")) for n, c in names.items()])
     rows = nested.select("site_id", "timestamp", "flag", "eventType", F.explode(parts).alias("p"))
@@ -183,6 +186,23 @@ def results_nested(spark, sf):
     return rows.select("site_id", "timestamp", "flag", "eventType", "part", "r.id", t.shown("r.value").alias("value"))
 
 
+@query("results_nested", RESULTS_SQL)
+def results_nested(spark, sf):
+    return _record_rows(_run(spark, sf).results)
+
+
+@query("results_json_parsed", RESULTS_SQL)
+def results_json_parsed(spark, sf):
+    """The output texts written to files and read back."""
+    path = scratch_path(spark, "results")
+    texts = results.result_json(_run(spark, sf).results)
+    texts.select("site_id", "value").write.partitionBy("site_id").text(path)
+    record = "array<struct<id:smallint,value:double>>"
+    schema = f"timestamp string, flag boolean, eventType string, currentFeatureRecords {record}, anticipatedFeatureRecords {record}, plantConditions {record}"
+    read = spark.read.schema("value string, site_id int").text(path)
+    return _record_rows(read.select("site_id", F.from_json("value", schema).alias("event")).select("site_id", "event.*"))
+
+
 @query("results_json")
 def results_json(spark, sf):
     return t.plain(results.result_json(_run(spark, sf).results), "anchor_ts")

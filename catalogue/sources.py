@@ -143,6 +143,34 @@ def synthetic_events(spark, sf):
     return t.plain(synthetic_table(spark, sf), "ts")
 
 
+GENERATED = {
+    "schema": {"timestamp": "timestamp", "p_Up": "int", "records": [{"id": "string", "value": "float"}]},
+    "ids": [1, 2, 3], "columns_with_none": ["value"], "f_min_value": 10.0, "f_max_value": 100.0,
+    "start_time": "2024-01-01T00:00:00", "end_time": "2024-01-01T08:00:00",
+}
+
+
+@query("generated_events", t.with_base("""
+, kinds(eventtype, seconds) AS (VALUES ('eventtype1', 600), ('eventtype2', 3600)), sites AS (SELECT DISTINCT site_id FROM telemetry),
+per AS (SELECT eventtype, site_id, CAST(28800 // seconds + 1 AS BIGINT) AS n FROM kinds CROSS JOIN sites)
+SELECT eventtype, sum(n)::BIGINT AS n_events, sum(n)::BIGINT AS n_sequences, sum(3 * n)::BIGINT AS n_records, true AS in_range, true AS null_share_ok
+FROM (SELECT * FROM per UNION ALL SELECT 'all', site_id, n FROM per) GROUP BY eventtype"""))
+def generated_events(spark, sf):
+    """A configured run of the generator for all sites, two event types, written to files and read back."""
+    path = scratch_path(spark, "generated")
+    kinds = {name: GENERATED | {"interval_seconds": seconds} for name, seconds in (("eventtype1", 600), ("eventtype2", 3600))}
+    synthetic.generate(t.telemetry(spark, sf).select("site_id").distinct(), {"event_types": kinds}, path)
+    made = spark.read.schema("site_id int, eventtype string, sequenceID string, records array<struct<id:string,value:double>>").json(path)
+    values = F.transform("records", lambda r: r["value"])
+    inside = F.forall(values, lambda v: v.isNull() | v.between(10, 100))
+    nulls = F.sum(F.size(F.filter(values, lambda v: v.isNull()))) / F.sum(F.size("records"))
+    every = made.withColumn("eventtype", F.explode(F.array("eventtype", F.lit("all"))))
+    return every.groupBy("eventtype").agg(
+        F.count("*").alias("n_events"), F.count_distinct("sequenceID").alias("n_sequences"), F.sum(F.size("records")).alias("n_records"),
+        F.bool_and(inside).alias("in_range"), nulls.between(0.02, 0.45).alias("null_share_ok"),
+    )
+
+
 @query("synthetic_properties", t.with_base("""
 , spans AS (SELECT site_id, min(ts) AS lo, max(ts) AS hi FROM telemetry GROUP BY 1)
 SELECT site_id, CAST(date_diff('hour', lo, hi) + 1 AS BIGINT) AS n_events, CAST(date_diff('hour', lo, hi) + 1 AS BIGINT) AS n_sequences,

@@ -61,6 +61,13 @@ def load_selection(spark, sf):
     return filters.load_selection(_orders(spark, sf), "a_table_never_written", F.lit(AS_OF), "o_orderdate")
 
 
+@query("load_selection_incremental", _window_sql(f"WHERE o_orderdate BETWEEN DATE '{AS_OF}' - 15 AND DATE '{AS_OF}'"))
+def load_selection_incremental(spark, sf):
+    """The target exists, so only the recent window is loaded."""
+    _orders(spark, sf).createOrReplaceTempView("loaded_orders")
+    return filters.load_selection(_orders(spark, sf), "loaded_orders", F.lit(AS_OF), "o_orderdate")
+
+
 @query("anchor_slice", f"""WITH {t.SQL_BASE}
 SELECT r.site_id, a.anchor_ts, r.event_id, r.ts, r.tag_id FROM raw r JOIN anchors a
   ON r.site_id = a.site_id AND r.ts >= a.anchor_ts - INTERVAL 30 HOUR AND r.ts < a.anchor_ts""")
