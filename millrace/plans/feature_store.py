@@ -84,15 +84,17 @@ def run(
     ids: GateFeatures,
     rules: GateRules = GateRules(),
     materialise_gate: bool = False,
+    gate_name: str | None = None,
 ) -> RunOutput:
     """Gate first, then all features for the anchors that passed, then nested output events.
 
     ``materialise_gate`` writes the (small) gate table to the shared folder, so the feature stage starts
-    from finished anchors and the gate's plan is not run again inside it.
+    from finished anchors and the gate's plan is not run again inside it; with ``gate_name`` into a folder of this name, which the
+    next run overwrites.
     """
     gate = gate_anchors(events, changes, anchors, cfg, ids, rules)
     if materialise_gate:
-        gate = cut_lineage(gate)
+        gate = cut_lineage(gate, gate_name)
     flags = passed(gate)
     features = compute_features(events, flags.select(*ANCHOR), cfg)
     conditions = [f.id for f in cfg.features if f.condition]

@@ -54,8 +54,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so losing an executor re-reads, not recomputes."""
-    path = scratch_path(df.sparkSession, "stage")
-    df.write.parquet(path)
+def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, so losing an executor re-reads, not recomputes.
+
+    With a ``name`` the folder is always the same and overwritten, so work that repeats for ever leaves one folder.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{name}" if name else scratch_path(spark, "stage")
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

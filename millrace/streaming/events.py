@@ -14,7 +14,7 @@ from millrace.operators.dedup import survivor_per_key
 from millrace.operators.gate import GateFeatures, GateRules
 from millrace.operators.results import result_json
 from millrace.plans.feature_store import run, unique_events
-from millrace.sources.events import append_event_batch, between_days, checked_messages, newest_anchor, read_log, write_batch
+from millrace.sources.events import append_event_batch, between_days, checked_messages, newest_anchor, read_log, running_stream, write_batch
 
 
 def file_stream(
@@ -134,7 +134,7 @@ def live_features(
         counted = events.groupBy("site_id").agg(F.max("ts").alias("anchor_ts"), F.count("*").alias("n"))
         anchors = counted.where("n > 1").select("site_id", "anchor_ts")
         changes = mine.where(F.col("eventtype") == change).select("site_id", "ts")
-        output = run(events, changes, anchors, cfg, ids, rules, materialise_gate=True)
+        output = run(events, changes, anchors, cfg, ids, rules, materialise_gate=True, gate_name=f"gate-{running_stream(spark)}")
         write_batch(result_json(output.results), out_path, batch_id)
 
     return process
