@@ -96,6 +96,16 @@ def test_sketch_estimates_similarity():
     assert len(shingler.shingles(b"a b c d")) == 1 and len(shingler.shingles(b"")) == 0
 
 
+def test_odd_sketches_never_differ_more_than_the_sets():
+    shingler = Shingler()
+    for n, share in ((20, 0.1), (400, 0.02), (400, 0.3), (9000, 0.05)):
+        base = text_of(n)
+        a, b = (shingler.shingles(t.encode()) for t in (base, changed(base, share)))
+        bits = sum(bin(int(x) & (2**64 - 1)).count("1") for x in shingler.odd_sketch(a) ^ shingler.odd_sketch(b))
+        apart = len(set(a.tolist()) ^ set(b.tolist()))
+        assert bits <= apart and (n > 1000 or bits >= 0.8 * apart)
+
+
 ITEM = "the quick brown fox jumps over the lazy dog and then sleeps all day long"
 ITEMS = [(1, ITEM), (10, "short one here"), (2, None), (3, "..."), (4, "word"), (5, ITEM), (7, ITEM + " " + text_of(60)), (8, "a b")]
 DOCS = [
