@@ -33,6 +33,8 @@ TOKENS = r"[^\W\d_]+"
 #: Tokens whose marginals are computed at once, and steps of one block of them.
 CHUNK_TOKENS, BLOCK = 400_000, 64
 REMEMBERED = 400_000
+#: Documents of the sample that are scored at once.
+SCORED_DOCS = 200
 LIMIT = 30.0
 
 
@@ -267,7 +269,9 @@ def fit_score(model: Field, split: list[tuple[list[str], bool]], rounds: int = 2
     """Logistic weights for the document score, by Newton's method with a weak pull to zero."""
     import numpy as np
 
-    measures, _ = document_measures(model, [tokens for tokens, _ in split])
+    emissions, measures = Emissions(model), []
+    for i in range(0, len(split), SCORED_DOCS):
+        measures += document_measures(model, [tokens for tokens, _ in split[i : i + SCORED_DOCS]], emissions)[0]
     x = np.array([[1.0, top, math.log1p(total)] for top, total in measures])
     y = np.array([float(toxic) for _, toxic in split])
     w = np.zeros(3)
