@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialise
+from millrace.llm.common import materialise, table
 from millrace.llm.components import connected_components
 
 WORDS_PER_SHINGLE = 5
@@ -13,8 +13,8 @@ WORDS_PER_SHINGLE = 5
 PERCENT = 75
 #: At similarity 0.75 a pair shares no bucket with probability (1 - 0.75 ** ROWS) ** BANDS = 5e-6.
 BANDS, ROWS = 32, 4
-#: Centres of a bucket in each further round.
-GROWTH = 4
+#: Centres of a bucket in the second round, and how many times as many there are in each further one.
+GROWTH = 16
 REMEMBERED = 300_000
 SEED = 20240229
 #: Bits of the odd sketch, which rules out pairs without looking at their sets.
@@ -206,24 +206,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     components, compared = connected_components(links), pairs
 
     waiting, n_centres = members.filter("node <> centre.node").select("bucket", "node", "n"), GROWTH
+    order = Window.partitionBy("bucket", "minor").orderBy("node")
     while True:
-        waiting = materialise(_open_members(waiting, components), "waiting")
+        open_ = _open_members(waiting, components).withColumn("minor", F.col("component") != F.col("largest"))
+        waiting = materialise(open_.withColumn("place", F.row_number().over(order)), "waiting")
         if waiting.isEmpty():
             break
-        order = Window.partitionBy("bucket").orderBy("node")
-        turn = waiting.filter("component <> largest").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= n_centres)
-        turn = materialise(turn.select("bucket", "node", "n", "component"), "centres")
+        centre = F.col("minor") & (F.col("place") <= n_centres)
         odd = sets.select("node", "n", "odd")
-        one, two = (side.join(odd, ["node", "n"]).alias(name) for side, name in ((waiting, "m"), (turn, "c")))
+        one, two = (side.join(odd, ["node", "n"]).alias(name) for side, name in ((waiting, "m"), (waiting.filter(centre), "c")))
         met = one.join(two, F.expr(f"m.bucket = c.bucket AND m.component <> c.component AND {_fits('m.n', 'c.n')} AND {_differ_little('m', 'c')}"))
         pairs = met.select(F.greatest("m.node", "c.node").alias("a"), F.least("m.node", "c.node").alias("b")).distinct()
         pairs = materialise(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
-        new = materialise(confirmed(pairs, sets), "links")
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            components = connected_components(links)
-        compared = compared.unionByName(pairs)
-        waiting = waiting.join(turn, ["bucket", "node"], "left_anti").select("bucket", "node", "n")
+        if not pairs.isEmpty():
+            compared = compared.unionByName(pairs)
+            new = materialise(confirmed(pairs, sets), "links")
+            if not new.isEmpty():
+                links = links.unionByName(new)
+                components = connected_components(links)
+        waiting = waiting.filter(~centre).select("bucket", "node", "n")
         n_centres *= GROWTH
 
     labels = classes.join(components, "node", "left").select(*keys, F.coalesce("component", "node").alias("component"))
@@ -251,6 +252,4 @@ def _open_members(members: DataFrame, components: DataFrame) -> DataFrame:
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from millrace.llm.common import table
-
     return near_duplicates(table(spark, sf_dir, "documents"))
