@@ -21,8 +21,8 @@ from millrace.llm.language import held_out
 
 #: Bounds of the labelled sample: toxic and clean documents, and the longest document in it.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_DOC_BYTES = 1500, 4500, 1 << 14
-#: Documents of each kind whose tokens the field is fitted to, and rounds of fitting.
-FIT_DOCS, FIT_ROUNDS = 400, 40
+#: Rounds of fitting.
+FIT_ROUNDS = 40
 #: Momentum, and the pull of all weights to zero.
 MOMENTUM, PULL = 0.7, 0.1
 MAX_FEATURES = 50_000
@@ -193,8 +193,12 @@ def without_copies(split: list[tuple[list[str], bool]], marks: int = 24, shared:
     return kept
 
 
-def fit_field(texts: list[tuple[str, bool]], fit_docs: int = FIT_DOCS, rounds: int = FIT_ROUNDS) -> Field:
-    """A field and document score from labelled texts; without toxic or without clean ones, one that finds nothing."""
+def fit_field(texts: list[tuple[str, bool]], rounds: int = FIT_ROUNDS, chunk_tokens: int = CHUNK_TOKENS) -> Field:
+    """A field and document score from labelled texts; without toxic or without clean ones, one that finds nothing.
+
+    The field is fitted to all of them. The gradient is summed over chunks of whole documents of about ``chunk_tokens`` tokens, so
+    the marginals of one chunk are in memory at a time.
+    """
     import numpy as np
 
     one: dict[str, str] = {}
@@ -206,40 +210,48 @@ def fit_field(texts: list[tuple[str, bool]], fit_docs: int = FIT_DOCS, rounds: i
     named.update(dict.fromkeys(f for f, n in counts.most_common(MAX_FEATURES) if n > 2))
     names = {f: i for i, f in enumerate(list(named)[:MAX_FEATURES])}
 
-    chosen = [d for d in split if d[1]][:fit_docs] + [d for d in split if not d[1]][:fit_docs]
     kinds: dict[str, int] = {}
-    order, first, labels = [], [], []
-    for tokens, toxic in chosen:
-        for i, token in enumerate(tokens):
-            order.append(kinds.setdefault(token.lower(), len(kinds)))
-            first.append(i == 0)
-            labels.append(toxic)
-    order, first = np.array(order), np.array(first)
+    chunks, numbers, size = [], [], 0
+    for i, (tokens, toxic) in enumerate(split):
+        numbers.append((np.fromiter((kinds.setdefault(t.lower(), len(kinds)) for t in tokens), np.int32, len(tokens)), toxic))
+        size += len(tokens)
+        if size >= chunk_tokens or i == len(split) - 1:
+            first = np.concatenate([np.arange(len(own)) == 0 for own, _ in numbers])
+            labels = np.concatenate([np.full(len(own), toxic) for own, toxic in numbers])
+            chunks.append((np.concatenate([own for own, _ in numbers]), first, labels))
+            numbers, size = [], 0
     # features of each kind of word, as a ragged table
     ragged = [[names[f] for f in features(word) if f in names] for word in kinds]
     flat, owner = np.array([f for r in ragged for f in r], int), np.repeat(np.arange(len(ragged)), [len(r) for r in ragged])
     tells = np.array([any(f in telling for f in features(word)) for word in kinds])
-    wanted = (tells[order] & np.array(labels)).astype(float)
-
-    seen = np.bincount(order, minlength=len(kinds)).astype(float)
-    is_pair = ~first[1:]
-    before, after = wanted[:-1][is_pair], wanted[1:][is_pair]
-    pair_counts = np.array([[((1 - before) * (1 - after)).sum(), ((1 - before) * after).sum()], [(before * (1 - after)).sum(), (before * after).sum()]])
-    starts = np.array([(1 - wanted[first]).sum(), wanted[first].sum()])
+    chunks = [(order, first, tells[order] & labels) for order, first, labels in chunks]
+
+    seen, kind_wanted, n_wanted, n_tokens = np.zeros(len(kinds)), np.zeros(len(kinds)), 0.0, 0
+    pair_counts, starts = np.zeros((2, 2)), np.zeros(2)
+    for order, first, wanted in chunks:
+        seen += np.bincount(order, minlength=len(kinds))
+        kind_wanted += np.bincount(order[wanted], minlength=len(kinds))
+        n_wanted, n_tokens = n_wanted + float(wanted.sum()), n_tokens + len(wanted)
+        is_pair = ~first[1:]
+        pair_counts += np.bincount(2 * wanted[:-1][is_pair] + wanted[1:][is_pair], minlength=4).reshape(2, 2)
+        starts += np.bincount(wanted[first].astype(int), minlength=2)
     feature_seen = np.bincount(flat, seen[owner], len(names)) + 1.0
-    kind_wanted = np.bincount(order, wanted, len(kinds))
 
     # gradient ascent with momentum; a step is scaled by a bound of the curvature, to which all features of a token add
     active = 2 + len(PREFIXES) + 1
     weights, moves, start = np.zeros(len(names)), np.zeros((2, 2)), np.zeros(2)
-    bias = math.log((wanted.sum() + 1) / (len(wanted) - wanted.sum() + 1))
-    bounds = [0.25 * active * feature_seen + PULL, 0.25 * active * len(wanted), 0.25 * pair_counts.sum() / 4 + PULL, 0.25 * starts.sum() + PULL]
+    bias = math.log((n_wanted + 1) / (n_tokens - n_wanted + 1))
+    bounds = [0.25 * active * feature_seen + PULL, 0.25 * active * n_tokens, 0.25 * pair_counts.sum() / 4 + PULL, 0.25 * starts.sum() + PULL]
     speed = [np.zeros(len(names)), 0.0, np.zeros((2, 2)), np.zeros(2)]
     for _ in range(rounds):
         by_kind = np.clip(bias + np.bincount(owner, weights[flat], len(kinds)), -LIMIT, LIMIT)
-        probability, pairs = marginals(by_kind[order], first, Field(moves=tuple(map(tuple, moves)), start=tuple(start)))
-        gap = kind_wanted - np.bincount(order, probability, len(kinds))
-        now = np.array([(1 - probability[first]).sum(), probability[first].sum()])
+        current = Field(moves=tuple(map(tuple, moves)), start=tuple(start))
+        gap, pairs, now = kind_wanted.copy(), np.zeros((2, 2)), np.zeros(2)
+        for order, first, _ in chunks:
+            probability, own_pairs = marginals(by_kind[order], first, current)
+            gap -= np.bincount(order, probability, len(kinds))
+            pairs += own_pairs
+            now += [(1 - probability[first]).sum(), probability[first].sum()]
         slopes = [np.bincount(flat, gap[owner], len(names)) - PULL * weights, gap.sum(), pair_counts - pairs - PULL * moves, starts - now - PULL * start]
         speed = [MOMENTUM * v + s / most for v, s, most in zip(speed, slopes, bounds)]
         weights, bias, moves, start = weights + speed[0], bias + speed[1], moves + speed[2], start + speed[3]

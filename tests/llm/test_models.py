@@ -117,6 +117,23 @@ def test_toxic_spans_and_scores(spark):
     assert odd[1].score == odd[2].score == odd[3].score
 
 
+def test_field_is_fitted_to_the_whole_sample():
+    texts = [(text, bool(y)) for _, text, y in toxic_sample(1500)]
+    late = [(f"{said('aa', 30)} zwixel {said('aa', 30)}", True) for _ in range(60)]
+    model = toxicity.fit_field(texts + late)
+    assert model.weights.get("wzwixel", 0) > 0
+    measures, _ = toxicity.document_measures(model, [text.split() for text, _ in late])
+    assert all(top >= 0.5 for top, _ in measures)
+
+
+def test_fit_does_not_depend_on_chunks():
+    texts = [(text, bool(y)) for _, text, y in toxic_sample(200)] + [("", True), ("1 2", False)]
+    whole, parted = toxicity.fit_field(texts), toxicity.fit_field(texts, chunk_tokens=700)
+    assert whole.weights and whole.weights.keys() == parted.weights.keys()
+    assert all(abs(w - parted.weights[f]) < 1e-6 for f, w in whole.weights.items())
+    assert np.allclose([whole.bias, *whole.score, *whole.start], [parted.bias, *parted.score, *parted.start])
+
+
 def test_toxicity_without_labels_and_with_odd_ones(spark):
     rows = toxic_sample(30)
     docs = frame(spark, [r[:2] for r in rows])
