@@ -41,20 +41,26 @@ def learn_dictionaries(
 ) -> dict[str, bytes]:
     """Raw content for one zstandard dictionary per label, from whole texts of a bounded sample.
 
-    Of each label the ``sample_docs`` rows with the smallest hash of their text are taken, of those with at most
-    ``sample_doc_bytes`` bytes; Spark keeps no more than that of any partition before it shuffles. At most ``dictionary_bytes``
-    reach the dictionary. Null labels, null texts and texts without letters teach nothing; equal texts count once.
+    Of each label the ``sample_docs`` distinct texts with the smallest hash are taken, of those with at most ``sample_doc_bytes``
+    bytes. Hashes are made distinct by partial aggregates before they are ranked, so a much copied text takes one place and no
+    task meets its copies; only the chosen texts are then read again. At most ``dictionary_bytes`` reach the dictionary. Null
+    labels, null texts and texts without letters teach nothing; equal texts count once.
     """
     rows = labelled.select(labelled[label_col].cast("string").alias("label"), labelled[text_col].cast("string").alias("text"))
-    size = F.octet_length("text")
-    usable = rows.filter(F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}") & (size <= sample_doc_bytes))
+    rows = rows.filter(F.octet_length("text") <= sample_doc_bytes).withColumn("order", F.xxhash64("text"))
+    usable = rows.filter(F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}"))
     first = Window.partitionBy("label").orderBy("order")
-    sample = usable.withColumn("order", F.xxhash64("text")).withColumn("rank", F.rank().over(first)).filter(F.col("rank") <= sample_docs)
+    ranked = usable.select("label", "order").distinct().withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= sample_docs)
+    chosen: dict[str, list[int]] = {}
+    for row in ranked.toLocalIterator():
+        chosen.setdefault(row["label"], []).append(row["order"])
+        if len(chosen) > MAX_LANGUAGES:
+            raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    # bounded by MAX_LANGUAGES times sample_docs
+    wanted = labelled.sparkSession.createDataFrame([(label, k) for label, orders in chosen.items() for k in orders], "label string, order long")
     texts: dict[str, dict[int, bytes]] = {}
-    for row in sample.dropDuplicates(["label", "order"]).select("label", "order", "text").toLocalIterator():
+    for row in rows.join(F.broadcast(wanted), ["label", "order"]).dropDuplicates(["label", "order"]).toLocalIterator():
         texts.setdefault(row["label"], {})[row["order"]] = plain(row["text"])
-        if len(texts) > MAX_LANGUAGES:
-            raise ValueError(f"more than {MAX_LANGUAGES} languages")
     found = {}
     for label, by_order in sorted(texts.items()):
         joined = b" ".join(by_order[k] for k in sorted(by_order))

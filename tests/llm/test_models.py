@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import chat, language, toxicity
 from tests.llm.helpers import SMALL, by_id, documents, frame, held_out, sha
@@ -55,6 +56,16 @@ def test_sample_of_languages_is_bounded(spark):
     assert len(few["aa"]) < 4 * max(len(t) for _, t, _ in rows)
 
 
+def test_copies_take_one_place_in_the_sample_of_a_language(spark):
+    rows = [(i, said("aa", 40), "aa") for i in range(50)]
+    distinct = frame(spark, rows, "doc_id long, text string, lang string")
+    least = distinct.orderBy(F.xxhash64("text")).first().text
+    copied = frame(spark, rows + [(1000 + i, least, "aa") for i in range(200)], "doc_id long, text string, lang string")
+    found = language.learn_dictionaries(copied)
+    assert found == language.learn_dictionaries(distinct)
+    assert all(language.plain(text) in found["aa"] for _, text, _ in rows)
+
+
 def test_marginals_and_pair_counts_by_enumeration():
     random_ = np.random.default_rng(0)
     model = toxicity.Field(moves=((0.3, -1.0), (-0.5, 0.8)), start=(0.2, -0.4))
