@@ -16,7 +16,8 @@ WINDOW = 10
 SHARD_WORDS = 1 << 20
 #: Bytes of benchmark texts that are searched in one pass over the documents.
 BLOCK_BYTES = 32 << 20
-ID_BITS = 21
+#: Bits of a word's number where a key holds three words, and where a shard has too many distinct words for that and it holds two.
+ID_BITS, WIDE_ID_BITS = 21, 31
 
 #: Bytes to word characters: A-Z in lower case, digits, a-z and everything beyond ASCII; all others part words.
 _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -36,7 +37,10 @@ class SuffixArray:
         n = len(tokens)
         self.padded = np.concatenate([tokens, np.zeros(depth + 3, tokens.dtype)])
         wide = self.padded.astype(np.int64)
-        keys = (wide[:n] << 2 * ID_BITS) | (wide[1 : n + 1] << ID_BITS) | wide[2 : n + 2]
+        self.key_words, self.bits = (3, ID_BITS) if len(vocabulary) <= 1 << ID_BITS else (2, WIDE_ID_BITS)
+        keys = wide[:n]
+        for k in range(1, self.key_words):
+            keys = (keys << self.bits) | wide[k : n + k]
         order = np.argsort(keys)
         self.keys = keys[order]
         edge = np.ones(n, bool)
@@ -45,7 +49,7 @@ class SuffixArray:
         rank = np.zeros(n + depth + 3, np.int64)
         rank[order] = begin + 1
         # twice as many words are compared each time, and only where suffixes are still equal
-        known = 3
+        known = self.key_words
         places = np.flatnonzero(~(edge & np.append(edge[1:], True)))
         while known < depth and len(places):
             suffixes = order[places]
@@ -113,21 +117,21 @@ class Queries:
 
         ids = np.array([index.vocabulary.get(w, -1) for w in self.vocabulary], int)
         text = np.append(ids[self.flat], [-1] * (self.depth + 3)) if len(self.flat) else np.zeros(self.depth + 3, int)
-        top = (1 << ID_BITS) - 1
+        top, known = (1 << index.bits) - 1, index.key_words
         word = lambda k: np.where(self.longest_suffix > k, text[self.start + k], -2)
-        first, second, third = word(0), word(1), word(2)
+        leading = [word(k) for k in range(known)]
         # words past the end of a short item match anything; unknown words match nothing
-        key = lambda rest: (first << 2 * ID_BITS) | (np.where(second == -2, rest, second) << ID_BITS) | np.where(third == -2, rest, third)
-        usable = (first != -1) & (second != -1) & (third != -1)
+        key = lambda rest: sum(np.where(w == -2, rest, w) << index.bits * (known - 1 - k) for k, w in enumerate(leading))
+        usable = np.all([w != -1 for w in leading], axis=0)
         low = np.where(usable, np.searchsorted(index.keys, key(0), "left"), 0)
         high = np.where(usable, np.searchsorted(index.keys, key(top), "right"), 0)
-        length = np.minimum(3, self.longest_suffix)
+        length = np.minimum(known, self.longest_suffix)
         longest = np.where(high > low, length, 0)
         place = np.where(high > low, index.order[np.minimum(low, len(index.order) - 1)], -1)
         at_window = np.stack([low, high])
-        live = np.flatnonzero((high > low) & (self.longest_suffix > 3))
-        low, high, depth = low[live], high[live], 3
-        at_window[:, live[self.window[live] > 3]] = 0
+        live = np.flatnonzero((high > low) & (self.longest_suffix > known))
+        low, high, depth = low[live], high[live], known
+        at_window[:, live[self.window[live] > known]] = 0
         while len(live):
             low, high = index.narrow(low, high, depth, text[self.start[live] + depth])
             depth += 1
@@ -173,7 +177,8 @@ def search_shard(tokens, starts, index: SuffixArray, queries: Queries) -> dict[i
     spread = np.arange(many[w].sum()) - np.repeat(np.cumsum(many[w]) - many[w], many[w]) + np.repeat(first[w], many[w])
     item = queries.item_of[met[items_by_window[spread]]]
     for p in np.unique(np.repeat(pairs // len(sample), many[w]) * len(queries.items) + item).tolist():
-        hits[p // len(queries.items)]["items"].append(queries.items[p % len(queries.items)])
+        if queries.items[p % len(queries.items)] is not None:
+            hits[p // len(queries.items)]["items"].append(queries.items[p % len(queries.items)])
 
     # of each suffix of an item, the place of its longest match; of each document, the longest of those that lie in it
     for q in met[np.argsort(longest[met], kind="stable")].tolist():
@@ -183,8 +188,8 @@ def search_shard(tokens, starts, index: SuffixArray, queries: Queries) -> dict[i
 
 
 def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[object, bytes]]]:
-    """Items of the benchmark, in blocks of at most ``block_bytes`` and one item. Null ids, null and wordless texts are left out."""
-    rows = benchmark.select(benchmark[item_col].alias("item"), benchmark[text_col].cast("string").cast("binary").alias("raw")).dropna()
+    """Items of the benchmark, in blocks of at most ``block_bytes`` and one item. Null texts are left out."""
+    rows = benchmark.select(benchmark[item_col].alias("item"), benchmark[text_col].cast("string").cast("binary").alias("raw")).dropna(subset=["raw"])
     block, size = [], 0
     for row in rows.toLocalIterator():
         block.append((row["item"], bytes(row["raw"])))
@@ -265,7 +270,7 @@ def find_contamination(
     Words are runs of ``0-9``, ``a-z`` and characters beyond ASCII after lower-casing A-Z. ``runs`` are the covered stretches
     of words (start, end), merged; ``n_hit`` counts their words; ``items`` are the distinct items of which a window occurs, in
     ascending order of their text form; ``longest`` is the longest verbatim match found at its place. Null and wordless documents
-    and items match nothing; repeated items count once per id. ``row`` only tells rows apart. Other columns are not read.
+    and items match nothing; repeated items count once per id, and items without an id hit words without being listed. ``row`` only tells rows apart. Other columns are not read.
 
     Each task sorts the suffixes of its documents, about ``shard_words`` words at a time, and searches every suffix of the
     benchmark in them. The benchmark is the query set: it is sent in blocks of ``block_bytes``, one pass over the documents for

@@ -3,8 +3,10 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
+from millrace.llm import decontaminate
 from millrace.llm.components import connected_components
 from millrace.llm.decontaminate import find_contamination, op5_decontamination, remove_contaminated
 from millrace.llm.minhash import Shingler, near_duplicates, op8_minhash
@@ -148,3 +150,28 @@ def test_contamination_with_empty_tables_and_repeats(spark):
     named = frame(spark, [("b", "one two"), ("a", "three four")], "item_id string, text string")
     row = find_contamination(frame(spark, [(1, "one two three four")]), named).first()
     assert row["items"] == ["a", "b"] and row.n_hit == 4
+
+
+def test_items_without_an_id_hit_words(spark):
+    items = frame(spark, [(None, ITEM), (4, "word"), (None, None)], "item_id long, text string")
+    docs = frame(spark, [(1, "so " + ITEM), (2, "word and " + ITEM), (3, "clean")])
+    for options in ({}, {"block_bytes": 4}):
+        got = by_id(find_contamination(docs, items, **options))
+        assert {i: (r.n_hit, r["items"], r.contaminated) for i, r in got.items()} == {1: (15, [], True), 2: (16, [4], True), 3: (0, [], False)}
+        assert [r.doc_id for r in remove_contaminated(docs, items, **options).collect()] == [3]
+
+
+def test_more_distinct_words_than_a_key_of_three_can_number(monkeypatch):
+    monkeypatch.setattr(decontaminate, "ID_BITS", 3)
+    texts = {i: t for i, t in DOCS if i != 12} | {20: text_of(40), 21: "short one over here"}
+    bench = {i: t for i, t in ITEMS} | {30: "one over", 31: "dog and then"}
+    vocabulary, parts = {b"": 0}, []
+    for text in texts.values():
+        parts.append([vocabulary.setdefault(w, len(vocabulary)) for w in [*decontaminate.words((text or "").encode()), b""]])
+    tokens, starts = np.array(sum(parts, []), np.int32), np.cumsum([0, *map(len, parts)])[:-1]
+    queries = decontaminate.Queries([(i, t.encode()) for i, t in bench.items() if t], decontaminate.WINDOW)
+    hits = decontaminate.search_shard(tokens, starts, decontaminate.SuffixArray(tokens, vocabulary, queries.depth), queries)
+    wanted = contamination(texts, bench)
+    for k, i in enumerate(texts):
+        own = hits.get(k, {"runs": [], "items": []})
+        assert (sum(b - a for a, b in own["runs"]), sorted(own["items"], key=str)) == wanted[i][1:]
