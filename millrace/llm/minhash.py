@@ -132,7 +132,10 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """``node, n, shingles, odd`` (the odd sketch) of the rows whose ``mark`` is in ``wanted``."""
+    """``node, mark, n, shingles, odd`` (the odd sketch) of the rows whose ``mark`` is in ``wanted``.
+
+    A node that names several classes has a row for each, also where their sets are of one size.
+    """
 
     def run(batches):
         import numpy as np
@@ -142,11 +145,11 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame)
         for batch in batches:
             sets = [shingler.shingles(raw.as_py() or b"") for raw in batch.column(2)]
             lists = [pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(list(map(shingler.odd_sketch, sets)), pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(len, sets)), pa.int64()), *lists], names=["node", "n", "shingles", "odd"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(map(len, sets)), pa.int64()), *lists], names=["node", "mark", "n", "shingles", "odd"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = _marked(docs, id_col, text_col).join(wanted.select("mark"), "mark", "left_semi").select("doc_id", "mark", "raw")
-    return rows.mapInArrow(run, f"node {kind}, n long, shingles array<long>, odd array<long>").dropDuplicates(["node", "n"])
+    return rows.mapInArrow(run, f"node {kind}, mark long, n long, shingles array<long>, odd array<long>").dropDuplicates(["node", "mark"])
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -171,7 +174,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("set_b"))
     both = pairs.join(left, "a").join(right, "b").filter(_fits("n_a", "n_b"))
     common = both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("set_a", "set_b")).alias("common"))
-    return common.filter(f"100 * common >= {PERCENT} * (n_a + n_b - common)").select("a", "b")
+    return common.filter(f"100 * common >= {PERCENT} * (n_a + n_b - common)").select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -86,6 +86,13 @@ def test_repeated_and_null_ids(spark):
     assert near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_sets_of_one_size_under_a_repeated_id(spark):
+    a, b = text_of(50), text_of(50)
+    rows = [(3, a), (3, b), (4, a[:-1] + "y"), (5, b[:-1] + "y"), (9, text_of(50))]
+    got = sorted((r.doc_id, r.component_id) for r in near_duplicates(frame(spark, rows)).collect())
+    assert got == [(3, 3), (3, 3), (4, 3), (5, 3), (9, 9)]
+
+
 def test_sketch_estimates_similarity():
     shingler = Shingler(bands=128, rows=1)
     for share in (0.01, 0.05, 0.2):
