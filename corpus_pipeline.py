@@ -13,17 +13,21 @@ from millrace.llm.minhash import near_duplicates
 from millrace.llm.toxicity import learn_field, score_toxicity
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose id is in ``rejected``; rows without an id stay."""
-    rows = docs.select(packed(docs).alias("doc"), docs["doc_id"].alias("_id"))
-    return unpacked(rows.join(rejected, rows["_id"] == rejected["rejected_id"], "left_anti"), "doc", docs.columns)
+def _stamped(docs: DataFrame, label: str) -> DataFrame:
+    """``doc, doc_id, stamp``: a written copy of the rows, each with a number of its own."""
+    return materialise(docs.select(packed(docs).alias("doc"), docs["doc_id"].alias("doc_id"), F.monotonically_increasing_id().alias("stamp")), label)
+
+
+def _texts(stamped: DataFrame) -> DataFrame:
+    return stamped.select(F.col("stamp").alias("doc_id"), F.col("doc").getField("text").alias("text"))
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score as toxic go. The model is learned from labelled documents of this stage's input."""
+    """Rows that score as toxic go, whatever their id. The model is learned from labelled documents of this stage's input."""
     model = learn_field(docs, table(spark, sf_dir, "labels"))
-    scored = score_toxicity(docs, model)
-    return _without(docs, scored.filter("predicted = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("rejected_id")).distinct())
+    stamped = _stamped(docs, "toxicity")
+    rejected = score_toxicity(_texts(stamped), model).filter("predicted = 1").select(F.col("doc_id").alias("stamp"))
+    return unpacked(stamped.join(rejected, "stamp", "left_anti"), "doc", docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +36,14 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    decided = near_duplicates(docs)
-    return _without(docs, decided.filter("NOT kept").select(F.col("doc_id").alias("rejected_id")).distinct())
+    """Of each group of near duplicates one row stays, that with the smallest id; rows without an id come last."""
+    stamped = _stamped(docs, "near_duplicates")
+    found = near_duplicates(_texts(stamped)).select(F.col("doc_id").alias("stamp"), "component_id")
+    placed = materialise(found.join(stamped.select("stamp", "doc_id"), "stamp"), "placed")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "stamp").alias("least")).getField("stamp")
+    kept = placed.groupBy("component_id").agg(least.alias("kept"), F.count("*").alias("n")).filter("n > 1").select("component_id", "kept")
+    rejected = placed.join(kept, "component_id").filter("stamp <> kept").select("stamp")
+    return unpacked(stamped.join(rejected, "stamp", "left_anti"), "doc", docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

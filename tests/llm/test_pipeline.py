@@ -59,6 +59,19 @@ def test_stages_keep_rows_without_ids_or_text(spark):
         assert empty.count() == 0
 
 
+def test_rows_are_rejected_one_by_one_whatever_their_ids(spark, monkeypatch):
+    bad = toxicity.Field({"wgrumpf": 20.0}, -10.0, score=(-4.0, 8.0, 0.0))
+    monkeypatch.setattr(corpus_pipeline, "learn_field", lambda *_: bad)
+    rows = [(None, "so grumpf it is"), (None, "so fine it is"), (1, "a grumpf more"), (1, "a clean one"), (2, "quite clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.text for r in corpus_pipeline.toxicity_stage(spark, docs, SMALL).collect()} == {"so fine it is", "a clean one", "quite clean"}
+
+    one, two = (" ".join(f"{k}{i}" for i in range(50)) for k in "ab")
+    rows = [(None, one), (7, one), (5, one + " more"), (6, two), (6, two), (None, "else"), (None, "other words"), (5, "unlike all others")]
+    left = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SMALL).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == sorted([(5, one + " more"), (6, two), (0, "else"), (0, "other words"), (5, "unlike all others")])
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, name):
     got = QUERIES[name](spark, SMALL).toArrow()
