@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import bpe, chat, decontaminate, exact_dedup, language, line_dedup, minhash, planes, sharding, toxicity
+from millrace.llm import bpe, chat, decontaminate, exact_dedup, language, lattice, line_dedup, minhash, planes, sharding, toxicity
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_minhash": minhash.op8_minhash,
     "op9_chat_examples": chat.op9_chat_examples,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op13_lattice_score": lattice.op13_lattice_score,
 }
 
 ORACLES = {
