@@ -179,6 +179,6 @@ points AS (SELECT site_id, anchor_ts, CAST(119 - back AS DOUBLE) AS x, v FROM me
 def torque_level(spark, sf):
     cells = t.dense_cells(spark, sf, 119).where("tag_id <> 'error'")
     means = cells.groupBy("site_id", "anchor_ts", (F.lit(119) - F.col("back")).alias("x")).agg(F.avg("value").alias("value"))
-    points = means.groupBy("site_id", "anchor_ts").agg(trend.collect_points(F.col("x"), F.col("value")).alias("points"))
-    level = trend.trend_level(F.col("points"), trend.TrendLimits(48.0, 52.0))
-    return t.plain(points.select("site_id", "anchor_ts", level.alias("level")), "anchor_ts")
+    anchors = means.select("site_id", "anchor_ts").distinct()
+    levels = trend.trend_levels(means, ["site_id", "anchor_ts"], "x", "value", trend.TrendLimits(48.0, 52.0))
+    return t.plain(anchors.join(levels, ["site_id", "anchor_ts"], "left"), "anchor_ts")

@@ -1,7 +1,8 @@
 """Configured features: functions over tags, null report, imputation, lags and time aggregation.
 
 All features of a run are computed together. The configuration is joined as a small table and decides by
-value what happens to a row, so the plan does not grow with the number of features.
+value what happens to a row, so the plan does not grow with the number of features. A list feature is one
+series per element, numbered in configuration order.
 """
 
 from __future__ import annotations
@@ -16,9 +17,9 @@ from pyspark.sql import functions as F
 from millrace.config import Feature, StoreConfig, local_table
 from millrace.functions.scalar import at_least_flag, impute_when_up, mass_rate, ratio_or_null
 from millrace.functions.times import Grid
-from millrace.operators.history import ANCHOR, GROUP, PLANT_SERIES
+from millrace.operators.history import ANCHOR, PLANT_SERIES
 from millrace.operators.signals import centred_median
-from millrace.operators.trend import TREND_POINTS, TrendLimits, collect_points, trend_level
+from millrace.operators.trend import TREND_POINTS, TrendLimits, merged_part, part_level
 
 # Fixed names of feature functions and time aggregations in the configuration.
 MEAN, MAX, MASS_RATE = "mean", "max", "thickener_underflow_mass_rate"
@@ -31,6 +32,8 @@ AGGREGATIONS = frozenset({MEAN, LAST, TORQUE, RATIO, MEAN_GREATER})
 #: Slot of the plant state in the exploded cells; it gives features without tags a row at every instant.
 STATE_SLOT = 0
 FIRST_TAG_SLOT = 1 + len(PLANT_SERIES)
+#: Feature id of the series of the plant state itself.
+PLANT_STATE = -(2**31)
 ANTICIPATION_STEPS = 60
 
 
@@ -71,24 +74,19 @@ class Slots:
 
 
 def operand_table(spark: SparkSession, features: Sequence[Feature], slots: Slots) -> DataFrame:
-    """``(slot, feature_id, pos)``: one row per feature and operand; a feature without any reads the plant state."""
-    rows = [(slots.of(t), f.id, i) for f in features for i, t in enumerate(operands(f))]
-    rows += [(STATE_SLOT, f.id, -1) for f in features if not operands(f)]
-    return local_table(
-        spark,
-        {
-            "slot": (pa.int32(), [r[0] for r in rows]),
-            "feature_id": (pa.int32(), [r[1] for r in rows]),
-            "pos": (pa.int32(), [r[2] for r in rows]),
-        },
-    )
+    """``(slot, feature_id, operand, elem)``: one row per feature and operand; a feature without any reads the plant state.
+
+    Every operand of a list feature is an element of its own; all other features have one element, 0.
+    """
+    rows = [(slots.of(t), f.id, i, i if f.function == PASSTHROUGH else 0) for f in features for i, t in enumerate(operands(f))]
+    # the plant state's own series reads it as its operand
+    rows += [(STATE_SLOT, f.id, 0 if f.id == PLANT_STATE else -1, 0) for f in features if not operands(f)]
+    names = ("slot", "feature_id", "operand", "elem")
+    return local_table(spark, {name: (pa.int32(), [r[i] for r in rows]) for i, name in enumerate(names)})
 
 
 def function_table(spark: SparkSession, features: Sequence[Feature]) -> DataFrame:
-    """What decides a feature's value at one instant, and which ranks it is aggregated over."""
-    def ahead(f: Feature) -> int:
-        return f.lag - ANTICIPATION_STEPS if f.lag is not None and f.lag > ANTICIPATION_STEPS else 0
-
+    """What decides a feature's value at one instant."""
     return local_table(
         spark,
         {
@@ -96,10 +94,6 @@ def function_table(spark: SparkSession, features: Sequence[Feature]) -> DataFram
             "function": (pa.string(), [f.function for f in features]),
             "limit": (pa.int64(), [_threshold(f) for f in features]),
             "impute": (pa.float64(), [f.null_impute for f in features]),
-            "lag": (pa.int64(), [f.lag or 0 for f in features]),
-            "lag_ahead": (pa.int64(), [ahead(f) for f in features]),
-            "steps": (pa.int64(), [f.steps for f in features]),
-            "trended": (pa.bool_(), [f.current == TORQUE for f in features]),
         },
     )
 
@@ -114,143 +108,259 @@ def aggregation_table(spark: SparkSession, features: Sequence[Feature]) -> DataF
             "ahead_agg": (pa.string(), [f.anticipated for f in features]),
             "threshold": (pa.int64(), [_threshold(f) for f in features]),
             "null_limit": (pa.float64(), [f.null_threshold for f in features]),
+            "is_list": (pa.bool_(), [f.function == PASSTHROUGH for f in features]),
         },
     )
 
 
+def elements(feature: Feature) -> int:
+    """How many series a feature has: one per operand of a list, else one."""
+    return max(len(operands(feature)), 1) if feature.function == PASSTHROUGH else 1
+
+
 def _threshold(f: Feature) -> int | None:
     return f.threshold if f.function == GREATER or f.current == MEAN_GREATER else None
 
 
-def cell_rows(frame: DataFrame, slots: Slots, wanted: Sequence[int]) -> DataFrame:
-    """A frame's arrays as rows, one per wanted slot; absent cells are null."""
+def gap_value(feature: Feature, cfg: StoreConfig) -> float | None:
+    """A feature's value at an instant without any reading, where the plant counts as down."""
+    if feature.function == TARGET:
+        return cfg.moisture_target
+    return 0.0 if feature.function == GREATER else None
+
+
+#: What is read off a feature's series: the null share, the value now and an hour ahead, the quotient of two elements, the trend.
+SHARE, NOW, AHEAD, PAIR, TREND = range(5)
+
+
+def anticipated_lag(feature: Feature) -> int:
+    return feature.lag - ANTICIPATION_STEPS if feature.lag is not None and feature.lag > ANTICIPATION_STEPS else 0
+
+
+def readings(feature: Feature) -> list[tuple[int, int, int | None]]:
+    """``(kind, first rank, last rank)`` of what a feature's outputs need; rank 1 is the newest row.
+
+    Shifting by ``lag`` rows and taking the newest ``n`` reads the ranks ``lag+1 .. lag+n``, so no shifted series is ever built. The
+    null share reads all rows (last rank: none).
+    """
+    lag, ahead = feature.lag or 0, anticipated_lag(feature)
+    found = [(SHARE, 1, None)]
+    if feature.current in (MEAN, LAST, MEAN_GREATER):
+        found.append((NOW, lag + 1, lag + feature.steps))
+    if feature.anticipated in (MEAN, LAST):
+        found.append((AHEAD, ahead + 1, ahead + feature.steps))
+    if feature.current == RATIO:
+        found.append((PAIR, lag + 1, lag + feature.steps))
+    if feature.current == TORQUE:
+        found.append((TREND, lag + 1, lag + TREND_POINTS))
+    return found
+
+
+def cell_rows(frame: DataFrame, slots: Slots, wanted: Sequence[int], carried: Sequence[str]) -> DataFrame:
+    """A frame's arrays as rows ``(carried..., plant_up, slot, value)``, one per wanted slot; absent cells are null."""
     state = F.array(F.col("plant_up").cast("double"))
-    constants = F.coalesce("constants", F.array_repeat(F.lit(None).cast("double"), len(PLANT_SERIES)))
+    unknown = F.array_repeat(F.lit(None).cast("double"), len(PLANT_SERIES))
+    constants = F.coalesce("constants", unknown) if "constants" in frame.columns else unknown
     cells = F.coalesce("cells", F.array_repeat(F.lit(None).cast("double"), len(slots.tags)))
     every = F.concat(state, constants, cells)
-    rows = frame.select(*GROUP, "micros", "rank", "tail_rows", "plant_up", F.posexplode(every).alias("slot", "value"))
+    rows = frame.select(*carried, "plant_up", F.posexplode(every).alias("slot", "value"))
     return rows.where(F.col("slot").isin(list(wanted)))
 
 
-def smooth_cells(rows: DataFrame, slots: Slots, cfg: StoreConfig) -> DataFrame:
-    """Low-pass the numeric tags inside each anchor's slice; a slice never sees past its anchor."""
+def wanted_slots(features: Sequence[Feature], slots: Slots) -> list[int]:
+    wanted = {slots.of(t) for f in features for t in operands(f)}
+    if not all(operands(f) for f in features):
+        wanted.add(STATE_SLOT)
+    return sorted(wanted)
+
+
+def smooth_cells(rows: DataFrame, slots: Slots, cfg: StoreConfig, keys: Sequence[str]) -> DataFrame:
+    """Low-pass the numeric tags inside each bounded series that ``keys`` name."""
     smoothed = slots.smoothed(cfg)
     if not smoothed:
         return rows
     is_smoothed = F.col("slot").isin(smoothed)
     width = Grid(cfg.step_seconds).span(cfg.smooth_steps)
-    median = centred_median(F.when(is_smoothed, F.col("value")), [*GROUP, "slot"], "micros", width, cfg.smooth_min)
+    median = centred_median(F.when(is_smoothed, F.col("value")), [*keys, "slot"], "micros", width, cfg.smooth_min)
     return rows.withColumn("value", F.when(is_smoothed, median).otherwise(F.col("value")))
 
 
-def feature_series(frame: DataFrame, cfg: StoreConfig, features: Sequence[Feature], slots: Slots, impute: bool) -> DataFrame:
-    """Every feature's value at every instant of its frame, after its function and imputation.
+def feature_values(
+    rows: DataFrame, cfg: StoreConfig, features: Sequence[Feature], slots: Slots, impute: bool, keys: Sequence[str], at: Sequence[str]
+) -> DataFrame:
+    """Every feature's value at every instant (``keys`` and ``at``) of cell rows, after its function and imputation.
 
-    ``value2`` is the second element of list features. ``missing`` tells whether the value was null
-    before imputation.
+    One row per element: ``(keys..., at..., feature_id, elem, value, missing)``. ``missing`` tells whether the value was null before
+    imputation; a list itself is never missing.
     """
-    spark = frame.sparkSession
-    wanted = {slots.of(t) for f in features for t in operands(f)}
-    if not all(operands(f) for f in features):
-        wanted.add(STATE_SLOT)
-    rows = smooth_cells(cell_rows(frame, slots, sorted(wanted)), slots, cfg)
+    spark = rows.sparkSession
     joined = rows.join(operand_table(spark, features, slots), "slot")
-    pos, value = F.col("pos"), F.col("value")
+    operand_at, value = F.col("operand"), F.col("value")
     used = {f.function for f in features}
 
     def operand(i: int) -> Column:
-        return F.max(F.when(pos == i, value))
+        return F.max(F.when(operand_at == i, value))
 
-    measures = {"plant_up": F.max("plant_up"), "p0": operand(0), "tail_rows": F.max("tail_rows")}
+    measures = {"plant_up": F.max("plant_up"), "p0": operand(0)}
     if MEAN in used:
-        measures["mean"] = F.avg(F.when(pos >= 0, value))
-    if MAX in used:
-        measures["max"] = F.max(F.when(pos >= 0, value))
-    if used & {PASSTHROUGH, MASS_RATE}:
-        measures["p1"] = operand(1)
+        measures["mean"] = F.avg(F.when(operand_at >= 0, value))
+    if used & {MAX, PASSTHROUGH}:
+        measures["max"] = F.max(F.when(operand_at >= 0, value))
     if MASS_RATE in used:
-        measures |= {"p2": operand(2), "p3": operand(3)}
-    grouped = joined.groupBy(*GROUP, "feature_id", "rank").agg(*[c.alias(n) for n, c in measures.items()])
+        measures |= {f"p{i}": operand(i) for i in (1, 2, 3)}
+    grouped = joined.groupBy(*keys, "feature_id", "elem", *at).agg(*[c.alias(n) for n, c in measures.items()])
 
     rows = grouped.join(function_table(spark, features), "feature_id")
     function = F.col("function")
     result = F.when(function.isNull(), F.col("p0"))
     if MEAN in used:
         result = result.when(function == MEAN, F.col("mean"))
-    if MAX in used:
-        result = result.when(function == MAX, F.col("max"))
+    if used & {MAX, PASSTHROUGH}:
+        # an element of a list has one operand
+        result = result.when(function.isin(MAX, PASSTHROUGH), F.col("max"))
     if MASS_RATE in used:
         result = result.when(function == MASS_RATE, mass_rate(*[F.col(f"p{i}") for i in range(4)]))
     if TARGET in used:
         result = result.when(function == TARGET, F.lit(cfg.moisture_target))
     if GREATER in used:
         result = result.when(function == GREATER, at_least_flag(F.col("p0"), F.col("limit")).cast("double"))
-    if PASSTHROUGH in used:
-        result = result.when(function == PASSTHROUGH, F.col("p0"))
-    second = F.when(function == PASSTHROUGH, F.col("p1")) if PASSTHROUGH in used else F.lit(None).cast("double")
-    rows = rows.withColumns({"value": result, "value2": second})
+    rows = rows.withColumn("value", result.cast("double"))
     is_list = F.coalesce(function == PASSTHROUGH, F.lit(False))
     rows = rows.withColumn("missing", F.when(is_list, 0).otherwise(F.col("value").isNull().cast("int")))
     if impute:
-        state, constant = F.col("plant_up"), F.col("impute")
-        second = F.when(is_list, impute_when_up(F.col("value2"), state, constant))
-        rows = rows.withColumns({"value": impute_when_up(F.col("value"), state, constant), "value2": second})
-    return rows.select(*GROUP, "feature_id", "rank", "tail_rows", "value", "value2", "missing", "lag", "lag_ahead", "steps", "trended")
+        rows = rows.withColumn("value", impute_when_up(F.col("value"), F.col("plant_up"), F.col("impute")))
+    return rows.select(*keys, *at, "feature_id", "elem", "value", "missing")
+
+
+#: One partial result of an element of a feature: which reading it belongs to, its place among the others, rows, sums, and the newest
+#: value with its rank. Few of them make up a reading, so they can be added in order and a result never depends on the shuffle.
+PARTIAL = "struct<kind:int,place:int,n:bigint,s:double,c:bigint,m:bigint,rank:bigint,v:double>"
+
+
+def partial_row(kind: Column, place: Column, n: Column, s: Column, c: Column, m: Column, rank: Column, v: Column) -> Column:
+    names = ("kind", "place", "n", "s", "c", "m", "rank", "v")
+    return F.struct(*[col.alias(name) for col, name in zip((kind, place, n, s, c, m, rank, v), names)]).cast(PARTIAL)
+
+
+def with_each(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Every row with every row of a table as small as the configuration."""
+    one = F.lit(1).alias("_one")
+    return rows.select("*", one).join(F.broadcast(table.select("*", one)), "_one").drop("_one")
+
+
+def element_table(spark: SparkSession, cfg: StoreConfig, features: Sequence[Feature]) -> DataFrame:
+    """One row per element of each feature, with the value and share its gaps have and the ranks its readings begin and end at."""
+    rows = [(f, e) for f in features for e in range(elements(f))]
+    gaps = [gap_value(f, cfg) for f, _ in rows]
+    return local_table(
+        spark,
+        {
+            "feature_id": (pa.int32(), [f.id for f, _ in rows]),
+            "elem": (pa.int32(), [e for _, e in rows]),
+            "gap": (pa.float64(), gaps),
+            "gap_missing": (pa.int64(), [int(g is None and f.function != PASSTHROUGH) for (f, _), g in zip(rows, gaps)]),
+            "lag": (pa.int64(), [f.lag or 0 for f, _ in rows]),
+            "lag_ahead": (pa.int64(), [anticipated_lag(f) for f, _ in rows]),
+            "steps": (pa.int64(), [f.steps for f, _ in rows]),
+        },
+    )
 
 
-def aggregate_features(series: DataFrame, features: Sequence[Feature], limits: TrendLimits) -> DataFrame:
-    """Lag and aggregate each feature over its newest rows: one value now, one an hour ahead, one null share.
+def finished_features(partials: DataFrame, bases: DataFrame, cfg: StoreConfig, features: Sequence[Feature]) -> DataFrame:
+    """Outputs of every feature at every anchor: ``current``, ``anticipated``, the null share, and all elements of list features.
 
-    Shifting by ``lag`` rows and taking the newest ``n`` reads the rows ranked ``lag+1 .. lag+n``, so no
-    shifted series is ever built.
+    ``bases(site_id, anchor_ts, total, tail)`` has every anchor once, with the rows its slice counts and, on the long horizon, how
+    many of them an aggregate spans. ``partials(site_id, anchor_ts, feature_id, elem, partial, part)`` hold the rows that were found, a few each in
+    sums or in parts of trends; all others are gaps. A scalar's outputs are those of its only element; of a list, ``current`` is its
+    first element's, or the quotient of its two.
     """
     require_pairs(features)
-    rank, value = F.col("rank"), F.col("value")
-    span = F.coalesce("tail_rows", "steps")
-    in_now = rank.between(F.col("lag") + 1, F.col("lag") + span)
-    in_ahead = rank.between(F.col("lag_ahead") + 1, F.col("lag_ahead") + span)
-    in_rows = rank.between(F.col("lag") + 1, F.col("lag") + F.col("steps"))
-    held = value.isNotNull()
+    spark = partials.sparkSession
+    every = with_each(bases, element_table(spark, cfg, features))
     used = {f.current for f in features} | {f.anticipated for f in features}
+    lists = {"found": F.array_sort(F.collect_list("partial"))} | ({"parts": F.collect_list("part")} if TORQUE in used else {})
+    listed = partials.groupBy(*ANCHOR, "feature_id", "elem").agg(*[c.alias(n) for n, c in lists.items()])
+    rows = every.join(listed, [*ANCHOR, "feature_id", "elem"], "left")
+    rows = rows.withColumn("found", F.coalesce("found", F.array().cast(f"array<{PARTIAL}>")))
+    if TORQUE in used:
+        rows = rows.withColumn("line", F.when(F.size("parts") > 0, merged_part(F.col("parts"))))
+    found = F.col("found")
+    gap, total = F.col("gap"), F.col("total")
+
+    def added(kind: int, field: str) -> Column:
+        own = F.filter(found, lambda p: p["kind"] == kind)
+        zero = F.lit(0.0) if field == "s" else F.lit(0).cast("bigint")
+        return F.aggregate(own, zero, lambda acc, p: acc + F.coalesce(p[field], zero))
+
+    def top(lag: Column) -> Column:
+        return F.greatest(lag + 1, F.lit(1))
+
+    def counted(lag: Column, span: Column) -> Column:
+        return F.greatest(F.least(lag + span, total) - top(lag) + 1, F.lit(0))
+
+    def mean(kind: int, lag: Column, span: Column) -> Column:
+        gaps = counted(lag, span) - added(kind, "n")
+        filled = F.when(gap.isNotNull(), gaps).otherwise(0)
+        n = added(kind, "c") + filled
+        return F.when(n > 0, (added(kind, "s") + F.coalesce(gap, F.lit(0.0)) * filled) / n)
+
+    def last(kind: int, lag: Column, span: Column) -> Column:
+        held = F.filter(found, lambda p: (p["kind"] == kind) & p["v"].isNotNull())
+        newest = F.array_min(F.transform(held, lambda p: F.struct(p["rank"].alias("rank"), p["v"].alias("v"))))
+        is_gap = gap.isNotNull() & (counted(lag, span) > 0) & (newest["rank"].isNull() | (newest["rank"] > top(lag)))
+        return F.when(is_gap, gap).otherwise(newest["v"])
+
+    lag, ahead, span = F.col("lag"), F.col("lag_ahead"), F.coalesce("tail", "steps")
     measures = {
-        "now_mean": F.avg(F.when(in_now, value)),
-        "ahead_mean": F.avg(F.when(in_ahead, value)),
-        "null_share": F.avg("missing"),
+        "now_mean": mean(NOW, lag, span),
+        "ahead_mean": mean(AHEAD, ahead, span),
+        "null_share": (added(SHARE, "m") + (total - added(SHARE, "n")) * F.col("gap_missing")) / total,
     }
     if LAST in used:
-        measures["now_last"] = F.min_by("value", F.when(in_now & held, rank))
-        measures["ahead_last"] = F.min_by("value", F.when(in_ahead & held, rank))
+        measures |= {"now_last": last(NOW, lag, span), "ahead_last": last(AHEAD, ahead, span)}
     if RATIO in used:
-        measures["first_mean"] = F.avg(F.when(in_rows, value))
-        measures["second_mean"] = F.avg(F.when(in_rows, F.col("value2")))
+        measures["pair_mean"] = mean(PAIR, lag, F.col("steps"))
     if TORQUE in used:
-        x = (TREND_POINTS - 1) - (rank - 1 - F.col("lag"))
-        measures["points"] = collect_points(F.when(F.col("trended") & x.between(0, TREND_POINTS - 1), x), value)
-    totals = series.groupBy(*GROUP, "feature_id").agg(*[c.alias(n) for n, c in measures.items()])
-
-    now, ahead = F.col("current_agg"), F.col("ahead_agg")
+        measures["level"] = part_level(F.col("line"), TrendLimits(cfg.trend_high, cfg.trend_high_high))
+    rows = rows.select(*ANCHOR, "feature_id", "elem", *[c.alias(n) for n, c in measures.items()])
+    rows = rows.join(F.broadcast(aggregation_table(spark, features)), "feature_id")
+    now, then = F.col("current_agg"), F.col("ahead_agg")
     current = F.when(now == MEAN, F.col("now_mean"))
-    anticipated = F.when(ahead == MEAN, F.col("ahead_mean"))
+    anticipated = F.when(then == MEAN, F.col("ahead_mean"))
     if LAST in used:
         current = current.when(now == LAST, F.col("now_last"))
-        anticipated = anticipated.when(ahead == LAST, F.col("ahead_last"))
-    if RATIO in used:
-        current = current.when(now == RATIO, ratio_or_null(F.col("first_mean"), F.col("second_mean")))
+        anticipated = anticipated.when(then == LAST, F.col("ahead_last"))
     if MEAN_GREATER in used:
         current = current.when(now == MEAN_GREATER, at_least_flag(F.col("now_mean"), F.col("threshold")).cast("double"))
     if TORQUE in used:
-        current = current.when(now == TORQUE, trend_level(F.col("points"), limits))
-    return totals.join(aggregation_table(series.sparkSession, features), "feature_id").select(
+        current = current.when(now == TORQUE, F.col("level"))
+    rows = rows.withColumns({"current": current, "anticipated": anticipated})
+    no_list = F.lit(None).cast("array<double>")
+    if any(f.function == PASSTHROUGH for f in features):
+        first = F.col("elem") == 0
+        ordered = {
+            name: F.when(F.max("is_list"), F.transform(F.array_sort(F.collect_list(F.struct("elem", F.col(name).alias("v")))), lambda x: x["v"]))
+            for name in ("current", "anticipated")
+        }
+        kept = {name: F.max(F.when(first, F.col(name))) for name in ("current", "anticipated", "null_share")}
+        pair = {f"pair{i}": F.max(F.when(F.col("elem") == i, F.col("pair_mean"))) for i in (0, 1)} if RATIO in used else {}
+        fixed = ["current_agg", "null_limit"]
+        rows = rows.groupBy(*ANCHOR, "feature_id").agg(
+            *[c.alias(n) for n, c in (kept | pair).items()], *[F.max(c).alias(c) for c in fixed],
+            *[c.alias(f"{n}_list") for n, c in ordered.items()],
+        )
+        if RATIO in used:
+            quotient = ratio_or_null(F.col("pair0"), F.col("pair1"))
+            rows = rows.withColumn("current", F.when(now == RATIO, quotient).otherwise(F.col("current")))
+    else:
+        rows = rows.withColumns({"current_list": no_list, "anticipated_list": no_list})
+    return rows.select(
         *ANCHOR,
         "feature_id",
-        current.alias("current"),
-        anticipated.alias("anticipated"),
+        "current",
+        "anticipated",
         "null_share",
         F.coalesce(F.col("null_share") > F.col("null_limit"), F.lit(False)).alias("too_many_nulls"),
+        "current_list",
+        "anticipated_list",
     )
-
-
-def frame_features(frame: DataFrame, cfg: StoreConfig, features: Sequence[Feature], slots: Slots, impute: bool) -> DataFrame:
-    """All features of one frame: ``(site_id, anchor_ts, feature_id, current, anticipated, null_share, ...)``."""
-    series = feature_series(frame, cfg, features, slots, impute)
-    return aggregate_features(series, features, TrendLimits(cfg.trend_high, cfg.trend_high_high))

@@ -7,6 +7,8 @@ measured size allows and otherwise shuffles, splitting skewed partitions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,16 +26,17 @@ def anchor_slice(
     span_micros: int,
     include_anchor: bool = True,
     width_micros: int | None = None,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of ``series(site_id, ts, ...)`` within ``[anchor_ts - span, anchor_ts]``, once per anchor.
 
     ``include_anchor=False`` gives the half-open slice. Buckets are a quarter of the span unless a width is
-    given, which keeps candidate rows within a quarter of the true matches.
+    given, which keeps candidate rows within a quarter of the true matches. ``carried`` names columns of the anchors to keep.
     """
     width = max(width_micros or span_micros // 4, 1)
     anchor_micros = F.unix_micros("anchor_ts")
     covered = F.sequence(whole_div(anchor_micros - F.lit(span_micros), width), whole_div(anchor_micros, width))
-    spread = anchors.select("site_id", "anchor_ts", F.explode(covered).alias("_bucket"))
+    spread = anchors.select("site_id", "anchor_ts", *carried, F.explode(covered).alias("_bucket"))
     bucketed = series.withColumn("_bucket", whole_div(F.unix_micros("ts"), width))
     back = F.unix_micros("anchor_ts") - F.unix_micros("ts")
     inside = (back >= 0 if include_anchor else back > 0) & (back <= F.lit(span_micros))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.times import format_event_time
@@ -22,13 +22,14 @@ def nested_results(features: DataFrame, flags: DataFrame, condition_ids: Sequenc
     """One row per anchor: time, flag, event type, current and anticipated records, plant conditions.
 
     Conditions are taken from the current values and appear in neither of the other lists. Only anchors
-    in ``flags(site_id, anchor_ts, flag)`` produce a row.
+    in ``flags(site_id, anchor_ts, flag)`` produce a row. ``too_many_nulls`` counts the features beyond their null limit.
     """
     is_condition = F.col("feature_id").isin(list(condition_ids))
     nested = features.groupBy(*ANCHOR).agg(
         _records("current", ~is_condition).alias("currentFeatureRecords"),
         _records("anticipated", ~is_condition).alias("anticipatedFeatureRecords"),
         _records("current", is_condition).alias("plantConditions"),
+        F.sum(F.col("too_many_nulls").cast("bigint")).alias("too_many_nulls"),
     )
     return nested.join(flags, ANCHOR).select(
         *ANCHOR,
@@ -38,17 +39,31 @@ def nested_results(features: DataFrame, flags: DataFrame, condition_ids: Sequenc
         "currentFeatureRecords",
         "anticipatedFeatureRecords",
         "plantConditions",
+        "too_many_nulls",
     )
 
 
-def result_json(nested: DataFrame) -> DataFrame:
-    """The six output attributes as one JSON text per anchor; null values are written as ``null``."""
-    body = F.struct(
-        "timestamp", "flag", "eventType", "currentFeatureRecords", "anticipatedFeatureRecords", "plantConditions"
-    )
+#: The attributes of an output event, in order.
+ATTRIBUTES = ["timestamp", "flag", "eventType", "currentFeatureRecords", "anticipatedFeatureRecords", "plantConditions"]
+RECORDS = "array<struct<id:smallint,value:double>>"
+
+
+def result_json(nested: DataFrame, with_site: bool = False) -> DataFrame:
+    """The six output attributes as one JSON text per anchor; null values are written as ``null``.
+
+    ``with_site`` puts the site before them, for lines of several sites in one file.
+    """
+    body = F.struct(*(["site_id"] if with_site else []), *ATTRIBUTES)
     return nested.select(*ANCHOR, F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
 
 
+def read_result_text(spark: SparkSession, path: str) -> DataFrame:
+    """Output events from files of lines that ``result_json`` made with their site; a folder without a line gives none."""
+    kinds = f"site_id int, timestamp string, flag boolean, eventType string, currentFeatureRecords {RECORDS}, anticipatedFeatureRecords {RECORDS}, plantConditions {RECORDS}"
+    lines = spark.read.schema("value string").text(path)
+    return lines.select(F.from_json("value", kinds, {"mode": "FAILFAST"}).alias("event")).select("event.*")
+
+
 def require_features(current: DataFrame | None, anticipated: DataFrame | None) -> None:
     """Reject missing or empty feature frames before formatting."""
     for name, frame in (("current", current), ("anticipated", anticipated)):

@@ -1,14 +1,17 @@
 """Trend level of a signal: where its next hour lies against its past, from a closed-form line fit.
 
-A series is a short sorted list of points, so its level is one column expression: no fitting library, no
-Python, no second pass over the data.
+The fit needs sums of y, x*y and y*y over the gap-filled series only. Between two present points the filled values lie on a line, so
+their sums are closed forms of the two points; sums of neighbouring parts of a series add up, joined by the line between them. A
+series is therefore never a list: parts are summed wherever they lie and merged (``merged_part``). Values are taken against a
+reference of their part, so a constant series has moments of exactly zero.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The series is two hours of minutes, the prediction one hour past its end, and the
@@ -22,6 +25,9 @@ CENTRE = (TREND_POINTS - 1) / 2
 SXX = TREND_POINTS * (TREND_POINTS**2 - 1) / 12
 SPREAD = 1 + 1 / TREND_POINTS + (TREND_TARGET - CENTRE) ** 2 / SXX
 
+#: Columns of a part: its first and last point, the reference of its values, its number of points and the sums over its filled values.
+PART = ["fx", "fy", "lx", "ly", "ref", "points", "s0", "s1", "s2"]
+
 
 @dataclass(frozen=True)
 class TrendLimits:
@@ -29,72 +35,97 @@ class TrendLimits:
     high_high: float = 20.0
 
 
-def collect_points(x: Column, value: Column) -> Column:
-    """Aggregate to the sorted list of a series' present points; rows where either is null add nothing."""
-    point = F.when(x.isNotNull() & value.isNotNull(), F.struct(x.cast("int").alias("x"), value.alias("v")))
-    return F.array_sort(F.collect_list(point))
+def own_sums(x: Column, y: Column) -> tuple[Column, Column, Column]:
+    """The sums a single point adds."""
+    return y, x * y, y * y
+
+
+def segment_sums(x1: Column, y1: Column, x2: Column, y2: Column) -> tuple[Column, Column, Column]:
+    """Sums of y, x*y and y*y over the line from one point to the next, at whole steps; the first point excluded, the next included."""
+    s, d = x2 - x1, y2 - y1
+    return (
+        s * y1 + d * (s + 1) / 2,
+        s * x1 * y1 + x1 * d * (s + 1) / 2 + y1 * s * (s + 1) / 2 + d * (s + 1) * (2 * s + 1) / 6,
+        s * y1 * y1 + y1 * d * (s + 1) + d * d * (s + 1) * (2 * s + 1) / (6 * s),
+    )
+
+
+def part_of_points(rows: DataFrame, keys: Sequence[str], x: str, value: str) -> DataFrame:
+    """One part per key from its points; rows where either is null add nothing, and a key without points has no part."""
+    held = rows.where(F.col(x).isNotNull() & F.col(value).isNotNull())
+    in_order = Window.partitionBy(*keys).orderBy(x)
+    pointed = held.select(*keys, F.col(x).cast("double").alias("x"), F.col(value).alias("v"), F.first(value).over(in_order).alias("ref"))
+    in_order = Window.partitionBy(*keys).orderBy("x")
+    pointed = pointed.withColumn("y", F.col("v") - F.col("ref"))
+    pointed = pointed.withColumns({"px": F.lag("x").over(in_order), "py": F.lag("y").over(in_order)})
+    alone = own_sums(F.col("x"), F.col("y"))
+    joined = segment_sums(F.col("px"), F.col("py"), F.col("x"), F.col("y"))
+    sums = [F.sum(F.when(F.col("px").isNull(), a).otherwise(j)).alias(f"s{i}") for i, (a, j) in enumerate(zip(alone, joined))]
+    return pointed.groupBy(*keys).agg(
+        F.min("x").alias("fx"), F.min_by("y", "x").alias("fy"), F.max("x").alias("lx"), F.max_by("y", "x").alias("ly"),
+        F.max("ref").alias("ref"), F.count("*").alias("points"), *sums,
+    )
+
+
+def part_of_point(x: Column, value: Column) -> Column:
+    """A single point as a part."""
+    zero = F.lit(0.0)
+    return part_struct({c: zero for c in PART} | {"fx": x.cast("double"), "lx": x.cast("double"), "ref": value, "points": F.lit(1).cast("bigint")})
+
+
+def part_struct(columns: dict[str, Column]) -> Column:
+    return F.struct(*[columns[c].alias(c) for c in PART])
 
 
-def filled_values(points: Column, last_x: int = TREND_POINTS - 1) -> Column:
-    """Values from the first present point to ``last_x``: gaps linear, the end kept at the last value."""
-    count = F.size(points)
-    first, last = F.get(points, F.lit(0)), F.element_at(points, -1)
+def merged_part(parts: Column) -> Column:
+    """The part of a whole series from an array of its few parts, which must not overlap; neighbours are joined by lines."""
+    ordered = F.array_sort(parts)
 
-    def segment(i: Column) -> Column:
-        a, b = F.get(points, i - 1), F.get(points, i)
-        steps = b["x"] - a["x"]
-        rise = (b["v"] - a["v"]) / steps
-        return F.transform(F.sequence(F.lit(1), steps), lambda j: F.when(j == steps, b["v"]).otherwise(a["v"] + rise * j))
+    def join(a: Column, p: Column) -> Column:
+        shift, n = p["ref"] - a["ref"], p["lx"] - p["fx"] + 1
+        fy = p["fy"] + shift
+        moved = (
+            p["s0"] + n * shift, p["s1"] + shift * n * (p["fx"] + p["lx"]) / 2, p["s2"] + 2 * shift * p["s0"] + n * shift * shift
+        )
+        # the line's last value is the part's own first point
+        lines = [line - own for line, own in zip(segment_sums(a["lx"], a["ly"], p["fx"], fy), own_sums(p["fx"], fy))]
+        sums = {f"s{i}": a[f"s{i}"] + lines[i] + moved[i] for i in range(3)}
+        return part_struct({
+            "fx": a["fx"], "fy": a["fy"], "lx": p["lx"], "ly": p["ly"] + shift, "ref": a["ref"], "points": a["points"] + p["points"]} | sums)
 
-    empty = F.array().cast("array<double>")
-    inner = F.when(count > 1, F.flatten(F.transform(F.sequence(F.lit(1), count - 1), segment))).otherwise(empty)
-    return F.concat(F.array(first["v"]), inner, F.array_repeat(last["v"], F.lit(last_x) - last["x"]))
+    return F.aggregate(F.slice(ordered, 2, F.greatest(F.size(parts), F.lit(1))), F.get(ordered, F.lit(0)), join)
 
 
-def trend_level(points: Column, limits: TrendLimits) -> Column:
-    """Level of a series given its present points at x = 0..119.
+def part_level(part: Column, limits: TrendLimits) -> Column:
+    """Level of a series given its part over x = 0..119; null without one.
 
     More than a fifth missing gives null. Below ``high`` the level is 0. Between the limits it is 1 when
     the whole prediction interval lies above the mean, else 0. From ``high_high`` on it is 2, or 1 when
     the interval lies below the mean. A series with a leading gap has no trend.
     """
-    enough = F.size(points) >= TREND_POINTS * (1 - MAX_MISSING_SHARE)
-    zero = F.lit(0.0)
-
-    def total(values: Column, term) -> Column:
-        return F.aggregate(values, zero, lambda acc, v: acc + term(v))
-
-    def level(values: Column) -> Column:
-        n = F.size(values)
-        mean = total(values, lambda v: v) / n
-        indexed = F.transform(values, lambda v, i: F.struct((i - CENTRE).alias("x"), v.alias("y")))
-
-        def judge(moments: Column) -> Column:
-            m, syy, sxy = moments["m"], moments["syy"], moments["sxy"]
-            predicted = m + (TREND_TARGET - CENTRE) * sxy / SXX
-            residual = F.greatest(syy - sxy * sxy / SXX, zero) / (TREND_POINTS - 2)
-            half = T_QUANTILE * F.sqrt(residual * SPREAD)
-            rising = moments["complete"] & (predicted - half >= m)
-            falling = moments["complete"] & (predicted + half <= m) & ~rising
-            return (
-                F.when(m < limits.high, 0)
-                .when(m < limits.high_high, F.when(rising, 1).otherwise(0))
-                .otherwise(F.when(falling, 1).otherwise(2))
-            )
-
-        def with_mean(m: Column) -> Column:
-            return F.struct(
-                m.alias("m"),
-                (n == TREND_POINTS).alias("complete"),
-                total(values, lambda v: (v - m) * (v - m)).alias("syy"),
-                total(indexed, lambda p: p["x"] * (p["y"] - m)).alias("sxy"),
-            )
-
-        return _let(_let(mean, with_mean), judge)
-
-    return F.when(enough, _let(filled_values(points), level)).cast("double")
-
-
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    enough = part["points"] >= TREND_POINTS * (1 - MAX_MISSING_SHARE)
+    last, y = part["lx"], part["ly"]
+    rest = (TREND_POINTS - 1) - last
+    # the end of the series is kept at its last value
+    s0 = part["s0"] + rest * y
+    s1 = part["s1"] + y * rest * (last + TREND_POINTS) / 2
+    s2 = part["s2"] + rest * y * y
+    n = F.lit(float(TREND_POINTS)) - part["fx"]
+    mean, complete = s0 / n, part["fx"] == 0
+    sxy = s1 - CENTRE * s0
+    residual = F.greatest(s2 - n * mean * mean - sxy * sxy / SXX, F.lit(0.0)) / (TREND_POINTS - 2)
+    predicted, half = mean + (TREND_TARGET - CENTRE) * sxy / SXX, T_QUANTILE * F.sqrt(residual * SPREAD)
+    rising = complete & (predicted - half >= mean)
+    falling = complete & (predicted + half <= mean) & ~rising
+    m = part["ref"] + mean
+    level = (
+        F.when(m < limits.high, 0)
+        .when(m < limits.high_high, F.when(rising, 1).otherwise(0))
+        .otherwise(F.when(falling, 1).otherwise(2))
+    )
+    return F.when(enough, level).cast("double")
+
+
+def trend_levels(rows: DataFrame, keys: Sequence[str], x: str, value: str, limits: TrendLimits) -> DataFrame:
+    """``(keys..., level)`` of every series that has a point."""
+    return part_of_points(rows, keys, x, value).select(*keys, part_level(F.struct(*PART), limits).alias("level"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -9,13 +10,13 @@ from pyspark.sql import functions as F
 
 from millrace.config import StoreConfig
 from millrace.operators.dedup import survivor_per_key
-from millrace.operators.features import Slots, frame_features, needed_tags
 from millrace.operators.gate import GateFeatures, GateRules, gate_inputs, passed, trigger_gate
-from millrace.operators.history import ANCHOR, compact_events, long_frame, short_frame
+from millrace.operators.history import ANCHOR
 from millrace.operators.joins import latest_before
 from millrace.operators.optimal import mask_stopped_equipment, optimal_state
 from millrace.operators.reshape import stack_rows
 from millrace.operators.results import nested_results
+from millrace.operators.shared import horizon_features
 from millrace.plans.configs import require_rows
 from millrace.session import cut_lineage
 
@@ -28,9 +29,9 @@ def corrected_events(events: DataFrame, cfg: StoreConfig) -> DataFrame:
     return mask_stopped_equipment(events, cfg.run_tags_of)
 
 
-def unique_events(events: DataFrame, order: str = "sequenceID") -> DataFrame:
+def unique_events(events: DataFrame, order: str = "sequenceID", keys: Sequence[str] = ("site_id", "ts")) -> DataFrame:
     """One event per site and instant; copies collapse before the shuffle."""
-    return survivor_per_key(events, ["site_id", "ts"], F.col(order))
+    return survivor_per_key(events, list(keys), F.col(order))
 
 
 def compute_features(events: DataFrame, anchors: DataFrame, cfg: StoreConfig) -> DataFrame:
@@ -42,14 +43,10 @@ def compute_features(events: DataFrame, anchors: DataFrame, cfg: StoreConfig) ->
     corrected = corrected_events(events, cfg)
     parts = []
     if cfg.short_features:
-        slots = Slots(tuple(needed_tags(cfg.short_features, cfg)))
-        frame = short_frame(compact_events(corrected, slots.tags), anchors, cfg)
-        parts.append(frame_features(frame, cfg, cfg.short_features, slots, impute=True))
+        parts.append(horizon_features(corrected, anchors, cfg, cfg.short_features, dense=True))
     if cfg.long_features:
-        slots = Slots(tuple(needed_tags(cfg.long_features, cfg)))
-        frame = long_frame(compact_events(corrected, slots.tags), anchors, cfg)
-        # long frames carry no plant state, so nothing is imputed there
-        parts.append(frame_features(frame, cfg, cfg.long_features, slots, impute=False))
+        # rows of the long horizon carry no plant state, so nothing is imputed there
+        parts.append(horizon_features(corrected, anchors, cfg, cfg.long_features, dense=False))
     return stack_rows(*parts)
 
 

@@ -24,6 +24,7 @@ def build_session(app: str = "millrace", cores: str = "*", shuffle_partitions: i
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.unionOutputPartitioning", "false")
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -31,9 +32,13 @@ def build_session(app: str = "millrace", cores: str = "*", shuffle_partitions: i
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """The session settings that plans need: instants in UTC, and unions that claim no partitioning (see ``stack_rows``)."""
+    """The session settings that plans need: instants in UTC, and unions that claim no partitioning (see ``stack_rows``).
+
+    Joins may also keep a side where it lies if it is partitioned by some of the keys: the blocks of ``operators.shared`` rely on it.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     return spark
 
 

@@ -157,10 +157,17 @@ def test_trend_level_matches_numpy(spark, shape):
     if shape == "sparse":
         base[::4] = np.nan
     rows = [(int(i), None if np.isnan(v) else float(v)) for i, v in enumerate(base)]
-    points = spark.createDataFrame(rows, "x int, v double").agg(trend.collect_points(F.col("x"), F.col("v")).alias("p"))
-    got = points.select(trend.trend_level(F.col("p"), trend.TrendLimits())).first()[0]
+    points = spark.createDataFrame([(1, *r) for r in rows], "k int, x int, v double")
     # a constant series' interval is its mean, and reaching the mean counts as rising
-    assert got == (1.0 if shape == "flat" else torque_reference(base, 15, 20))
+    expected = 1.0 if shape == "flat" else torque_reference(base, 15, 20)
+    assert trend.trend_levels(points, ["k"], "x", "v", trend.TrendLimits()).first()["level"] == expected
+    # the same from three stretches that are merged
+    whole = trend.part_of_points(points, ["k"], "x", "v").select(F.struct(*trend.PART).alias("p")).first()["p"]
+    stretches = trend.part_of_points(points.withColumn("k", F.expr("x div 41")), ["k"], "x", "v")
+    merged = stretches.agg(F.collect_list(F.struct(*trend.PART)).alias("ps")).select(trend.merged_part(F.col("ps")).alias("p"))
+    again = merged.select(trend.part_level(F.col("p"), trend.TrendLimits()).alias("level"), "p").first()
+    assert again["level"] == expected
+    assert [again["p"][c] for c in trend.PART] == pytest.approx([whole[c] for c in trend.PART], rel=1e-9, abs=1e-6)
 
 
 def test_low_pass_leaves_discrete_tags_and_needs_seven_values(spark):
