@@ -1,15 +1,20 @@
 """The whole feature run: features, gate and output events."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from catalogue import tables as t
 from catalogue.registry import query
 from catalogue.signals import SQL_MEDIAN, SQL_MEDIAN_WINDOW, TORQUE_TAIL
 from catalogue.timing import UPTIME_SQL
+from millrace.config import Feature
 from millrace.operators import quality, results
 from millrace.operators.features import operands
 from millrace.plans import feature_store as store
+from millrace.plans import files
 from millrace.session import scratch_path
+from millrace.sources import sinks
 
 # Operands and steering values of the demonstration configuration, as SQL rows.
 OPS = ", ".join(f"({f.id}, {i}, '{x}')" for f in t.FEATURES for i, x in enumerate(operands(f)))
@@ -120,7 +125,42 @@ SELECT site_id, anchor_ts, feature_id, round(current + 3e-11, 9) AS current, rou
        round(null_share + 3e-11, 9) AS null_share, too_many_nulls FROM feature_values""")
 def feature_store(spark, sf):
     rounded = {c: t.shown(c) for c in ("current", "anticipated", "null_share")}
-    return t.plain(_store(spark, sf).withColumns(rounded), "anchor_ts")
+    return t.plain(_store(spark, sf).withColumns(rounded).drop("current_list", "anticipated_list"), "anchor_ts")
+
+
+# A list of five tags, one of them masked by run status and two not smoothed, lagged by five steps.
+FIVE = ("view", "click", "purchase", "signup", "error")
+LIST_FEATURE = Feature(21, FIVE, "passthrough", 5, 0.0, 0.5, "mean", "last", 60)
+SQL_LIST = t.SQL_BASE + f""",
+tags(pos, tag_id) AS (VALUES {", ".join(f"({i}, '{x}')" for i, x in enumerate(FIVE))}),
+low AS (SELECT DISTINCT site_id, ts FROM telemetry WHERE tag_id = 'view' AND coalesce(value, 0) <= 8),
+cleared AS (SELECT e.site_id, e.ts, e.tag_id, CASE WHEN low.ts IS NULL OR e.tag_id = 'error' THEN e.value END AS value
+            FROM telemetry e LEFT JOIN low ON e.site_id = low.site_id AND e.ts = low.ts),
+masked AS (SELECT e.site_id, e.ts, e.tag_id, CASE WHEN e.tag_id NOT IN ('purchase', 'signup') OR r.value = 1 THEN e.value END AS value
+           FROM cleared e LEFT JOIN cleared r ON e.site_id = r.site_id AND e.ts = r.ts AND r.tag_id = 'error'),
+series AS (
+  SELECT a.site_id, a.anchor_ts, a.anchor_ts - to_hours(CAST(k AS INTEGER)) AS ts, k + 1 AS rank, pos, t.tag_id, m.value,
+         p.ts IS NOT NULL AND low.ts IS NULL AS up
+  FROM anchors a CROSS JOIN range(0, 121) r(k) CROSS JOIN tags t
+  LEFT JOIN masked m ON m.site_id = a.site_id AND m.ts = a.anchor_ts - to_hours(CAST(k AS INTEGER)) AND m.tag_id = t.tag_id
+  LEFT JOIN plant p ON p.site_id = a.site_id AND p.ts = a.anchor_ts - to_hours(CAST(k AS INTEGER))
+  LEFT JOIN low ON low.site_id = a.site_id AND low.ts = a.anchor_ts - to_hours(CAST(k AS INTEGER))),
+smooth AS (
+  SELECT site_id, anchor_ts, rank, pos, up, CASE WHEN tag_id IN ('click', 'purchase', 'view') THEN {SQL_MEDIAN} ELSE value END AS raw
+  FROM series {SQL_MEDIAN_WINDOW}),
+imputed AS (SELECT *, CASE WHEN up THEN coalesce(raw, 0) ELSE raw END AS v FROM smooth)"""
+
+
+@query("passthrough_lists", "WITH " + SQL_LIST + """
+SELECT site_id, anchor_ts, pos, round(avg(v) FILTER (rank BETWEEN 6 AND 65) + 3e-11, 9) AS current,
+       round(arg_min(v, rank) FILTER (v IS NOT NULL AND rank <= 60) + 3e-11, 9) AS anticipated
+FROM imputed GROUP BY 1, 2, 3""")
+def passthrough_lists(spark, sf):
+    """All elements of a list feature, each smoothed, imputed, lagged and aggregated by itself."""
+    found = store.compute_features(t.events(spark, sf), t.anchors(spark, sf), t.CONFIG.subset((LIST_FEATURE,)))
+    rows = found.select("site_id", "anchor_ts", F.posexplode(F.arrays_zip("current_list", "anticipated_list")).alias("pos", "e"))
+    shown = rows.select("site_id", "anchor_ts", "pos", t.shown("e.current_list").alias("current"), t.shown("e.anticipated_list").alias("anticipated"))
+    return t.plain(shown, "anchor_ts")
 
 
 @query("long_horizon_features", "WITH " + SQL_STORE + """
@@ -193,14 +233,68 @@ def results_nested(spark, sf):
 
 @query("results_json_parsed", RESULTS_SQL)
 def results_json_parsed(spark, sf):
-    """The output texts written to files and read back."""
+    """The output texts written to files, one JSON text per line, and read back."""
     path = scratch_path(spark, "results")
-    texts = results.result_json(_run(spark, sf).results)
-    texts.select("site_id", "value").write.partitionBy("site_id").text(path)
-    record = "array<struct<id:smallint,value:double>>"
-    schema = f"timestamp string, flag boolean, eventType string, currentFeatureRecords {record}, anticipatedFeatureRecords {record}, plantConditions {record}"
-    read = spark.read.schema("value string, site_id int").text(path)
-    return _record_rows(read.select("site_id", F.from_json("value", schema).alias("event")).select("site_id", "event.*"))
+    sinks.write_result_text(results.result_json(_run(spark, sf).results, with_site=True), path)
+    return _record_rows(results.read_result_text(spark, path))
+
+
+#: The demonstration configuration as configuration files; every tag has an equipment of its own, so none depends on a run tag.
+NEWEST_STORE = ("WITH " + SQL_STORE).replace("""anchors AS (
+  SELECT DISTINCT site_id, ts AS anchor_ts FROM telemetry
+  WHERE ts = date_trunc('day', ts)
+)""", "anchors AS (SELECT site_id, max(ts) AS anchor_ts FROM plant GROUP BY site_id HAVING count(*) > 1)").replace(
+    "CASE WHEN e.tag_id NOT IN ('purchase', 'signup') OR r.value = 1 THEN e.value END AS value", "e.value")
+KEYS = {"area": "a", "line": "l", "measure": "m", "position": "p"}
+
+
+def _config_files(spark, sf, folder):
+    """Tags from the events table, features and plant parameters from the demonstration configuration, as JSON files."""
+    features = [
+        {
+            "id": f.id, "equipment": ", ".join(x.upper() for x in f.tags), "function": f.function, "lag": f.lag, "nullImpute": f.null_impute,
+            "nullThreshold": f.null_threshold, "currentTimeAggregation": f.current, "anticipatedTimeAggregation": f.anticipated,
+            "timeAggregationMinutes": f.steps, "customInput": ",".join(f.custom) or None, "plantCondition": str(f.condition).lower(), **KEYS,
+        }
+        for f in t.FEATURES
+    ]
+    spark.createDataFrame([(json.dumps({"features": features}),)], "value string").coalesce(1).write.text(f"{folder}/features")
+    numeric, critical = F.col("event_type").isin(*t.SMOOTHED), F.col("event_type") == "error"
+    names = t.table(spark, sf, "events").select("event_type").distinct()
+    tags = names.select(F.struct(
+        F.col("event_type").alias("enterpriseId"), F.when(numeric, "numeric").otherwise("discrete").alias("tagType"),
+        F.when(critical, "Critical Run Status").otherwise("Normal").alias("criticality"), F.concat(F.lit(" "), F.col("event_type")).alias("equipment"),
+        *[F.lit(v).alias(k) for k, v in KEYS.items()]).alias("tag"))
+    whole = tags.agg(F.array(F.struct(F.sort_array(F.collect_list("tag")).alias("tags"))).alias("sites"))
+    whole.select(F.to_json(F.struct("sites")).alias("value")).coalesce(1).write.text(f"{folder}/tags")
+    plant = {
+        "trigger_features": list(t.CONFIG.trigger_features), "plantup_time": 11, "plantup_switch": 12, "plantup_minutes": 13, "moisture_feature": 1,
+        "moisture_target_feature": 4, "moisture_target": t.CONFIG.moisture_target, "skip_low_pass": [], "optimal_tag": "view", "optimal_threshold": 8.0,
+    }
+    spark.createDataFrame([(json.dumps(plant),)], "value string").coalesce(1).write.text(f"{folder}/plant")
+
+
+def file_inputs(folder, events):
+    grid = {k: getattr(t.CONFIG, k) for k in ("step_seconds", "long_slice_steps", "long_steps", "trend_high", "trend_high_high")}
+    return files.Inputs(events, f"{folder}/features", f"{folder}/tags", f"{folder}/plant", F.col("criticality") == "Critical Run Status", rules=t.GATE_RULES, grid=grid)
+
+
+@query("files_to_output", RESULTS_SQL.replace("WITH " + SQL_STORE, NEWEST_STORE))
+def files_to_output(spark, sf):
+    """From JSON files of configuration and events, copies and broken lines among them, to lines of results, in one run."""
+    folder, out = scratch_path(spark, "configured"), scratch_path(spark, "lines")
+    _config_files(spark, sf, folder)
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    sequence = F.concat_ws("-", F.col("site_id").cast("string"), F.unix_seconds("ts").cast("string"))
+    nested = t.events(spark, sf).select("site_id", stamp.alias("timestamp"), F.lit("eventtype1").alias("eventtype"), "plant_up", sequence.alias("sequenceID"), "records")
+    changes = t.changes(spark, sf).select("site_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"), F.lit("eventtype2").alias("eventtype"))
+    text = F.to_json(F.struct("*"))
+    lines = nested.select(text.alias("value"))
+    every = lines.unionByName(changes.select(text.alias("value"))).unionByName(lines.where("crc32(value) % 5 = 0")).unionByName(
+        lines.where("crc32(value) % 7 = 0").select(F.substring("value", 1, 50).alias("value")))
+    every.write.text(f"{folder}/events")
+    files.run_files(spark, file_inputs(folder, f"{folder}/events"), out, scratch_path(spark, "rejected"))
+    return _record_rows(results.read_result_text(spark, out))
 
 
 @query("results_json")

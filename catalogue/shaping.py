@@ -50,13 +50,13 @@ def prefix_rename(spark, sf):
 
 
 @query("stacked_rows", t.with_base("""
-SELECT site_id, ts, tag_id, value FROM telemetry WHERE tag_id = 'view'
+SELECT site_id, ts, tag_id, value FROM telemetry
 UNION ALL SELECT site_id, ts, 'constant' AS tag_id, 35.0e0 AS value FROM plant"""))
 def stacked_rows(spark, sf):
     tele = t.telemetry(spark, sf)
-    views = tele.where("tag_id = 'view'").select("site_id", "ts", "tag_id", "value")
+    readings = tele.select("site_id", "ts", "tag_id", "value")
     constant = tele.select("ts", "site_id").distinct().withColumns({"value": F.lit(35.0), "tag_id": F.lit("constant")})
-    return t.plain(reshape.stack_rows(views, constant), "ts")
+    return t.plain(reshape.stack_rows(readings, constant), "ts")
 
 
 @query("list_functions", """

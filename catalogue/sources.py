@@ -8,6 +8,7 @@ from catalogue.registry import query
 from millrace.operators import optimal, quality
 from millrace.plans import synthetic
 from millrace.session import scratch_path
+from millrace.sources import compaction
 from millrace.sources import events as src
 from millrace.sources import sinks
 
@@ -83,6 +84,46 @@ def date_partition_overwrite(spark, sf):
     return spark.read.schema(schema).parquet(path)
 
 
+@query("compacted_log", t.with_base("""
+SELECT site_id, ts, plant_up, tag_id, value, true AS few_files FROM telemetry JOIN plant USING (site_id, ts)"""))
+def compacted_log(spark, sf):
+    """Twenty batches, compacted after the twelfth and after the last; a covered batch is replayed in between."""
+    path = scratch_path(spark, "log")
+    events = src.typed_events(as_messages(spark, sf))
+    part = F.pmod(F.xxhash64("site_id", "ts"), F.lit(20))
+    for i in range(20):
+        src.append_event_batch(events.where(part == i), path, i, "stream")
+        if i == 11:
+            compaction.compact_log(spark, path, events.schema)
+            src.append_event_batch(events.where(part == 3), path, 3, "stream")
+    newest = compaction.compact_log(spark, path, events.schema)
+    rows = spark.read.option("recursiveFileLookup", "true").schema("site_id int").parquet(f"{path}-compacted/generation={newest}/rows")
+    per_day = rows.select(F.input_file_name().alias("f")).distinct().groupBy(F.regexp_extract("f", "eventtype=.*event_date=[^/]*", 0)).count()
+    few = per_day.agg((F.max("count") <= 2).alias("few_files"))
+    read = optimal.records_to_long(compaction.read_compacted_log(spark, path, events.schema))
+    return t.plain(read.join(F.broadcast(few)).select("site_id", "ts", "plant_up", "tag_id", "value", "few_files"), "ts")
+
+
+@query("merged_dates", """
+WITH o AS (SELECT o_orderkey, o_totalprice, CAST(date_trunc('month', o_orderdate) AS DATE) AS field_date FROM orders)
+SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey % 77 = 0 THEN CAST(field_date + INTERVAL 3 MONTH AS DATE) ELSE field_date END AS field_date
+FROM o WHERE o_orderkey % 5 <> 0 OR o_orderkey % 11 = 0 OR field_date >= DATE '2000-01-01'""")
+def merged_dates(spark, sf):
+    """A target by month without some orders; then corrections of old months, some of which move an order to another, and a late load."""
+    path = scratch_path(spark, "merged")
+    orders = t.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.trunc("o_orderdate", "month").alias("field_date"))
+    known = orders.where("o_orderkey % 5 <> 0 AND field_date < '2000-01-01'")
+    sinks.overwrite_dates(known, path)
+    corrected = orders.where("o_orderkey % 11 = 0").select(
+        "o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"),
+        F.when(F.col("o_orderkey") % 77 == 0, F.add_months("field_date", 3)).otherwise(F.col("field_date")).alias("field_date"))
+    late = orders.where("field_date >= '2000-01-01' AND o_orderkey % 11 <> 0")
+    sinks.merge_dates(corrected, path, ["o_orderkey"])
+    sinks.merge_dates(late, path, ["o_orderkey"])
+    return spark.read.schema(orders.schema).parquet(path)
+
+
 @query("text_sink", t.with_base("""SELECT '{"site_id":' || site_id || ',"plant_up":' || plant_up || ',"n":null}' AS value FROM plant"""))
 def text_sink(spark, sf):
     path = scratch_path(spark, "text")

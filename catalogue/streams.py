@@ -1,12 +1,14 @@
 """Streaming queries: each reads the events table as a file stream to its end and returns what it wrote."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogue import tables as t
+from catalogue.pipeline import SQL_GATE, SQL_STORE
 from catalogue.registry import query
 from catalogue.sources import QUARANTINE_SQL, as_messages, checked_events
-from millrace.operators import optimal, quality
+from millrace.operators import dedup, optimal, quality, results
 from millrace.session import scratch_path
 from millrace.sources import events as src
 from millrace.streaming import events as st
@@ -135,12 +137,72 @@ def stream_checked_log(spark, sf):
     return t.plain(valid.unionByName(rejected), "ts")
 
 
-@query("stream_features")
+#: The valid messages as telemetry and changes, and each site's newest one as its anchor, in place of all hours.
+LIVE_BASE = t.SQL_RAW + "," + t.SQL_TELEMETRY.removeprefix(t.SQL_RAW + ",").replace("telemetry AS (", "all_telemetry AS (") + """,
+all_plant AS (""" + t.SQL_PLANT.split("plant AS (", 1)[1].replace("FROM telemetry", "FROM all_telemetry") + """,
+sent AS (
+  SELECT site_id, ts, plant_up, CASE WHEN extract(hour FROM ts) % 2 = 0 AND ts < TIMESTAMP '2024-01-20' THEN 2 ELSE 1 END AS kind
+  FROM all_plant WHERE (epoch(ts)::BIGINT // 3600) % 7 <> 0),
+telemetry AS (SELECT a.* FROM all_telemetry a JOIN sent USING (site_id, ts) WHERE kind = 1),
+plant AS (SELECT site_id, ts, plant_up FROM sent WHERE kind = 1),
+anchors AS (SELECT site_id, max(ts) AS anchor_ts FROM plant GROUP BY site_id HAVING count(*) > 1)"""
+LIVE_STORE = ("WITH " + SQL_STORE + SQL_GATE).replace(t.SQL_BASE, LIVE_BASE).replace(
+    "(SELECT site_id, ts FROM raw WHERE tag_id = 'purchase' AND value > 200)", "(SELECT site_id, ts FROM sent WHERE kind = 2)")
+
+
+@query("stream_features", LIVE_STORE + """
+, one AS (SELECT f.* FROM feature_values f JOIN gate g ON f.site_id = g.site_id AND f.anchor_ts = g.anchor_ts WHERE trigger = 1),
+rows AS (
+  SELECT *, 'current' AS part, current AS value FROM one WHERE NOT is_condition
+  UNION ALL SELECT *, 'anticipated', anticipated FROM one WHERE NOT is_condition
+  UNION ALL SELECT *, 'conditions', current FROM one WHERE is_condition)
+SELECT g.site_id, g.anchor_ts, trigger, flag, part, CAST(feature_id AS SMALLINT) AS id, round(value + 3e-11, 9) AS value
+FROM gate g LEFT JOIN rows r ON r.site_id = g.site_id AND r.anchor_ts = g.anchor_ts""")
 def stream_features(spark, sf):
-    """The live run: raw messages in, broken ones set aside, log appended, each site's newest event gated and answered."""
-    inbox, log, out, bad = (scratch_path(spark, x) for x in ("inbox", "log", "out", "rejected"))
-    _raw_messages(spark, sf, "2024-01-20").select("value").write.text(inbox)
-    stream = st.file_stream(spark, inbox, T.StructType([T.StructField("value", T.StringType())]), "text")
-    handler = st.live_features(log, out, t.CONFIG, t.GATE_FEATURES, t.GATE_RULES, rejected_path=bad)
+    """The live run in four batches, some messages late: broken ones set aside, the state of each site kept, its newest event answered."""
+    inbox, log, out, bad, state, gate = (scratch_path(spark, x) for x in ("inbox", "log", "out", "rejected", "state", "gate"))
+    messages = _raw_messages(spark, sf, "2024-01-20").cache()
+    place = F.ntile(4).over(Window.partitionBy("site_id").orderBy("ts"))
+    late = F.pmod(F.xxhash64("site_id", "ts"), F.lit(13)) == 0
+    dealt = messages.withColumn("batch", F.least(place + late.cast("int"), F.lit(4)))
+    for i in range(1, 5):
+        dealt.where(F.col("batch") == i).select("value").coalesce(1).write.mode("append").text(inbox)
+    messages.unpersist()
+    schema = T.StructType([T.StructField("value", T.StringType())])
+    stream = st.file_stream(spark, inbox, schema, "text", files_per_batch=1)
+    handler = st.live_features(log, out, t.CONFIG, t.GATE_FEATURES, t.GATE_RULES, rejected_path=bad, state_path=state, gate_path=gate)
     st.drain(stream, scratch_path(spark, "features-checkpoint"), each=handler)
-    return t.plain(spark.read.schema("site_id int, anchor_ts timestamp, value string").parquet(out).select("site_id", "anchor_ts", "value"), "anchor_ts")
+    gates = spark.read.schema("site_id int, anchor_ts timestamp, trigger int, flag boolean, batch_id long").parquet(gate)
+    last = dedup.survivor_per_key(gates, ["site_id"], F.struct("anchor_ts", "batch_id"))
+    texts = spark.read.schema("site_id int, anchor_ts timestamp, value string, batch_id long").parquet(out)
+    event = F.from_json("value", f"currentFeatureRecords {results.RECORDS}, anticipatedFeatureRecords {results.RECORDS}, plantConditions {results.RECORDS}")
+    records = F.array(*[F.struct(F.lit(n).alias("part"), F.col(f"event.{c}").alias("records")) for n, c in (
+        ("current", "currentFeatureRecords"), ("anticipated", "anticipatedFeatureRecords"), ("conditions", "plantConditions"))])
+    parts = texts.select("site_id", "anchor_ts", "batch_id", event.alias("event")).select("site_id", "anchor_ts", "batch_id", F.explode(records).alias("p"))
+    rows = parts.select("site_id", "anchor_ts", "batch_id", "p.part", F.explode("p.records").alias("r"))
+    shown = rows.select("site_id", "anchor_ts", "batch_id", "part", "r.id", t.shown("r.value").alias("value"))
+    both = last.join(shown, ["site_id", "anchor_ts", "batch_id"], "left").select("site_id", "anchor_ts", "trigger", "flag", "part", "id", "value")
+    return t.plain(both, "anchor_ts")
+
+
+#: Rows whose event lies this far before what has come already are late; the rest of a file's disorder is not.
+LATE = "2 days"
+
+
+@query("stream_late_dedup", """
+SELECT DISTINCT CAST(user_id // 50 AS INTEGER) AS site_id, event_type, date_trunc('hour', ts) AS ts
+FROM events WHERE NOT (ts < TIMESTAMP '2024-01-08' AND event_id % 5 = 0)""")
+def stream_late_dedup(spark, sf):
+    """A fifth of the first week comes after everything else: later than the delay, so it is dropped and counts nowhere.
+
+    A batch's lateness is judged by what came before the batch before it, so the rest comes in two.
+    """
+    inbox = scratch_path(spark, "events")
+    raw = t.table(spark, sf, "events")
+    is_late = (F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz")) & (F.col("event_id") % 5 == 0)
+    for part in (~is_late & (F.col("event_id") % 2 == 0), ~is_late & (F.col("event_id") % 2 == 1), is_late):
+        raw.where(part).coalesce(1).write.mode("append").parquet(inbox)
+    stream = st.file_stream(spark, inbox, EVENTS, files_per_batch=1).withColumns(
+        {"ts": F.col("ts").cast("timestamp"), "site_id": F.expr("cast(user_id div 50 as int)")})
+    hourly = stream.select("site_id", "event_type", F.date_trunc("hour", "ts").alias("ts"))
+    return t.plain(_written(spark, st.unique_stream(hourly, ["site_id", "event_type", "ts"], LATE), "late"), "ts")

@@ -34,13 +34,16 @@ def read_table(spark: SparkSession, name: str, folder: str | None = None, fmt: s
 
 
 def read_json_events(spark: SparkSession, path: str, schema: T.StructType = EVENT) -> DataFrame:
-    """Newline-delimited JSON events; an empty folder gives an empty frame."""
-    return typed_events(spark.read.schema(schema).json(path))
+    """Newline-delimited JSON events; an empty folder gives an empty frame, and a line that is no JSON ends the job.
+
+    ``read_checked_events`` sets broken lines aside instead.
+    """
+    return typed_events(spark.read.schema(schema).json(path, mode="FAILFAST"))
 
 
 def events_from_text(df: DataFrame, column: str = "value", schema: T.StructType = EVENT) -> DataFrame:
-    """Events carried as JSON text or bytes in a message column."""
-    parsed = df.select(F.from_json(F.col(column).cast("string"), schema).alias("_event"))
+    """Events carried as JSON text or bytes in a message column; a message that is no JSON ends the job (see ``checked_messages``)."""
+    parsed = df.select(F.from_json(F.col(column).cast("string"), schema, {"mode": "FAILFAST"}).alias("_event"))
     return typed_events(parsed.select("_event.*"))
 
 
@@ -53,9 +56,18 @@ def checked_messages(raw: DataFrame, column: str = "value", schema: T.StructType
 
     A message is rejected when it is not readable as the schema, lacks a required field or has a time that is none.
     """
+    return split_checked(checked_lines(raw, column, schema), column)
+
+
+def checked_lines(raw: DataFrame, column: str = "value", schema: T.StructType = EVENT) -> DataFrame:
+    """Messages with ``parsed`` and the ``reason`` for which they are no event; null where they are one."""
     text = raw.withColumn(column, F.col(column).cast("string"))
     checks = {"unreadable timestamp": parse_event_time(F.col("parsed.timestamp")).isNotNull()}
-    valid, rejected = quarantine(parse_with_reason(text, column, schema, REQUIRED, checks))
+    return parse_with_reason(text, column, schema, REQUIRED, checks)
+
+
+def split_checked(checked: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+    valid, rejected = quarantine(checked)
     return typed_events(valid.select("parsed.*")), rejected.select(column, "reason")
 
 

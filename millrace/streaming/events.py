@@ -15,6 +15,7 @@ from millrace.operators.gate import GateFeatures, GateRules
 from millrace.operators.results import result_json
 from millrace.plans.feature_store import run, unique_events
 from millrace.sources.events import append_event_batch, between_days, checked_messages, newest_anchor, read_log, running_stream, write_batch
+from millrace.streaming.state import SiteState
 
 
 def file_stream(
@@ -105,14 +106,19 @@ def live_features(
     telemetry: str = "eventtype1",
     change: str = "eventtype2",
     rejected_path: str | None = None,
+    state_path: str | None = None,
+    gate_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Batch handler for the live run.
 
-    Appends the batch to the log, takes each site's newest event as its anchor and computes features from
-    the days the longest slice can reach. Sites without any history are skipped. With ``rejected_path`` the batch is raw
-    messages (``value``): invalid ones go there with their reason and never reach the log.
+    Appends the batch to the log, takes each site's newest event as its anchor and computes features from what the longest slice
+    can reach: with ``state_path`` from the table of recent events kept there (``streaming.state``), else from the log's days.
+    Sites without any history are skipped. With ``rejected_path`` the batch is raw messages (``value``): invalid ones go there
+    with their reason and never reach the log. ``gate_path`` gets each batch's gate decisions.
     """
     reach = max(cfg.long_slice_steps, cfg.switch_steps) * cfg.step_seconds
+    # a change older than the settling time decides nothing
+    state = None if state_path is None else SiteState(state_path, max(reach, int(rules.settle_seconds) + 1), telemetry)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -121,13 +127,15 @@ def live_features(
             write_batch(rejected, rejected_path, batch_id)
         append_event_batch(batch, log_path, batch_id)
         touched = batch.where(F.col("eventtype") == telemetry)
-        bounds = touched.agg(F.min("ts"), F.max("ts")).first()
-        if bounds[1] is None:
-            return
-        first = F.lit(bounds[0]) - F.expr(f"INTERVAL {reach} SECONDS")
-        log = read_log(spark, log_path, batch.schema)
         # a late event recomputes its site's newest anchor, which may lie after this batch
-        recent = log.where(F.col("event_date") >= F.to_date(first))
+        if state is None:
+            bounds = touched.agg(F.min("ts"), F.max("ts")).first()
+            if bounds[1] is None:
+                return
+            first = F.lit(bounds[0]) - F.expr(f"INTERVAL {reach} SECONDS")
+            recent = read_log(spark, log_path, batch.schema).where(F.col("event_date") >= F.to_date(first))
+        else:
+            recent = state.merge(batch, batch_id)
         sites = touched.select("site_id").distinct()
         mine = recent.join(sites, "site_id", "left_semi")
         events = unique_events(mine.where(F.col("eventtype") == telemetry).select("site_id", "ts", "plant_up", "records", "sequenceID"))
@@ -135,6 +143,8 @@ def live_features(
         anchors = counted.where("n > 1").select("site_id", "anchor_ts")
         changes = mine.where(F.col("eventtype") == change).select("site_id", "ts")
         output = run(events, changes, anchors, cfg, ids, rules, materialise_gate=True, gate_name=f"gate-{running_stream(spark)}")
+        if gate_path is not None:
+            write_batch(output.gate, gate_path, batch_id)
         write_batch(result_json(output.results), out_path, batch_id)
 
     return process
