@@ -151,12 +151,12 @@ class Transducer:
         for block in blocks:
             held += block
             while len(held) >= self.window:
-                ids, end = self.merge_window(held[: self.window]), 0
+                ids, end, count = self.merge_window(held[: self.window]), 0, 0
                 stable = self.window - self.lookahead
-                for count, i in enumerate(ids):
-                    if end + self.length_of[i] > stable:
-                        break
-                    end += self.length_of[i]
+                # where nothing merges all of them are stable
+                while count < len(ids) and end + self.length_of[ids[count]] <= stable:
+                    end += self.length_of[ids[count]]
+                    count += 1
                 yield ids[:count]
                 held = held[end:]
         if held:
