@@ -99,11 +99,15 @@ def join_crc32(first: int, second: int, second_bytes: int, known: dict[int, tupl
     return out
 
 
+#: White space from this length on goes to the tokenizers library: tiktoken's pattern gives up somewhat above 500,000 characters.
+LONG_BLANK = 50_000
+
+
 class Ids:
     """Ids of whole texts as the tokenizers library gives them, without special tokens being added.
 
-    tiktoken runs the same merges several times as fast; texts with characters that Unicode versions classify differently go to
-    the tokenizers library.
+    tiktoken runs the same merges several times as fast; texts with characters that Unicode versions classify differently, with
+    very long white space, or on which tiktoken's pattern gives up, go to the tokenizers library.
     """
 
     def __init__(self, vocabulary: str):
@@ -120,13 +124,17 @@ class Ids:
         pattern = PIECES.format(L=r"\p{L}", N=r"\p{N}", S=r"\s")
         self.fast = tiktoken.Encoding("planes", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special) if in_order else None
         self.unsettled = re.compile(rf"[^\x00-\u{SETTLED:04x}]")
+        self.long_blank = re.compile(rf"(?<!\s)\s{{{LONG_BLANK}}}")
 
     def __call__(self, text: str):
         import numpy as np
 
-        if self.fast is None or self.unsettled.search(text):
-            return np.array(self.own.encode(text, add_special_tokens=False).ids, "<u4")
-        return np.array(self.fast.encode(text, allowed_special="all", disallowed_special=()), "<u4")
+        if self.fast is not None and not self.unsettled.search(text) and not self.long_blank.search(text):
+            try:
+                return np.array(self.fast.encode(text, allowed_special="all", disallowed_special=()), "<u4")
+            except ValueError:  # its pattern gave up on this text
+                pass
+        return np.array(self.own.encode(text, add_special_tokens=False).ids, "<u4")
 
 
 def write_ids(
