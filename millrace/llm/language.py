@@ -32,7 +32,11 @@ WORDS = r"[^\W\d_]+"
 
 def plain(text: str) -> bytes:
     """Signs, digits, case and layout say nothing about the language and cost bytes under any dictionary."""
-    return " ".join(re.findall(WORDS, text.lower())).encode()
+    words = re.findall(WORDS, text.lower())
+    if words and not "".join(words).isalpha():
+        # numerals such as fractions, circled digits and Roman numeral signs are no letters
+        words = "".join(c if c.isalpha() else " " for c in " ".join(words)).split()
+    return " ".join(words).encode()
 
 
 def learn_dictionaries(
