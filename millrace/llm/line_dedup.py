@@ -39,6 +39,21 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return gone.groupBy("doc_id", "tie").agg(F.sort_array(F.collect_list("line")).alias("lines"))
 
 
+def _lines_between(lines: Column, gone: Column) -> Column:
+    """``lines`` without those whose numbers ``gone`` lists in ascending order: the stretches between them, one after the other."""
+    edges = F.concat(F.array(F.lit(-1)), gone, F.array(F.size(lines)))
+
+    def stretches(held: Column) -> Column:
+        def stretch(i: Column) -> Column:
+            before, after = F.get(held["edges"], i), F.get(held["edges"], i + 1)
+            return F.slice(held["lines"], before + 2, after - before - 1)
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(held["edges"]) - 2), stretch))
+
+    # both arrays are made once and bound, not once for every stretch
+    return F.get(F.transform(F.array(F.struct(lines.alias("lines"), edges.alias("edges"))), stretches), F.lit(0))
+
+
 def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` as they were, with ``text`` after removal and the added columns ``_n_lines`` and ``_n_removed``.
 
@@ -52,8 +67,7 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     joined = rows.join(gone, same, "left").select("row", gone["lines"].alias("gone"))
     text = F.col("row").getField(text_col)
     split = _lines(text)
-    rest = F.concat_ws("\n", F.filter(split, lambda _, i: ~F.array_contains("gone", i)))
-    kept = F.when(F.col("gone").isNull(), text).otherwise(rest)
+    kept = F.when(F.col("gone").isNull(), text).otherwise(F.concat_ws("\n", _lines_between(split, F.col("gone"))))
     columns = [kept.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns]
     n_lines = F.when(text.isNull() | (text == ""), 0).otherwise(F.size(split)).cast("long")
     return joined.select(*columns, n_lines.alias("_n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("_n_removed"))
