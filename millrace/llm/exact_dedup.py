@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import lower_ascii, materialise, table
 
-#: Bytes that the second refinement hashes.
-PREFIX_BYTES = 256
+#: Characters that the second refinement hashes.
+PREFIX_CHARS = 256
 #: Surviving (length, beginning) groups are announced as numbers below this, so what is broadcast never exceeds it.
 SLOTS = 1 << 20
 
@@ -18,7 +18,7 @@ def _slot(length: Column, head: Column) -> Column:
 
 
 def exact_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_all: bool = False, prefix_bytes: int = PREFIX_BYTES
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_all: bool = False, prefix_chars: int = PREFIX_CHARS
 ) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
@@ -27,24 +27,23 @@ def exact_duplicates(
     length or beginning no other row shares are known to be single without hashing their text: they have a null digest
     unless ``digest_all`` asks for it. Other columns of ``docs`` are not read. An empty table gives an empty result.
 
-    The first pass keeps only length and a hash of the beginning. Its groups of two and more are turned into at most
-    ``SLOTS`` numbers and broadcast; the second pass hashes whole texts only where the number is among them. Two groups that
-    share a number cost a needless hash, never a wrong result. No text is ever shuffled.
+    The first pass counts (length, hash of the beginning) with partial sums, so a common length is a few rows; a length of one row
+    has one beginning, and only groups of two and more go on. They are turned into at most ``SLOTS`` numbers and broadcast; the
+    second pass hashes whole texts only where the number is among them. Two groups that share a number cost a needless hash, never
+    a wrong result, but with far more than ``SLOTS`` surviving groups most texts are hashed whole. No text is ever shuffled, and
+    only texts that are hashed whole are lower-cased whole: the length does not depend on case.
     """
-    normal = lower_ascii(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    head = F.xxhash64(F.substring(normal.cast("binary"), 1, prefix_bytes))
-    sized = docs.select(F.octet_length(normal).alias("length"), head.alias("head"))
-    lengths = sized.groupBy("length").agg(F.count("*").alias("n")).filter("n > 1").select("length")
-    heads = sized.join(lengths, "length", "left_semi").groupBy("length", "head").agg(F.count("*").alias("n")).filter("n > 1")
+    raw = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    length, head = F.octet_length(raw), F.xxhash64(lower_ascii(F.substring(raw, 1, prefix_chars)))
+    heads = docs.select(length.alias("length"), head.alias("head")).groupBy("length", "head").agg(F.count("*").alias("n")).filter("n > 1")
     slots = heads.select(_slot(F.col("length"), F.col("head")).alias("slot")).distinct()
 
     texts = docs.select(
-        docs[id_col].alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.octet_length(normal).alias("length"),
-        _slot(F.octet_length(normal), head).alias("slot"), normal.alias("normal"),
+        docs[id_col].alias("doc_id"), F.monotonically_increasing_id().alias("row"), length.alias("length"), _slot(length, head).alias("slot"), raw.alias("raw"),
     )
     marked = texts.join(F.broadcast(slots.withColumn("survives", F.lit(True))), "slot", "left")
     survives = F.coalesce(F.col("survives"), F.lit(False))
-    digest = F.sha2(F.col("normal").cast("binary"), 256)
+    digest = F.sha2(lower_ascii(F.col("raw")).cast("binary"), 256)
     hashed = materialise(
         marked.select(
             "doc_id", "row", "length", survives.alias("survives"),
