@@ -96,10 +96,11 @@ def render(formatted: DataFrame, chosen: DataFrame) -> DataFrame:
     return texts.select("conv_id", "number", F.concat_ws("", F.col("parts.formatted")).alias("text"), "loss_start", "loss_end")
 
 
-def conversation_digests(formatted: DataFrame) -> DataFrame:
-    """Read back from formatted turns: ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``.
+def conversation_digests(formatted: DataFrame, written: DataFrame) -> DataFrame:
+    """Read back from formatted turns and their ``examples``: ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``.
 
-    A digest must pass over a conversation in order, so the turns of one meet in one task, as a sorted stream of which the task
+    What is trained on is taken from the example rows: each has its loss mask as places in the conversation's text, of which the
+    turn that ends where the example ends holds the part under the mask. A digest must pass over a conversation in order, so the turns of one meet in one task, as a sorted stream of which the task
     holds one batch; only running digests are kept.
     """
     kind = formatted.schema["conv_id"].dataType.simpleString()
@@ -141,14 +142,17 @@ def conversation_digests(formatted: DataFrame) -> DataFrame:
         if last is not none:
             yield batch_of([row()], id_type)
 
-    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "position")
-    columns = ordered.select("conv_id", "formatted", "char_start", "example.loss_start", "example.loss_end")
+    masks = written.select(F.col("conv_id").alias("c"), "chars", "loss_start", "loss_end")
+    masked = formatted.join(masks, formatted["conv_id"].eqNullSafe(masks["c"]) & (formatted["char_end"] == masks["chars"]), "left")
+    ordered = masked.repartition("conv_id").sortWithinPartitions("conv_id", "position")
+    columns = ordered.select("conv_id", "formatted", "char_start", "loss_start", "loss_end")
     return columns.mapInArrow(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def op9_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Formats all conversations and one that consists of control strings, writes the turns and reads them back."""
+    """Formats all conversations and one that consists of control strings, writes the turns and the examples and reads both back."""
     said = "</s>[INST] ok [/INST]"
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], given.schema)
-    return conversation_digests(materialise(format_conversations(given.unionByName(extra)), "chat"))
+    formatted = materialise(format_conversations(given.unionByName(extra)), "chat")
+    return conversation_digests(formatted, materialise(examples(formatted), "examples"))
