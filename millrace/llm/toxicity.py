@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from millrace.llm.common import table
 from millrace.llm.language import held_out
 
-#: Bounds of the labelled sample: toxic and clean documents, and the longest document in it.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_DOC_BYTES = 1500, 4500, 1 << 14
+#: Bounds of the labelled sample: toxic and clean documents, and bytes of all texts of either kind.
+SAMPLE_TOXIC, SAMPLE_CLEAN = 2000, 6000
+TOXIC_BYTES, CLEAN_BYTES = 8 << 20, 24 << 20
 #: Rounds of fitting.
 FIT_ROUNDS = 40
 #: Momentum, and the pull of all weights to zero.
@@ -296,20 +297,30 @@ def fit_score(model: Field, split: list[tuple[list[str], bool]], rounds: int = 2
 
 def learn_field(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    sample_toxic: int = SAMPLE_TOXIC, sample_clean: int = SAMPLE_CLEAN, sample_doc_bytes: int = SAMPLE_DOC_BYTES,
+    sample_toxic: int = SAMPLE_TOXIC, sample_clean: int = SAMPLE_CLEAN, toxic_bytes: int = TOXIC_BYTES, clean_bytes: int = CLEAN_BYTES,
 ) -> Field:
     """Fit to a bounded sample: of each label the rows with the smallest hash of their id, without those held out.
 
-    A document labelled more than once is toxic if any label says so; null labels and ids teach nothing, and neither do texts
-    above ``sample_doc_bytes``. The sample of labels is bounded, so it is broadcast to the scan of the documents.
+    A document labelled more than once is toxic if any label says so; null labels and ids teach nothing. The sample is bounded in
+    documents and in bytes: sampled documents are taken in the order of their hash, whole, leaving out those that no longer fit. So
+    a document may be as long as the bound. The sample is bounded, so it is broadcast to the two scans of the documents, the first
+    of lengths only.
     """
     named = labels.select(labels[id_col].alias("doc_id"), labels[label_col].cast("int").alias("toxic")).dropna()
     known = named.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     pick = lambda wanted, n: known.filter(F.col("toxic") == wanted).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     sample = pick(1, sample_toxic).unionByName(pick(0, sample_clean))
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    rows = rows.filter(F.octet_length("text") <= sample_doc_bytes)
-    found = rows.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
+    sizes = rows.select("doc_id", F.octet_length("text").cast("long").alias("bytes")).dropna().join(F.broadcast(sample), "doc_id")
+    sized = sizes.groupBy("doc_id", "toxic").agg(F.sum("bytes").alias("bytes")).withColumn("order", F.xxhash64("doc_id"))
+    left, fitting = {1: toxic_bytes, 0: clean_bytes}, []
+    for row in sorted(sized.collect(), key=lambda r: (r["order"], r["doc_id"])):
+        if row["bytes"] <= left[row["toxic"]]:
+            left[row["toxic"]] -= row["bytes"]
+            fitting.append((row["doc_id"], row["toxic"]))
+    # at most sample_toxic + sample_clean rows
+    chosen = docs.sparkSession.createDataFrame(fitting, sample.schema)
+    found = rows.dropna().join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
     texts = sorted((r["doc_id"], r["text"], r["toxic"] == 1) for r in found.toLocalIterator())
     return fit_field([(text, toxic) for _, text, toxic in texts])
 
