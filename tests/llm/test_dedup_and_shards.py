@@ -107,6 +107,19 @@ def test_lines_of_given_documents(spark):
     assert {i: r.text for i, r in by_id(remove_repeated_lines(documents(spark))).items()} == remove_lines(rows)
 
 
+def test_documents_of_many_lines_take_seconds(spark):
+    """Removal grows with the lines of a document, not with their square."""
+    import time
+
+    lines = [f"line {i}" for i in range(400_000)]
+    texts = {1: "\n".join(lines), 2: "\n".join(["own"] + lines[::-1][:3] + lines + ["end"]), 3: "\n".join(x for i in range(0, 100_000, 5) for x in (*lines[i : i + 4], f"new {i}"))}
+    start = time.perf_counter()
+    got = by_id(remove_repeated_lines(frame(spark, list(texts.items()))))
+    assert time.perf_counter() - start < 60
+    assert {i: sha(r.text) for i, r in got.items()} == {i: sha(t) for i, t in remove_lines(list(texts.items())).items()}
+    assert got[2].text.split("\n")[0] == "own" and got[2]._n_removed == 400_000
+
+
 def test_lines_of_repeated_and_null_ids(spark):
     rows = [(None, "a\nb\nc"), (1, "a\nb\nc\nd"), (1, "a\nb\nc\nd"), (1, "e\nf\ng")]
     got = sorted((r.doc_id or 0, r.text) for r in remove_repeated_lines(frame(spark, rows)).collect())

@@ -50,6 +50,37 @@ def test_language_of_awkward_texts(spark):
     assert {r.lang_pred for r in nothing.collect()} == {"und"}
 
 
+def test_numerals_and_marks_alone_have_no_language(spark):
+    """The texts of which ``und`` is the language are those without a letter, for learning and predicting alike."""
+    dictionaries = {"aa": b"bada bibo", "bb": b"kri stra"}
+    texts = ["\u00bd \u00b2 \u2167 \u2460", "\u0661\u0662", "\u0301\u0308", "\u2028_7", "\u00bda\u00bd", "\u2167 kri", "\u4e00"]
+    got = by_id(language.predict_language(frame(spark, list(enumerate(texts))), dictionaries))
+    letters = frame(spark, list(enumerate(texts))).filter(F.col("text").rlike(r"\p{L}"))
+    assert {i for i, r in got.items() if r.lang_pred != "und"} == {r.doc_id for r in letters.collect()} == {4, 5, 6}
+    assert language.plain(texts[4]) == b"a" and language.plain(texts[5]) == b"kri"
+
+
+def test_predictions_equal_sizes_from_plain_zstandard(spark):
+    """Brute force: compress every text's words anew with each dictionary and take the smallest."""
+    import zstandard
+
+    docs = documents(spark)
+    dictionaries = language.learn_dictionaries(docs)
+    names = sorted(dictionaries)
+    made = {name: zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT) for name in names}
+    for content in made.values():
+        content.precompute_compress(level=language.LEVEL)
+    got = {r.doc_id: r.lang_pred for r in language.predict_language(docs, dictionaries).collect()}
+    for row in docs.collect():
+        words = "".join(c if c.isalpha() else " " for c in (row.text or "").lower()).split()
+        if not words:
+            assert got[row.doc_id] == "und"
+            continue
+        raw = " ".join(words).encode()
+        sizes = {n: len(zstandard.ZstdCompressor(level=language.LEVEL, dict_data=made[n], write_content_size=False, write_dict_id=False).compress(raw)) for n in names}
+        assert sizes[got[row.doc_id]] == min(sizes.values()), row.doc_id
+
+
 def test_sample_of_languages_is_bounded(spark):
     rows = [(i, said("aa", 50), "aa") for i in range(300)]
     few = language.learn_dictionaries(frame(spark, rows, "doc_id long, text string, lang string"), sample_docs=3)
@@ -187,7 +218,7 @@ def wanted_digests(rows):
 def test_chat_round_trip(spark):
     df = frame(spark, [(*r, 1, 2) for r in TALKS], "conv_id long, turn long, role string, text string, part long, position long")
     formatted = chat.format_conversations(df).cache()
-    got = by_id(chat.conversation_digests(formatted), "conv_id")
+    got = by_id(chat.conversation_digests(formatted, chat.examples(formatted)), "conv_id")
     assert {i: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for i, r in got.items()} == wanted_digests(TALKS)
     rows = formatted.collect()
     for conv in got:

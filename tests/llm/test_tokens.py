@@ -70,6 +70,27 @@ def test_lookahead_is_sufficient_and_output_is_bounded(coder):
     assert [i for part in parts for i in part] == whole and max(map(len, parts)) <= coder.window
 
 
+@pytest.mark.parametrize("blank", [" ", "\t", "\n"])
+def test_a_million_blanks_reach_the_files(spark, vocabulary, library, blank):
+    text = blank * 1_000_000 + "b"
+    path = scratch_path(spark, "blanks")
+    planes.write_ids(frame(spark, [(1, text), (2, "a b")]), vocabulary, path)
+    got = by_id(planes.document_digests(spark, path))
+    ids = np.array(library.encode(text, add_special_tokens=False).ids + [0], "<u4")
+    assert (got[1].n_tokens, got[1].ids_crc32) == (len(ids), zlib.crc32(ids.tobytes())) and got[2].n_tokens == 3
+
+
+def test_a_vocabulary_without_merges_keeps_every_byte(vocabulary):
+    import json
+
+    bare = json.loads(vocabulary)
+    bare["model"]["merges"] = []
+    bare = json.dumps(bare)
+    text = "abcdefghij" * 1000
+    ids = [i for part in bpe.Transducer(bare).encode(text) for i in part]
+    assert ids == Tokenizer.from_str(bare).encode(text, add_special_tokens=False).ids and len(ids) == len(text)
+
+
 def test_lookahead_of_small_merge_lists():
     assert bpe.sufficient_lookahead([]) == 0
     assert bpe.sufficient_lookahead([(b"a", b"b")]) == 1
