@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import materialise, table
@@ -13,8 +13,10 @@ WORDS_PER_SHINGLE = 5
 PERCENT = 75
 #: At similarity 0.75 a pair shares no bucket with probability (1 - 0.75 ** ROWS) ** BANDS = 5e-6.
 BANDS, ROWS = 32, 4
-#: Centres of a bucket in the second round, and how many times as many there are in each further one.
+#: Centres of a bucket in the second round, on average, and how many times as many there are in each further one.
 GROWTH = 16
+#: Steps of the hash by which centres are drawn.
+DRAWS = 1 << 20
 REMEMBERED = 300_000
 SEED = 20240229
 #: Bits of the odd sketch, which rules out pairs without looking at their sets.
@@ -209,13 +211,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     components, compared = connected_components(links), pairs
 
     waiting, n_centres = members.filter("node <> centre.node").select("bucket", "node", "n"), GROWTH
-    order = Window.partitionBy("bucket", "minor").orderBy("node")
     while True:
-        open_ = _open_members(waiting, components).withColumn("minor", F.col("component") != F.col("largest"))
-        waiting = materialise(open_.withColumn("place", F.row_number().over(order)), "waiting")
+        # about as many centres for each bucket, by a hash: nothing orders a bucket; all where no more are left
+        drawn = F.pmod(F.xxhash64("bucket", "node", F.lit(n_centres)), F.lit(DRAWS)) * F.col("n_minor") < F.lit(n_centres * DRAWS)
+        open_ = _open_members(waiting, components).withColumn("centre", (F.col("component") != F.col("largest")) & drawn)
+        waiting = materialise(open_, "waiting")
         if waiting.isEmpty():
             break
-        centre = F.col("minor") & (F.col("place") <= n_centres)
+        centre = F.col("centre")
         odd = sets.select("node", "n", "odd")
         one, two = (side.join(odd, ["node", "n"]).alias(name) for side, name in ((waiting, "m"), (waiting.filter(centre), "c")))
         met = one.join(two, F.expr(f"m.bucket = c.bucket AND m.component <> c.component AND {_fits('m.n', 'c.n')} AND {_differ_little('m', 'c')}"))
@@ -225,8 +228,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             compared = compared.unionByName(pairs)
             new = materialise(confirmed(pairs, sets), "links")
             if not new.isEmpty():
-                links = links.unionByName(new)
-                components = connected_components(links)
+                # the components so far stand for their links
+                components = connected_components(components.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new))
         waiting = waiting.filter(~centre).select("bucket", "node", "n")
         n_centres *= GROWTH
 
@@ -246,12 +249,14 @@ def _same_ids(known: DataFrame, classes: DataFrame, keys: list[str]) -> DataFram
 
 
 def _open_members(members: DataFrame, components: DataFrame) -> DataFrame:
-    """Members of buckets in which more than one component waits, with their own and their bucket's ``largest`` component."""
+    """Members of buckets in which more than one component waits, with their own and their bucket's ``largest`` component, and how
+    many of the bucket are outside it."""
     own = components.select("node", "component")
     placed = members.join(own, "node", "left").withColumn("component", F.coalesce("component", "node"))
     counts = placed.groupBy("bucket", "component").agg(F.count("*").alias("waiting"))
-    open_ = counts.groupBy("bucket").agg(F.count("*").alias("several"), F.max_by("component", F.struct("waiting", "component")).alias("largest"))
-    return placed.join(open_.filter("several > 1").select("bucket", "largest"), "bucket")
+    open_ = counts.groupBy("bucket").agg(
+        F.count("*").alias("several"), F.max_by("component", F.struct("waiting", "component")).alias("largest"), (F.sum("waiting") - F.max("waiting")).alias("n_minor"))
+    return placed.join(open_.filter("several > 1").select("bucket", "largest", "n_minor"), "bucket")
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
