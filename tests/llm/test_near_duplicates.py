@@ -182,3 +182,11 @@ def test_more_distinct_words_than_a_key_of_three_can_number(monkeypatch):
     for k, i in enumerate(texts):
         own = hits.get(k, {"runs": [], "items": []})
         assert (sum(b - a for a, b in own["runs"]), sorted(own["items"], key=str)) == wanted[i][1:]
+
+
+def test_all_documents_of_a_larger_table_against_all_pairs(spark):
+    larger = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in documents(spark, larger).collect()}
+    components, sizes = brute_force(texts)
+    got = by_id(op8_minhash(spark, larger))
+    assert {i: (r.component_id, r.n_shingles) for i, r in got.items()} == {i: (components[i], sizes[i]) for i in texts}
