@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 NULL_SHARE = 0.2
-UNIT = 1 << 20
+#: Modulus and multiplier of the draws: products stay below 2^63, so every engine with 64-bit integers draws the same numbers.
+MODULUS, FACTOR, SHIFT = 2**31 - 1, 48271, 13
 
 
 @dataclass(frozen=True)
@@ -39,67 +42,95 @@ def sequence_id(index: Column, base: int = 10**15) -> Column:
     return F.when(number < F.lit(10**16), F.lpad(number.cast("string"), 16, "0")).otherwise(too_long)
 
 
-def unit_value(*parts: Column, seed: int) -> Column:
-    """A repeatable number in [0, 1) from the row's own keys, the same however the data is partitioned."""
-    return F.pmod(F.xxhash64(*parts, F.lit(seed)), F.lit(UNIT)) / F.lit(float(UNIT))
+def number_of(name: str) -> int:
+    """The number that stands for a name in a draw."""
+    return zlib.crc32(name.encode()) % MODULUS
 
 
-def random_text(*parts: Column, seed: int, length: int = 10) -> Column:
+def drawn(state: Column, part: Column | int) -> Column:
+    """The next draw, 0 to ``MODULUS`` - 1, from the draw before it and one more number: a multiplicative step, its bits mixed."""
+    number = F.lit(part % MODULUS).cast("bigint") if isinstance(part, int) else F.pmod(part.cast("bigint"), F.lit(MODULUS))
+    stepped = F.pmod((state + number + 1) * F.lit(FACTOR), F.lit(MODULUS))
+    return _let(stepped, lambda x: F.pmod(x.bitwiseXOR(F.shiftright(x, SHIFT)), F.lit(MODULUS)))
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def row_draw(df: DataFrame, keys: Sequence[str], seed: int) -> Column:
+    """The draw all values of a row start from: its integer keys, instants in whole seconds; texts count by their hash."""
+    state = F.lit(seed % MODULUS).cast("bigint")
+    for k in keys:
+        kind = df.schema[k].dataType
+        number = F.unix_seconds(k) if isinstance(kind, T.TimestampType) else F.col(k) if isinstance(kind, T.IntegralType) else F.xxhash64(k)
+        state = drawn(state, number)
+    return state
+
+
+def scaled(draw: Column, size: int) -> Column:
+    """A draw as a whole number from 0 to ``size`` - 1."""
+    if size > 2**32:
+        raise ValueError("a range has at most 2^32 values")
+    return F.call_function("div", draw * F.lit(size).cast("bigint"), F.lit(MODULUS))
+
+
+def random_text(draw: Column, length: int = 10) -> Column:
     """Letters, one per position."""
     letters = F.lit(LETTERS)
     return F.array_join(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(length)),
-            lambda i: F.substring(letters, (F.pmod(F.xxhash64(*parts, i, F.lit(seed)), F.lit(52)) + 1).cast("int"), F.lit(1)),
-        ),
-        "",
+        F.transform(F.sequence(F.lit(1), F.lit(length)), lambda i: F.substring(letters, (scaled(drawn(draw, i), len(LETTERS)) + 1).cast("int"), F.lit(1))), ""
     )
 
 
 @dataclass(frozen=True)
 class Span:
-    """Numbers from ``low`` to ``high``: rounded to ``digits``, or whole ones with both ends where that is None."""
+    """Numbers from ``low`` to ``high``: of ``digits`` digits, or whole ones with both ends where that is None."""
 
     low: float
     high: float
     digits: int | None = None
 
-    def at(self, u: Column) -> Column:
+    def at(self, draw: Column) -> Column:
         if self.digits is None:
-            return F.floor(F.lit(self.low) + u * (self.high - self.low + 1)).cast("int")
-        return F.round(F.lit(self.low) + u * (self.high - self.low), self.digits)
+            return (F.lit(int(self.low)) + scaled(draw, int(self.high - self.low) + 1)).cast("int")
+        unit = 10**self.digits
+        return (F.lit(round(self.low * unit)) + scaled(draw, round((self.high - self.low) * unit))) / F.lit(float(unit))
 
 
 # Fixed names and limits of number types; those of "float" and "int" are configured.
 SPANS = {"decimal": Span(-400.0, 1000.0, 6), "discrete": Span(0.0, 100.0, 6), "number": Span(0, 1), "bool": Span(0, 1)}
 
 
-def typed_value(kind: str, u: Column, spec: EventSpec, ts: Column, text: Column) -> Column:
-    """A value of the configured type from a unit number; an unknown type gives empty text."""
+def typed_value(kind: str, draw: Column, spec: EventSpec, ts: Column) -> Column:
+    """A value of the configured type from a draw; an unknown type gives empty text."""
     wanted = kind.lower()
     spans = SPANS | {"float": Span(*spec.float_range, 6), "int": Span(*spec.int_range)}
     if wanted in spans:
-        return spans[wanted].at(u)
+        return spans[wanted].at(draw)
     if wanted == "timestamp":
         return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     if wanted == "string":
-        return text
+        return random_text(draw)
     return F.lit(False) if wanted == "fbool" else F.lit("")
 
 
-def _choice(values: Sequence[float], u: Column) -> Column:
+def _choice(values: Sequence[float], draw: Column) -> Column:
     options = F.array(*[F.lit(v) for v in values])
-    return F.get(options, F.floor(u * len(values)).cast("int"))
+    return F.get(options, scaled(draw, len(values)).cast("int"))
+
+
+def _nullable(value: Column, draw: Column) -> Column:
+    return F.when(drawn(draw, number_of("null")) >= int(NULL_SHARE * MODULUS), value)
 
 
-def _pick(name: str, kind: str, keys: list[Column], ts: Column, spec: EventSpec) -> Column:
-    u = unit_value(*keys, F.lit(name), seed=spec.seed)
+def _pick(name: str, kind: str, row: Column, ts: Column, spec: EventSpec) -> Column:
+    draw = drawn(row, number_of(name))
     if name in spec.allowed:
-        return _choice(spec.allowed[name], u)
-    value = typed_value(kind, u, spec, ts, random_text(*keys, F.lit(name), seed=spec.seed))
-    if name in spec.nullable:
-        return F.when(unit_value(*keys, F.lit(name), F.lit("null"), seed=spec.seed) >= NULL_SHARE, value)
-    return value
+        return _choice(spec.allowed[name], draw)
+    value = typed_value(kind, draw, spec, ts)
+    return _nullable(value, draw) if name in spec.nullable else value
 
 
 def synthetic_events(instants: DataFrame, spec: EventSpec, keys: Sequence[str] = ("site_id", "ts")) -> DataFrame:
@@ -107,29 +138,28 @@ def synthetic_events(instants: DataFrame, spec: EventSpec, keys: Sequence[str] =
 
     All values follow from the keys, so rows are made where they lie, without a shuffle.
     """
-    row_keys = [F.col(k) for k in keys]
-    ts = F.col(keys[-1])
-    scalars = {n: _pick(n, kind, row_keys, ts, spec) for n, kind in spec.fields.items()}
+    instants = instants.withColumn("_draw", row_draw(instants, keys, spec.seed))
+    row, ts = F.col("_draw"), F.col(keys[-1])
+    scalars = {n: _pick(n, kind, row, ts, spec) for n, kind in spec.fields.items()}
     free = [i for i in spec.ids if i not in spec.allowed]
     numeric = spec.value_type.lower() not in ("string", "timestamp", "fbool")
 
     def record(ident: Column) -> Column:
-        u = unit_value(*row_keys, ident, seed=spec.seed)
-        text = random_text(*row_keys, ident, seed=spec.seed)
-        value = typed_value(spec.value_type, u, spec, ts, text)
+        draw = drawn(row, ident["number"])
+        value = typed_value(spec.value_type, draw, spec, ts)
         value = value.cast("double") if numeric else value.cast("string")
         if "value" in spec.nullable:
-            value = F.when(unit_value(*row_keys, ident, F.lit("null"), seed=spec.seed) >= NULL_SHARE, value)
-        return F.struct(ident.cast("string").alias("id"), value.alias("value"))
+            value = _nullable(value, draw)
+        return F.struct(ident["id"].alias("id"), value.alias("value"))
 
     def chosen(ident: str) -> Column:
-        value = _choice(spec.allowed[ident], unit_value(*row_keys, F.lit(ident), seed=spec.seed))
+        value = _choice(spec.allowed[ident], drawn(row, number_of(ident)))
         value = value.cast("double") if numeric else value.cast("string")
         return F.struct(F.lit(ident).alias("id"), value.alias("value"))
 
     parts = [F.array(*[chosen(i) for i in spec.ids if i in spec.allowed])] if set(spec.ids) & set(spec.allowed) else []
     if free:
-        parts.append(F.transform(F.array(*[F.lit(i) for i in free]), record))
+        parts.append(F.transform(F.array(*[F.struct(F.lit(i).alias("id"), F.lit(number_of(i)).alias("number")) for i in free]), record))
     records = F.concat(*parts) if len(parts) > 1 else parts[0]
     return instants.select(*keys, *[c.alias(n) for n, c in scalars.items()], records.alias("records"))
 
