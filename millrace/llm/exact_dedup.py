@@ -53,11 +53,12 @@ def exact_duplicates(
     )
 
     order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "row")
-    groups = (
+    groups = materialise(
         hashed.filter("survives").groupBy("length", "text_sha256")
-        .agg(F.max(order).alias("stays"), F.count("*").alias("group_size")).filter("group_size > 1")
+        .agg(F.max(order).alias("stays"), F.count("*").alias("group_size")).filter("group_size > 1"),
+        "groups",
     )
-    # the rows of a large group meet its one summary row; adaptive execution splits them over tasks
+    # the rows of a large group meet its one summary row; written apart, the join is all its stage does and adaptive execution splits it
     joined = hashed.join(groups, ["length", "text_sha256"], "left")
     single = F.col("group_size").isNull()
     return joined.select(
