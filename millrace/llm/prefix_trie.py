@@ -75,7 +75,8 @@ def node_paths(turns: DataFrame, members: DataFrame) -> DataFrame:
     lanes = [F.conv(F.substring("hash", 1 + 10 * i, 10), 16, 10).cast("long").alias(k) for i, k in enumerate(LANES)]
     rows = hashed.select("conv", F.col("position").alias("depth"), "chars", *lanes)
     prefixes = materialise(running_sums(rows, "conv", [F.col("depth")], LANES, "lanes"), "prefixes")
-    nodes = prefixes.groupBy("depth", *LANES).agg(F.min("conv").alias("owner"), F.count("*").alias("n_convs"))
+    # written apart, the join below is all its stage does, and adaptive execution splits the rows of a common beginning
+    nodes = materialise(prefixes.groupBy("depth", *LANES).agg(F.min("conv").alias("owner"), F.count("*").alias("n_convs")), "owners")
     deeper = prefixes.join(nodes, ["depth", *LANES]).select("conv", "depth", "owner", "n_convs", "chars")
     facts = members.agg(F.min("conv").alias("owner"), F.count("*").alias("n_convs")).first()
     zero = F.lit(0).cast("long")
