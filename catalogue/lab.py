@@ -6,6 +6,7 @@ from catalogue import tables as t
 from catalogue.registry import query
 from millrace.operators import dedup
 from millrace.plans import lab
+from millrace.sources import events as src
 
 CUT = "1999-01-01"
 OVERLAP = "1998-07-01"
@@ -61,6 +62,12 @@ chain AS (SELECT * FROM sample JOIN test ON "SAMPLE_ID" = "TEST_SAMPLE_ID" JOIN
 """
 
 
+@query("scanned_table", "SELECT s_suppkey, s_name, s_nationkey FROM supplier")
+def scanned_table(spark, sf):
+    """A laboratory table by name from a folder of tables, only the columns asked for."""
+    return src.read_table(spark, "supplier.parquet", sf).select("s_suppkey", "s_name", "s_nationkey")
+
+
 @query("conformed_names", """
 SELECT p_partkey AS "ANALYSIS_aid", p_name AS "ANALYSIS_name", p_size AS "ANALYSIS_size" FROM part GROUP BY ALL""")
 def conformed_names(spark, sf):

@@ -185,6 +185,22 @@ def stream_features(spark, sf):
     return t.plain(both, "anchor_ts")
 
 
+REACH = 36 * 3600
+
+
+@query("stream_asof", t.with_base(f"""
+SELECT a.site_id, a.anchor_ts, max(c.ts) AS change_ts FROM anchors a
+LEFT JOIN (SELECT site_id, ts FROM raw WHERE tag_id = 'purchase' AND value > 200) c
+  ON a.site_id = c.site_id AND c.ts <= a.anchor_ts AND c.ts >= a.anchor_ts - INTERVAL {REACH} SECOND GROUP BY 1, 2"""))
+def stream_asof(spark, sf):
+    """Anchors and change events as two streams of four files each, in no order of time, joined in state."""
+    hour = F.date_trunc("hour", "ts")
+    reported = _in_batches(spark, sf).where(hour == F.date_trunc("day", "ts")).select("site_id", hour.alias("anchor_ts"))
+    changed = _in_batches(spark, sf).where((F.col("event_type") == "purchase") & (F.col("value") > t.CHANGE_VALUE)).select("site_id", "ts")
+    pairs = st.changes_before(reported, changed, DISORDER, REACH)
+    return t.plain(st.newest_change(_written(spark, pairs, "asof"), t.anchors(spark, sf)), "anchor_ts", "change_ts")
+
+
 #: Rows whose event lies this far before what has come already are late; the rest of a file's disorder is not.
 LATE = "2 days"
 

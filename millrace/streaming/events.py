@@ -34,6 +34,26 @@ def unique_stream(events: DataFrame, keys: list[str], delay: str, ts: str = "ts"
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
+def changes_before(anchors: DataFrame, changes: DataFrame, delay: str, reach_seconds: int) -> DataFrame:
+    """``site_id, anchor_ts, change_ts``: every change at most ``reach_seconds`` before an anchor of its site, from two streams.
+
+    ``anchors(site_id, anchor_ts)`` and ``changes(site_id, ts)`` may come in any order within ``delay``; rows that no partner can reach
+    any more leave the state. Together with ``newest_change`` this is the as-of look-up of the gate without reading a log: a change
+    older than the gate's settling time decides nothing, so that time is reach enough.
+    """
+    left = anchors.withWatermark("anchor_ts", delay)
+    right = changes.select(F.col("site_id").alias("_site"), F.col("ts").alias("change_ts")).withWatermark("change_ts", delay)
+    reach = F.expr(f"INTERVAL {reach_seconds} SECONDS")
+    near = (F.col("change_ts") <= F.col("anchor_ts")) & (F.col("change_ts") >= F.col("anchor_ts") - reach)
+    return left.join(right, (F.col("site_id") == F.col("_site")) & near).select("site_id", "anchor_ts", "change_ts")
+
+
+def newest_change(pairs: DataFrame, anchors: DataFrame) -> DataFrame:
+    """``site_id, anchor_ts, change_ts`` of every anchor: the newest of its changes in ``pairs``, null without one."""
+    newest = pairs.groupBy("site_id", "anchor_ts").agg(F.max("change_ts").alias("change_ts"))
+    return anchors.join(newest, ["site_id", "anchor_ts"], "left")
+
+
 def tumbling_rollup(events: DataFrame, delay: str, length: str, keys: list[str]) -> DataFrame:
     """Count, mean and maximum per key and fixed window.
 
@@ -151,6 +171,7 @@ def live_features(
 
 
 __all__ = [
-    "between_days", "checked_log_writer", "drain", "file_stream", "live_features", "log_writer", "newest_anchor", "newest_versions",
+    "between_days", "changes_before", "checked_log_writer", "drain", "file_stream", "live_features", "log_writer", "newest_anchor", "newest_change",
+    "newest_versions",
     "sliding_rollup", "tumbling_rollup", "unique_stream", "version_writer",
 ]
