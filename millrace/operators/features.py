@@ -283,45 +283,39 @@ def finished_features(partials: DataFrame, bases: DataFrame, cfg: StoreConfig, f
     rows = every.join(listed, [*ANCHOR, "feature_id", "elem"], "left")
     rows = rows.withColumn("found", F.coalesce("found", F.array().cast(f"array<{PARTIAL}>")))
     if TORQUE in used:
-        rows = rows.withColumn("line", F.when(F.size("parts") > 0, merged_part(F.col("parts"))))
-    found = F.col("found")
-    gap, total = F.col("gap"), F.col("total")
-
-    def added(kind: int, field: str) -> Column:
-        own = F.filter(found, lambda p: p["kind"] == kind)
-        zero = F.lit(0.0) if field == "s" else F.lit(0).cast("bigint")
-        return F.aggregate(own, zero, lambda acc, p: acc + F.coalesce(p[field], zero))
-
-    def top(lag: Column) -> Column:
-        return F.greatest(lag + 1, F.lit(1))
-
-    def counted(lag: Column, span: Column) -> Column:
-        return F.greatest(F.least(lag + span, total) - top(lag) + 1, F.lit(0))
-
-    def mean(kind: int, lag: Column, span: Column) -> Column:
-        gaps = counted(lag, span) - added(kind, "n")
-        filled = F.when(gap.isNotNull(), gaps).otherwise(0)
-        n = added(kind, "c") + filled
-        return F.when(n > 0, (added(kind, "s") + F.coalesce(gap, F.lit(0.0)) * filled) / n)
-
-    def last(kind: int, lag: Column, span: Column) -> Column:
-        held = F.filter(found, lambda p: (p["kind"] == kind) & p["v"].isNotNull())
-        newest = F.array_min(F.transform(held, lambda p: F.struct(p["rank"].alias("rank"), p["v"].alias("v"))))
-        is_gap = gap.isNotNull() & (counted(lag, span) > 0) & (newest["rank"].isNull() | (newest["rank"] > top(lag)))
-        return F.when(is_gap, gap).otherwise(newest["v"])
-
-    lag, ahead, span = F.col("lag"), F.col("lag_ahead"), F.coalesce("tail", "steps")
+        rows = rows.withColumn("line", F.when(F.size("parts") > 0, merged_part("parts")))
+
+    # SQL text reaches the session in one call; the same written with columns takes hundreds
+    def added(kind: int, field: str) -> str:
+        zero = "0D" if field == "s" else "0L"
+        return f"aggregate(filter(found, p -> p.kind = {kind}), {zero}, (total, p) -> total + coalesce(p.{field}, {zero}))"
+
+    def counted(lag: str, span: str) -> str:
+        return f"greatest(least({lag} + {span}, total) - greatest({lag} + 1, 1L) + 1, 0L)"
+
+    def mean(kind: int, lag: str, span: str) -> Column:
+        filled = f"if(gap IS NULL, 0L, {counted(lag, span)} - {added(kind, 'n')})"
+        n = f"({added(kind, 'c')} + {filled})"
+        return F.expr(f"if({n} > 0, ({added(kind, 's')} + coalesce(gap, 0D) * {filled}) / {n}, NULL)")
+
+    def last(kind: int, lag: str, span: str) -> Column:
+        held = f"filter(found, p -> p.kind = {kind} AND p.v IS NOT NULL)"
+        newest = f"array_min(transform({held}, p -> struct(p.rank AS rank, p.v AS v)))"
+        is_gap = f"gap IS NOT NULL AND {counted(lag, span)} > 0 AND ({newest}.rank IS NULL OR {newest}.rank > greatest({lag} + 1, 1L))"
+        return F.expr(f"if({is_gap}, gap, {newest}.v)")
+
+    span = "coalesce(tail, steps)"
     measures = {
-        "now_mean": mean(NOW, lag, span),
-        "ahead_mean": mean(AHEAD, ahead, span),
-        "null_share": (added(SHARE, "m") + (total - added(SHARE, "n")) * F.col("gap_missing")) / total,
+        "now_mean": mean(NOW, "lag", span),
+        "ahead_mean": mean(AHEAD, "lag_ahead", span),
+        "null_share": F.expr(f"({added(SHARE, 'm')} + (total - {added(SHARE, 'n')}) * gap_missing) / total"),
     }
     if LAST in used:
-        measures |= {"now_last": last(NOW, lag, span), "ahead_last": last(AHEAD, ahead, span)}
+        measures |= {"now_last": last(NOW, "lag", span), "ahead_last": last(AHEAD, "lag_ahead", span)}
     if RATIO in used:
-        measures["pair_mean"] = mean(PAIR, lag, F.col("steps"))
+        measures["pair_mean"] = mean(PAIR, "lag", "steps")
     if TORQUE in used:
-        measures["level"] = part_level(F.col("line"), TrendLimits(cfg.trend_high, cfg.trend_high_high))
+        measures["level"] = part_level("line", TrendLimits(cfg.trend_high, cfg.trend_high_high))
     rows = rows.select(*ANCHOR, "feature_id", "elem", *[c.alias(n) for n, c in measures.items()])
     rows = rows.join(F.broadcast(aggregation_table(spark, features)), "feature_id")
     now, then = F.col("current_agg"), F.col("ahead_agg")

@@ -77,55 +77,58 @@ def part_struct(columns: dict[str, Column]) -> Column:
     return F.struct(*[columns[c].alias(c) for c in PART])
 
 
-def merged_part(parts: Column) -> Column:
-    """The part of a whole series from an array of its few parts, which must not overlap; neighbours are joined by lines."""
-    ordered = F.array_sort(parts)
+def merged_part(parts: str) -> Column:
+    """The part of a whole series from the column of an array of its few parts, which must not overlap; lines join neighbours.
 
-    def join(a: Column, p: Column) -> Column:
-        shift, n = p["ref"] - a["ref"], p["lx"] - p["fx"] + 1
-        fy = p["fy"] + shift
-        moved = (
-            p["s0"] + n * shift, p["s1"] + shift * n * (p["fx"] + p["lx"]) / 2, p["s2"] + 2 * shift * p["s0"] + n * shift * shift
-        )
-        # the line's last value is the part's own first point
-        lines = [line - own for line, own in zip(segment_sums(a["lx"], a["ly"], p["fx"], fy), own_sums(p["fx"], fy))]
-        sums = {f"s{i}": a[f"s{i}"] + lines[i] + moved[i] for i in range(3)}
-        return part_struct({
-            "fx": a["fx"], "fy": a["fy"], "lx": p["lx"], "ly": p["ly"] + shift, "ref": a["ref"], "points": a["points"] + p["points"]} | sums)
-
-    return F.aggregate(F.slice(ordered, 2, F.greatest(F.size(parts), F.lit(1))), F.get(ordered, F.lit(0)), join)
+    Written as SQL text, which reaches the session in one call.
+    """
+    shift, n = "(p.ref - a.ref)", "(p.lx - p.fx + 1)"
+    fy = f"(p.fy + {shift})"
+    s, d = "(p.fx - a.lx)", f"({fy} - a.ly)"
+    # sums over the line from the last point to the next, as in ``segment_sums``, without that point: it is the part's own
+    lines = (
+        f"({s} * a.ly + {d} * ({s} + 1) / 2) - {fy}",
+        f"({s} * a.lx * a.ly + a.lx * {d} * ({s} + 1) / 2 + a.ly * {s} * ({s} + 1) / 2 + {d} * ({s} + 1) * (2 * {s} + 1) / 6) - p.fx * {fy}",
+        f"({s} * a.ly * a.ly + a.ly * {d} * ({s} + 1) + {d} * {d} * ({s} + 1) * (2 * {s} + 1) / (6 * {s})) - {fy} * {fy}",
+    )
+    moved = (
+        f"p.s0 + {n} * {shift}", f"p.s1 + {shift} * {n} * (p.fx + p.lx) / 2", f"p.s2 + 2 * {shift} * p.s0 + {n} * {shift} * {shift}"
+    )
+    sums = ", ".join(f"'s{i}', a.s{i} + {lines[i]} + {moved[i]}" for i in range(3))
+    joined = f"named_struct('fx', a.fx, 'fy', a.fy, 'lx', p.lx, 'ly', p.ly + {shift}, 'ref', a.ref, 'points', a.points + p.points, {sums})"
+    ordered = f"array_sort({parts})"
+    return F.expr(f"aggregate(slice({ordered}, 2, greatest(size({parts}), 1)), get({ordered}, 0), (a, p) -> {joined})")
 
 
-def part_level(part: Column, limits: TrendLimits) -> Column:
-    """Level of a series given its part over x = 0..119; null without one.
+def part_level(part: str, limits: TrendLimits) -> Column:
+    """Level of a series given the column of its part over x = 0..119; null without one.
 
     More than a fifth missing gives null. Below ``high`` the level is 0. Between the limits it is 1 when
     the whole prediction interval lies above the mean, else 0. From ``high_high`` on it is 2, or 1 when
     the interval lies below the mean. A series with a leading gap has no trend.
     """
-    enough = part["points"] >= TREND_POINTS * (1 - MAX_MISSING_SHARE)
-    last, y = part["lx"], part["ly"]
-    rest = (TREND_POINTS - 1) - last
+    last, y = f"{part}.lx", f"{part}.ly"
+    rest = f"({TREND_POINTS - 1}D - {last})"
     # the end of the series is kept at its last value
-    s0 = part["s0"] + rest * y
-    s1 = part["s1"] + y * rest * (last + TREND_POINTS) / 2
-    s2 = part["s2"] + rest * y * y
-    n = F.lit(float(TREND_POINTS)) - part["fx"]
-    mean, complete = s0 / n, part["fx"] == 0
-    sxy = s1 - CENTRE * s0
-    residual = F.greatest(s2 - n * mean * mean - sxy * sxy / SXX, F.lit(0.0)) / (TREND_POINTS - 2)
-    predicted, half = mean + (TREND_TARGET - CENTRE) * sxy / SXX, T_QUANTILE * F.sqrt(residual * SPREAD)
-    rising = complete & (predicted - half >= mean)
-    falling = complete & (predicted + half <= mean) & ~rising
-    m = part["ref"] + mean
+    s0 = f"({part}.s0 + {rest} * {y})"
+    s1 = f"({part}.s1 + {y} * {rest} * ({last} + {TREND_POINTS}D) / 2)"
+    s2 = f"({part}.s2 + {rest} * {y} * {y})"
+    n = f"({TREND_POINTS}D - {part}.fx)"
+    mean = f"({s0} / {n})"
+    sxy = f"({s1} - {CENTRE}D * {s0})"
+    residual = f"(greatest({s2} - {n} * {mean} * {mean} - {sxy} * {sxy} / {SXX}D, 0D) / {TREND_POINTS - 2}D)"
+    predicted, half = f"({mean} + {TREND_TARGET - CENTRE}D * {sxy} / {SXX}D)", f"({T_QUANTILE}D * sqrt({residual} * {SPREAD}D))"
+    rising = f"({part}.fx = 0 AND {predicted} - {half} >= {mean})"
+    falling = f"({part}.fx = 0 AND {predicted} + {half} <= {mean} AND NOT {rising})"
+    m = f"({part}.ref + {mean})"
     level = (
-        F.when(m < limits.high, 0)
-        .when(m < limits.high_high, F.when(rising, 1).otherwise(0))
-        .otherwise(F.when(falling, 1).otherwise(2))
+        f"CASE WHEN {m} < {float(limits.high)}D THEN 0 WHEN {m} < {float(limits.high_high)}D THEN CASE WHEN {rising} THEN 1 ELSE 0 END "
+        f"WHEN {falling} THEN 1 ELSE 2 END"
     )
-    return F.when(enough, level).cast("double")
+    return F.expr(f"CAST(CASE WHEN {part}.points >= {TREND_POINTS * (1 - MAX_MISSING_SHARE)}D THEN {level} END AS DOUBLE)")
 
 
 def trend_levels(rows: DataFrame, keys: Sequence[str], x: str, value: str, limits: TrendLimits) -> DataFrame:
     """``(keys..., level)`` of every series that has a point."""
-    return part_of_points(rows, keys, x, value).select(*keys, part_level(F.struct(*PART), limits).alias("level"))
+    found = part_of_points(rows, keys, x, value).select(*keys, F.struct(*PART).alias("_part"))
+    return found.select(*keys, part_level("_part", limits).alias("level"))

@@ -164,8 +164,8 @@ def test_trend_level_matches_numpy(spark, shape):
     # the same from three stretches that are merged
     whole = trend.part_of_points(points, ["k"], "x", "v").select(F.struct(*trend.PART).alias("p")).first()["p"]
     stretches = trend.part_of_points(points.withColumn("k", F.expr("x div 41")), ["k"], "x", "v")
-    merged = stretches.agg(F.collect_list(F.struct(*trend.PART)).alias("ps")).select(trend.merged_part(F.col("ps")).alias("p"))
-    again = merged.select(trend.part_level(F.col("p"), trend.TrendLimits()).alias("level"), "p").first()
+    merged = stretches.agg(F.collect_list(F.struct(*trend.PART)).alias("ps")).select(trend.merged_part("ps").alias("p"))
+    again = merged.select(trend.part_level("p", trend.TrendLimits()).alias("level"), "p").first()
     assert again["level"] == expected
     assert [again["p"][c] for c in trend.PART] == pytest.approx([whole[c] for c in trend.PART], rel=1e-9, abs=1e-6)
 

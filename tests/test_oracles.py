@@ -21,6 +21,14 @@ def test_matches_sql(spark, con, name):
     assert differences(got, con.execute(ORACLES[name]).to_arrow_table()) == []
 
 
+@pytest.mark.parametrize("name", ["results_nested", "results_json_parsed", "files_to_output"])
+def test_results_with_rows_match_sql(spark, name):
+    """At the smallest scale every anchor is stopped; these have results."""
+    larger = "/root/testdata/sf0.01"
+    got = QUERIES[name](spark, larger).toArrow()
+    assert got.num_rows and differences(got, connect(larger).execute(ORACLES[name]).to_arrow_table()) == []
+
+
 def test_entry_points():
     import __spark_entry__ as entry
 
