@@ -21,7 +21,7 @@ def test_matches_sql(spark, con, name):
     assert differences(got, con.execute(ORACLES[name]).to_arrow_table()) == []
 
 
-@pytest.mark.parametrize("name", ["results_nested", "results_json_parsed", "files_to_output"])
+@pytest.mark.parametrize("name", ["results_json_parsed", "files_to_output"])
 def test_results_with_rows_match_sql(spark, name):
     """At the smallest scale every anchor is stopped; these have results."""
     larger = "/root/testdata/sf0.01"
