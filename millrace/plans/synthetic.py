@@ -171,15 +171,17 @@ GRID_BLOCK = 10_000
 def time_grid(sites: DataFrame, start: Column, end: Column, interval_seconds: int) -> DataFrame:
     """Every instant from start to end, both included, for every site.
 
-    Blocks of instants are dealt out over tasks before they are written out, so one site may make up all the events.
+    Blocks of instants are dealt out over tasks before they are written out, so one site may make up all the events. The number of
+    tasks is given explicitly: blocks are a few bytes each, and merged by that size they would all be written out by one task.
     """
+    count = int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     step = interval_seconds * 1_000_000
     last = F.floor((F.unix_micros(end) - F.unix_micros(start)) / step).cast("bigint")
     spans = sites.select("site_id", F.unix_micros(start).alias("_start"), last.alias("_last")).where("_last >= 0")
     blocks = spans.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("_last") / GRID_BLOCK).cast("bigint"))))
     first = F.col("_block") * GRID_BLOCK
     numbers = F.sequence(first, F.least(first + (GRID_BLOCK - 1), F.col("_last")))
-    dealt = blocks.repartition("site_id", "_block").withColumn("_number", F.explode(numbers))
+    dealt = blocks.repartition(count, "site_id", "_block").withColumn("_number", F.explode(numbers))
     return dealt.select("site_id", F.timestamp_micros(F.col("_start") + F.col("_number") * step).alias("ts"))
 
 

@@ -177,3 +177,11 @@ def test_tables_come_from_a_folder_or_the_catalog(spark):
     assert src.read_table(spark, "sample", folder).count() == 3
     spark.range(2).createOrReplaceTempView("goal_view")
     assert src.read_table(spark, "goal_view").count() == 2
+
+
+def test_small_spans_of_many_sites_are_written_out_by_many_tasks(spark):
+    """The rows that say how long a site reports are few bytes; what is made from them is not."""
+    sites = spark.createDataFrame([(i, T0, minute(-50)) for i in range(40)], "site_id int, lo timestamp, hi timestamp")
+    grid = synthetic.time_grid(sites, F.col("lo"), F.col("hi"), 60)
+    per_task = [r["count"] for r in grid.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(per_task) == 40 * 51 and max(per_task) < 40 * 51
