@@ -240,3 +240,13 @@ def test_feature_parity(spark):
 def test_operands_of_mass_rates_come_from_the_custom_input():
     assert fo.operands(FEATURES[5]) == ("a", "b", "d", "a")
     assert history.PLANT_SERIES == ["plantup_time", "plantup_switch", "plantup_minutes"]
+
+
+def test_interpolation_sorts_once_in_fine_partitions(spark):
+    rows = [("a", 1, None), ("a", 2, 4.0), ("a", 3, None), ("a", 5, 10.0), ("a", 6, None), ("b", 1, None), ("b", None, 7.0), (None, 1, 1.0), (None, 2, None)]
+    filled = signals.interpolate(spark.createDataFrame(rows, "k string, x int, y double"), ["k"], "x", "y")
+    plan = filled._jdf.queryExecution().executedPlan().toString()
+    got = sorted((tuple(r) for r in filled.collect()), key=str)
+    assert got == sorted([("a", 1, None), ("a", 2, 4.0), ("a", 3, 6.0), ("a", 5, 10.0), ("a", 6, 10.0), ("b", 1, 7.0), ("b", None, 7.0), (None, 1, 1.0), (None, 2, 1.0)], key=str)
+    assert plan.count(" Sort [") == 1 and plan.count("Exchange hashpartitioning") == 1, plan
+    assert filled.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
