@@ -185,3 +185,29 @@ def test_small_spans_of_many_sites_are_written_out_by_many_tasks(spark):
     grid = synthetic.time_grid(sites, F.col("lo"), F.col("hi"), 60)
     per_task = [r["count"] for r in grid.groupBy(F.spark_partition_id().alias("task")).count().collect()]
     assert sum(per_task) == 40 * 51 and max(per_task) < 40 * 51
+
+
+def test_lab_dataset_makes_its_joined_rows_once(spark):
+    """The goals left over are found among the same joined rows, up to their last shuffle; null keys meet nothing."""
+    sample = spark.createDataFrame([(1, "a"), (2, "b")], "SAMPLE_ID int, s string")
+    test = spark.createDataFrame([(1, 10), (1, 11), (2, 20)], "TEST_SAMPLE_ID int, test_id int")
+    result = spark.createDataFrame([(10, 5, 1, 1), (11, 6, 1, None), (20, 5, None, None)], "RESULT_TEST_ID int, RESULT_aid int, k1 int, k2 int")
+    analysis = spark.createDataFrame([(5, "x"), (6, "y")], "ANALYSIS_aid int, name string")
+    goal = spark.createDataFrame([(1, 1, "g"), (1, None, "n"), (None, None, "m"), (9, 9, "h")], "k1 int, k2 int, g string")
+    keys = lab.LabKeys("SAMPLE_ID", "TEST_SAMPLE_ID", "test_id", "RESULT_TEST_ID", "RESULT_aid", "ANALYSIS_aid", ["k1", "k2"])
+    wanted = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    known = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        joined = lab.join_chain(sample.distinct(), test.distinct(), result.distinct(), analysis, keys)
+        whole = lab.lab_dataset(sample, test.distinct(), result.distinct(), analysis, goal, keys)
+        plans = [x._jdf.queryExecution().executedPlan().toString() for x in (joined, whole)]
+        chain, both = (sum("- Exchange " in line for line in p.splitlines()) for p in plans)
+        # besides those of the joined rows: joined rows and goals by goal, the keys that are met and the goals again
+        assert both <= chain + 5, plans[1]
+        late = joined.join(goal, ["k1", "k2"], "outer")
+        assert whole.exceptAll(late).count() == 0 and whole.count() == late.count() == 6
+    finally:
+        for k, v in known.items():
+            spark.conf.set(k, v)
