@@ -126,12 +126,19 @@ class Ids:
         self.unsettled = re.compile(rf"[^\x00-\u{SETTLED:04x}]")
         self.long_blank = re.compile(rf"(?<!\s)\s{{{LONG_BLANK}}}")
 
+    def is_unsettled(self, text: str) -> bool:
+        try:
+            text.encode("latin-1")  # far faster than the pattern
+        except UnicodeEncodeError:
+            return self.unsettled.search(text) is not None
+        return False
+
     def __call__(self, text: str):
         import numpy as np
 
-        if self.fast is not None and not self.unsettled.search(text) and not self.long_blank.search(text):
+        if self.fast is not None and not self.is_unsettled(text) and not (len(text) >= LONG_BLANK and self.long_blank.search(text)):
             try:
-                return np.array(self.fast.encode(text, allowed_special="all", disallowed_special=()), "<u4")
+                return self.fast.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4", copy=False)
             except ValueError:  # its pattern gave up on this text
                 pass
         return np.array(self.own.encode(text, add_special_tokens=False).ids, "<u4")

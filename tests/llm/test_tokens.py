@@ -176,3 +176,20 @@ def test_files_of_nothing_and_of_null_ids(spark, vocabulary):
     path = scratch_path(spark, "ids")
     planes.write_ids(frame(spark, [(None, "b"), (1, "x"), (1, "x")]), vocabulary, path)
     assert [r.doc_id for r in sorted(planes.document_digests(spark, path).collect(), key=lambda r: r.start)] == [None, 1, 1]
+
+
+def test_plain_texts_meet_no_pattern_and_no_list(vocabulary, library, monkeypatch):
+    """Texts of Latin letters that are shorter than a long blank are neither searched nor turned into Python numbers."""
+    ids_of = planes.Ids(vocabulary)
+    texts = ["", "plain words, 12 of them", "Größe übermäßig ÿ", "a" * 1000 + " " * 1000, "<|endoftext|> x", "later letters: ԱՖ"]
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids_of(t).tolist() for t in texts] == wanted
+
+    def unwanted(*_, **__):
+        raise AssertionError("costly way taken")
+
+    monkeypatch.setattr(ids_of, "long_blank", None)
+    monkeypatch.setattr(ids_of.fast, "encode", unwanted)
+    assert [ids_of(t).tolist() for t in texts] == wanted
+    monkeypatch.setattr(ids_of, "unsettled", None)
+    assert [ids_of(t).tolist() for t in texts[:-1]] == wanted[:-1]
