@@ -203,7 +203,7 @@ def trigger_gate(spark, sf):
 def _run(spark, sf):
     return store.run(
         t.events(spark, sf), t.changes(spark, sf), t.anchors(spark, sf), t.CONFIG, t.GATE_FEATURES, t.GATE_RULES,
-        materialise_gate=True,
+        materialise_gate=True, materialise_inputs=True,
     )
 
 

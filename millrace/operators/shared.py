@@ -29,6 +29,7 @@ from millrace.operators import features as fo
 from millrace.operators.history import ANCHOR, PLANT_SERIES, compact_events, long_frame, short_frame
 from millrace.operators.joins import anchor_slice
 from millrace.operators.reshape import stack_rows
+from millrace.operators.signals import next_known
 from millrace.operators.trend import PART, own_sums, part_of_point, part_struct, segment_sums
 
 SERIES = ["_block", "site_id", "phase"]
@@ -179,9 +180,9 @@ def with_prefixes(values: DataFrame, trended: Sequence[int]) -> DataFrame:
         for alone, joined in zip(own_sums(x, y), segment_sums(b["x"], b["y"], x, y))
     ]
     moments = before.withColumns({f"t{i}": F.sum(step).over(upto) for i, step in enumerate(steps)})
-    here = F.when(point.isNotNull(), F.struct(x.alias("x"), y.alias("y"), "t0", "t1", "t2"))
-    onwards = ordered.rowsBetween(0, Window.unboundedFollowing)
-    return moments.withColumns({"to": F.last(here, ignorenulls=True).over(upto), "from": F.first(here, ignorenulls=True).over(onwards)}).drop("before", "t0", "t1", "t2")
+    here = moments.withColumn("here", F.when(point.isNotNull(), F.struct(x.alias("x"), y.alias("y"), "t0", "t1", "t2")))
+    ends = here.withColumns({"to": F.last("here", ignorenulls=True).over(upto), "from": F.coalesce("here", next_known("here", ordered))})
+    return ends.drop("before", "here", "t0", "t1", "t2")
 
 
 # --- anchors --------------------------------------------------------------------------------------------
@@ -251,13 +252,13 @@ def reading_table(spark: SparkSession, features: Sequence[Feature], edged: set[i
     for f in features:
         for kind, first, last in fo.readings(f):
             follows = spans_tail and kind in (fo.NOW, fo.AHEAD)
-            rows.append((f.id, kind, first, None if follows else last, follows, f.id in edged))
+            rows.append((f.id, kind, first, None if follows else last, follows, f.id in edged, fo.elements(f)))
     return _reading_rows(spark, rows)
 
 
 def _reading_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_())
-    names = ("feature_id", "kind", "first", "last", "follows", "edged")
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int32())
+    names = ("feature_id", "kind", "first", "last", "follows", "edged", "elems")
     return local_table(spark, {n: (k, [r[i] for r in rows]) for i, (n, k) in enumerate(zip(names, kinds))})
 
 
@@ -268,7 +269,7 @@ def _ranks() -> tuple[Column, Column]:
 
 
 def range_requests(facts: DataFrame, table: DataFrame, h: Horizon) -> DataFrame:
-    """The rows to look up: ``(_block, site_id, phase, feature_id, pos)`` at both ends of each reading in each of its blocks.
+    """The rows to look up: ``(_block, site_id, phase, feature_id, elem, pos)`` at both ends of each reading in each of its blocks.
 
     ``base`` places the block's rows: a row's rank is ``top - base - pos + 1``.
     """
@@ -290,11 +291,12 @@ def range_requests(facts: DataFrame, table: DataFrame, h: Horizon) -> DataFrame:
         own = part(F.col("block"), F.col("start"), F.col("top"))
         earlier = part(F.col("block") - 1, F.col("start_before"), F.col("start"))
         blocks = F.filter(F.array(earlier, own), lambda p: p["p1"] <= p["p2"])
-    pieces = inner.select(*ANCHOR, "phase", "feature_id", "kind", "first", "top", F.posexplode(blocks).alias("piece", "b"))
+    pieces = inner.select(*ANCHOR, "phase", "feature_id", "elems", "kind", "first", "top", F.posexplode(blocks).alias("piece", "b"))
     ends = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.col(f"b.{p}").alias("pos")) for side, p in ((0, "p1"), (1, "p2"))]))
-    sided = pieces.select(*ANCHOR, "phase", "feature_id", "kind", "first", "top", "piece", "b", ends.alias("e"))
-    return sided.select(
-        F.col("b.block").alias("_block"), "site_id", "phase", "feature_id", F.col("e.pos").alias("pos"), "anchor_ts", "kind", "first", "top",
+    sided = pieces.select(*ANCHOR, "phase", "feature_id", "elems", "kind", "first", "top", "piece", "b", ends.alias("e"))
+    every = sided.withColumn("elem", F.explode(F.sequence(F.lit(0), F.col("elems") - 1)))
+    return every.select(
+        F.col("b.block").alias("_block"), "site_id", "phase", "feature_id", "elem", F.col("e.pos").alias("pos"), "anchor_ts", "kind", "first", "top",
         "piece", F.col("e.side").alias("side"), F.col("b.base").alias("base"), F.col("b.p1").alias("p1"), F.col("b.p2").alias("p2"),
     )
 
@@ -305,7 +307,8 @@ def range_pieces(prefixes: DataFrame, requests: DataFrame) -> DataFrame:
     Sums up to the end of the range, less what precedes its start. Both ends of a range lie in one block, so they meet without a
     shuffle. The x of a trend runs from 0, the oldest point, to 119.
     """
-    found = requests.join(prefixes, [*SERIES, "feature_id", "pos"])
+    # in the order the prefixes were summed in, so that they are not sorted once more
+    found = requests.join(prefixes, [*SERIES, "feature_id", "elem", "pos"])
     is_end = F.col("side") == 1
     keys = [*SERIES, "anchor_ts", "feature_id", "elem", "kind", "piece"]
     has_trend = "ref" in prefixes.columns
@@ -406,7 +409,7 @@ def rank_pieces(values: DataFrame, table: DataFrame) -> DataFrame:
 def plant_readings(spark: SparkSession, cfg: StoreConfig) -> DataFrame:
     hour, steps = cfg.hour_steps, cfg.slice_steps
     ranges = ((LAST_HOUR, 2, hour + 1), (HOUR_BEFORE, hour + 2, 2 * hour + 1), (BEFORE_SLICE, steps + 2, cfg.switch_steps + 1))
-    return _reading_rows(spark, [(fo.PLANT_STATE, kind, first, last, False, False) for kind, first, last in ranges])
+    return _reading_rows(spark, [(fo.PLANT_STATE, kind, first, last, False, False, 1) for kind, first, last in ranges])
 
 
 def plant_constants(events: DataFrame, anchors: DataFrame, facts: DataFrame, cfg: StoreConfig, h: Horizon) -> DataFrame:

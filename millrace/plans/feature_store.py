@@ -82,13 +82,17 @@ def run(
     rules: GateRules = GateRules(),
     materialise_gate: bool = False,
     gate_name: str | None = None,
+    materialise_inputs: bool = False,
 ) -> RunOutput:
     """Gate first, then all features for the anchors that passed, then nested output events.
 
     ``materialise_gate`` writes the (small) gate table to the shared folder, so the feature stage starts
     from finished anchors and the gate's plan is not run again inside it; with ``gate_name`` into a folder of this name, which the
-    next run overwrites.
+    next run overwrites. ``materialise_inputs`` does the same with events and anchors: a dozen readers of both stages start from
+    them, so where they are derived and not stored they would be derived as often.
     """
+    if materialise_inputs:
+        events, anchors = cut_lineage(events), cut_lineage(anchors)
     gate = gate_anchors(events, changes, anchors, cfg, ids, rules)
     if materialise_gate:
         gate = cut_lineage(gate, gate_name)

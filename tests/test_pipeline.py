@@ -196,3 +196,12 @@ def test_gate_stage_survives_as_a_table(spark):
     kept = cut_lineage(spark.range(10).withColumn("x", F.col("id") * 2))
     assert kept.where("x = 18").count() == 1
     assert "FileScan" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_both_stages_read_inputs_that_were_written_once(spark, cfg, make_events, anchor, change_events):
+    """Derived events and anchors are not derived anew for each of their readers."""
+    output = feature_store.run(make_events(telemetry()), change_events, anchor, cfg, IDS, materialise_gate=True, materialise_inputs=True)
+    plain = feature_store.run(make_events(telemetry()), change_events, anchor, cfg, IDS)
+    plan = output.results._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" in plan and "Scan ExistingRDD" not in plan, plan
+    assert results.result_json(output.results).first()["value"] == results.result_json(plain.results).first()["value"]

@@ -152,3 +152,21 @@ def test_anchor_columns_do_not_clash(spark):
     events = random_events(spark, 200, (1,)).withColumns({c: F.lit(1) for c in ("phase", "own", "value", "side")})
     found = compute_features(events, anchors, CFG)
     assert found.count() == len(FEATURES) and found.columns[:2] == ANCHOR
+
+
+def test_prefixes_read_no_frame_to_the_end_and_are_not_sorted_again(spark):
+    """A trend's next point comes from one pass over a block, not from its rest for every row, and look-ups meet prefixes in their order."""
+    h = shared.horizon(CFG, True)
+    chosen = [f for f in CFG.short_features if f.current == fo.TORQUE and shared.shares_work(f, CFG, h)]
+    slots = fo.Slots(tuple(fo.needed_tags(chosen, CFG)))
+    compact, anchors = compact_events(random_events(spark, 300), slots.tags), anchors_of(spark, [0, 5])
+    values = shared.series_values(shared.block_rows(compact, anchors, h, True), CFG, chosen, slots, True)
+    prefixes = shared.with_prefixes(values, [f.id for f in chosen])
+    requests = shared.range_requests(shared.dense_facts(anchors, h), shared.reading_table(spark, chosen, set(), False), h)
+    plan = shared.range_pieces(prefixes, requests)._jdf.queryExecution().executedPlan().toString()
+    assert chosen and "unboundedfollowing" not in plan, plan
+    again = [line for line in plan.splitlines() if " Sort [" in line and "feature_id" in line and " pos#" in line and "elem" not in line]
+    assert not again, plan
+    held = prefixes.where("value IS NOT NULL AND `from`.x <> pos").count()
+    late = prefixes.where("value IS NULL AND `from`.x <= pos").count()
+    assert held == late == 0
