@@ -34,13 +34,13 @@ def unique_events(events: DataFrame, order: str = "sequenceID", keys: Sequence[s
     return survivor_per_key(events, list(keys), F.col(order))
 
 
-def compute_features(events: DataFrame, anchors: DataFrame, cfg: StoreConfig) -> DataFrame:
+def compute_features(events: DataFrame, anchors: DataFrame, cfg: StoreConfig, is_corrected: bool = False) -> DataFrame:
     """Current and anticipated value of every configured feature at every anchor.
 
     ``events(site_id, ts, plant_up, records)`` must be unique per site and instant; ``anchors(site_id,
-    anchor_ts)`` may be any number of instants, one per site being the live case.
+    anchor_ts)`` may be any number of instants, one per site being the live case. ``is_corrected``: events come from ``corrected_events``.
     """
-    corrected = corrected_events(events, cfg)
+    corrected = events if is_corrected else corrected_events(events, cfg)
     parts = []
     if cfg.short_features:
         parts.append(horizon_features(corrected, anchors, cfg, cfg.short_features, dense=True))
@@ -50,9 +50,9 @@ def compute_features(events: DataFrame, anchors: DataFrame, cfg: StoreConfig) ->
     return stack_rows(*parts)
 
 
-def gate_anchors(events: DataFrame, changes: DataFrame, anchors: DataFrame, cfg: StoreConfig, ids: GateFeatures, rules: GateRules) -> DataFrame:
+def gate_anchors(events: DataFrame, changes: DataFrame, anchors: DataFrame, cfg: StoreConfig, ids: GateFeatures, rules: GateRules, is_corrected: bool = False) -> DataFrame:
     """Trigger and flag of every anchor, from the gate's features only."""
-    features = compute_features(events, anchors, cfg.subset(cfg.gate_features))
+    features = compute_features(events, anchors, cfg.subset(cfg.gate_features), is_corrected)
     width = max(int(rules.settle_seconds * 1_000_000), 1)
     last = latest_before(changes, anchors, F.lit(True), "changed", width)
     last = last.select(*ANCHOR, F.col("found_ts").alias("change_ts"))
@@ -88,15 +88,15 @@ def run(
 
     ``materialise_gate`` writes the (small) gate table to the shared folder, so the feature stage starts
     from finished anchors and the gate's plan is not run again inside it; with ``gate_name`` into a folder of this name, which the
-    next run overwrites. ``materialise_inputs`` does the same with events and anchors: a dozen readers of both stages start from
-    them, so where they are derived and not stored they would be derived as often.
+    next run overwrites. ``materialise_inputs`` does the same with corrected events and anchors: a dozen readers of both stages
+    start from them, so where they are derived and not stored they would be derived as often.
     """
     if materialise_inputs:
-        events, anchors = cut_lineage(events), cut_lineage(anchors)
-    gate = gate_anchors(events, changes, anchors, cfg, ids, rules)
+        events, anchors = cut_lineage(corrected_events(events, cfg)), cut_lineage(anchors)
+    gate = gate_anchors(events, changes, anchors, cfg, ids, rules, materialise_inputs)
     if materialise_gate:
         gate = cut_lineage(gate, gate_name)
     flags = passed(gate)
-    features = compute_features(events, flags.select(*ANCHOR), cfg)
+    features = compute_features(events, flags.select(*ANCHOR), cfg, materialise_inputs)
     conditions = [f.id for f in cfg.features if f.condition]
     return RunOutput(gate, features, nested_results(features, flags, conditions))
